@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tidelake.llm import quality_rules, secrets
+from tidelake.llm import mixing, packing, quality_rules, secrets
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (quality_rules.op1_quality_rules, secrets.op10_secret_scan)}
+    return {f.__name__: f for f in (quality_rules.op1_quality_rules, mixing.op2_mixing, packing.op6_packing, secrets.op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
