@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from tidelake.llm import mixing, packing, quality_rules, secrets
+from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (quality_rules.op1_quality_rules, mixing.op2_mixing, packing.op6_packing, secrets.op10_secret_scan)}
+    return {
+        f.__name__: f
+        for f in (
+            quality_rules.op1_quality_rules,
+            mixing.op2_mixing,
+            chat.op4_chat,
+            packing.op6_packing,
+            kn_quality.op9_kn_quality,
+            secrets.op10_secret_scan,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_chat": chat.OP4_SQL}
