@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets
+from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
             mixing.op2_mixing,
             chat.op4_chat,
             packing.op6_packing,
+            simhash.op8_simhash,
             kn_quality.op9_kn_quality,
             secrets.op10_secret_scan,
         )
