@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Bytes of text that numpy code takes at a time.
+LOT = 1 << 22
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,16 +35,32 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def per_batch(make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: pa.Schema):
-    """For mapInArrow: make() runs once a task and gives what turns a batch into columns."""
+    """For mapInArrow: make() runs once a task and gives what turns a batch into columns.
+
+    Batches with a text column come in lots of LOT bytes of text (or one longer text), which bounds
+    what numpy holds at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
-            yield pa.RecordBatch.from_pydict(each(batch), schema=schema)
+            for a, b in lots(batch["text"]) if "text" in batch.schema.names else [(0, len(batch))]:
+                yield pa.RecordBatch.from_pydict(each(batch.slice(a, b - a)), schema=schema)
 
     return run
 
 
+def lots(texts: pa.Array) -> list[tuple[int, int]]:
+    """Row ranges of LOT bytes of text at most, or of one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    out, at = [], 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LOT, "right")))
+        out.append((at, to))
+        at = to
+    return out
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets): row i is bytes[offsets[i]:offsets[i + 1]]; null is empty."""
     column = column.cast(pa.large_binary()).fill_null(b"")
