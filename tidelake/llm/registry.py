@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash
+from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash, topk_search
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         for f in (
             quality_rules.op1_quality_rules,
             mixing.op2_mixing,
+            topk_search.op3_topk,
             chat.op4_chat,
             packing.op6_packing,
             simhash.op8_simhash,
@@ -21,4 +22,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat": chat.OP4_SQL}
+    return {"op3_topk": topk_search.OP3_SQL, "op4_chat": chat.OP4_SQL}
