@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash, topk_search
+from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash, topk_search, toxicity
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
             topk_search.op3_topk,
             chat.op4_chat,
             packing.op6_packing,
+            toxicity.op7_toxicity,
             simhash.op8_simhash,
             kn_quality.op9_kn_quality,
             secrets.op10_secret_scan,
