@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash, topk_search, toxicity
+from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash, suffix_dedup, topk_search, toxicity
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
             mixing.op2_mixing,
             topk_search.op3_topk,
             chat.op4_chat,
+            suffix_dedup.op5_suffix_dedup,
             packing.op6_packing,
             toxicity.op7_toxicity,
             simhash.op8_simhash,
