@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
 
+from tidelake.plans import market
+from tidelake.session import shared_folder
 
-def queries() -> dict:
-    return {}
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return market.flagship(spark, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def ready(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            shared_folder(spark)
+            return f(spark, sf_dir)
+
+        run.__name__ = f.__name__
+        return run
+
+    return {n: ready(f) for n, f in market.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(market.SQL)
