@@ -18,6 +18,7 @@ from __future__ import annotations
 import gc
 import hashlib
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -290,37 +291,48 @@ _COVERED = pa.schema([("doc", pa.int64()), ("start", pa.int64()), ("stop", pa.in
 def covered(owner: np.ndarray, doc: np.ndarray, at: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc, start, stop) of windows that an earlier window of the same owner equals, merged.
 
-    Contexts of one owner are neighbours. Their texts are one text, in which the owner's bytes are one
-    symbol that stands for it; a window is then a string of LENGTH - ANCHOR + 1 symbols.
+    Contexts of one owner are neighbours. Their texts are one text, in which the owner's bytes, and
+    those beside them that all of an owner's contexts share, are one symbol that stands for the owner.
+    A window is then a string of what is left of it; equal windows also begin as far before the owner.
     """
-    width = LENGTH - ANCHOR + 1
     left = ((at >> 8) & 255).tolist()
-    symbol = 257 + np.cumsum(np.concatenate([[0], (owner[1:] != owner[:-1]).astype(np.int64)]))
-    parts, starts, at_doc = [], [], []
+    edges = np.append(np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])), len(owner)).tolist()
+    parts, starts, befores, widths, members = [], [], [], [], []
     base = 0
-    for i, (text, before) in enumerate(zip(texts, left)):
-        raw = np.frombuffer(text, np.uint8).astype(np.int64) + 1
-        parts += [raw[:before], symbol[i : i + 1], raw[before + ANCHOR :], _END]
-        n = (int(at[i]) & 255) + 1
-        starts.append(base + np.arange(n))
-        at_doc.append(np.full(n, i))
-        base += len(raw) - ANCHOR + 2
+    for number, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        mine = range(lo, hi)
+        tails, heads = [texts[i][left[i] + ANCHOR :] for i in mine], [texts[i][: left[i]][::-1] for i in mine]
+        shared_right, shared_left = (len(commonprefix([min(x), max(x)])) for x in (tails, heads))
+        symbol = np.array([257 + number], np.int64)
+        for i, tail, head in zip(mine, tails, heads):
+            rest = np.frombuffer(head[shared_left:][::-1], np.uint8).astype(np.int64) + 1
+            parts += [rest, symbol, np.frombuffer(tail[shared_right:], np.uint8).astype(np.int64) + 1, _END]
+            before = left[i] - np.arange((int(at[i]) & 255) + 1)  # bytes of each window before the owner
+            kept = np.maximum(before - shared_left, 0)
+            starts.append(base + len(rest) - kept)
+            widths.append(kept + 1 + np.maximum(LENGTH - ANCHOR - before - shared_right, 0))
+            befores.append(before)
+            members.append(np.full(len(before), i))
+            base += len(rest) + 2 + len(tail) - shared_right
     whole = np.concatenate(parts)
-    start, member = np.concatenate(starts), np.concatenate(at_doc)
-    first = _window_span(at)[0]
+    start, before, width, member = map(np.concatenate, (starts, befores, widths, members))
     rank = np.empty(len(whole), np.int64)
     rank[np.array(suffix_array(whole), np.int64)] = np.arange(len(whole))
-    order = np.argsort(rank[start])
-    start, member = start[order], member[order]
-    strings = np.lib.stride_tricks.sliding_window_view(whole, width)
-    equal = np.concatenate([(strings[start[a + 1 : b + 1]] == strings[start[a:b]]).all(1) for a, b in ((k, min(k + 20_000, len(start) - 1)) for k in range(0, len(start) - 1, 20_000))] or [np.zeros(0, bool)])
-    run = np.concatenate([[0], np.cumsum(~equal)])
-    bases = np.concatenate([[0], np.cumsum([len(t) - ANCHOR + 2 for t in texts])[:-1]])
-    where = first[member] + start - bases[member]
+    order = np.lexsort((rank[start], before))
+    start, before, width, member = (x[order] for x in (start, before, width, member))
+    most = LENGTH - ANCHOR + 1
+    strings = np.lib.stride_tricks.sliding_window_view(np.concatenate([whole, np.zeros(most, np.int64)]), most)
+    equal = [np.zeros(0, bool)]
+    for k in range(0, len(start) - 1, 20_000):
+        a, b = slice(k, min(k + 20_000, len(start) - 1)), slice(k + 1, min(k + 20_000, len(start) - 1) + 1)
+        same = (strings[start[b]] == strings[start[a]]) | (np.arange(most) >= width[a, None])
+        equal.append(same.all(1) & (before[a] == before[b]))
+    run = np.concatenate([[0], np.cumsum(~np.concatenate(equal))])
+    where = (at[member] >> 16) - before
     back = np.lexsort((where, doc[member], run))
     run, d, w = run[back], doc[member][back], where[back]
-    head = np.maximum.accumulate(np.where(np.concatenate([[True], run[1:] != run[:-1]]), np.arange(len(run)), 0))
-    later = (d != d[head]) | (w != w[head])
+    first = np.maximum.accumulate(np.where(np.concatenate([[True], run[1:] != run[:-1]]), np.arange(len(run)), 0))
+    later = (d != d[first]) | (w != w[first])
     return merged(d[later], w[later], w[later] + LENGTH)
 
 
