@@ -286,4 +286,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", F.col("evidence")[0]["doc_id"].alias("nearest"))
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", F.get("evidence", 0)["doc_id"].alias("nearest"))
