@@ -78,7 +78,7 @@ def cadence(rows: DataFrame, key: str, at: str) -> DataFrame:
     """key, deltas, median (the lower), gaps (deltas over 3 medians), monotonic, in the order of `at`."""
     step = F.col(at) - F.lag(at).over(Window.partitionBy(key).orderBy(at))
     steps = rows.select(key, step.alias("d")).where("d is not null")
-    median = steps.groupBy(key).agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY d)").alias("median"))
+    median = steps.groupBy(key).agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY d)").cast("long").alias("median"))
     return steps.join(median, key).groupBy(key, "median").agg(F.count("*").alias("deltas"), F.count_if(F.col("d") > 3 * F.col("median")).alias("gaps"))
 
 
