@@ -29,8 +29,8 @@ from tidelake.llm.common import crc_of_id, cut, per_batch, table
 
 #: Bound of the labelled sample: rows of each class, and words of a row that train terms.
 EXAMPLES = 4000
-TERMS = 1500
-BLOCK = 32
+TERMS = 600
+BLOCK = 128
 K = 15
 #: Word beginnings of so many characters are terms, and whole words.
 HEADS = range(3, 9)
@@ -64,7 +64,11 @@ def _term_rows():
 
 
 def pick_terms(sample: DataFrame) -> list[str]:
-    """The TERMS terms whose rate of toxic examples is furthest above all examples', by z-score; 3 or more."""
+    """The TERMS terms whose rate of toxic examples is furthest above all examples', by z-score; 3 or more.
+
+    Of word beginnings that the same numbers of examples have, one being the other's beginning, the
+    longest stands for all.
+    """
     sizes = dict(sample.groupBy("toxic").count().collect())
     n, bad = sum(sizes.values()), sizes.get(1, 0)
     if not n or not bad:
@@ -73,7 +77,9 @@ def pick_terms(sample: DataFrame) -> list[str]:
     rows = sample.mapInArrow(per_batch(_term_rows, pa.schema([("term", pa.string()), ("toxic", pa.int32())])), "term string, toxic int")
     z = (F.col("bad") - p * F.col("n")) / F.sqrt(p * (1 - p) * F.col("n") + 1)
     scored = rows.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).where(F.col("n") >= LEAST).withColumn("z", z)
-    return [r["term"] for r in scored.where("z >= 3").orderBy(F.desc("z"), "term").limit(TERMS).collect()]
+    found = [tuple(r) for r in scored.where("z >= 3").orderBy(F.desc("z"), "term").select("term", "n", "bad").limit(8 * TERMS).collect()]
+    longer = {(t[:i], n, b) for t, n, b in found for i in range(min(HEADS), len(t))}
+    return [t for t, n, b in found if (t, n, b) not in longer][:TERMS]
 
 
 class Encoder:
@@ -115,16 +121,11 @@ class Index:
         order = np.lexsort((ids, lead, labels))
         self.labels, self.ids = labels[order], ids[order]
         self.n, self.blocks = n, -(-n // BLOCK)
-        self.most = np.zeros((self.size, self.blocks), np.float64)
-        postings: dict[int, dict[int, tuple[list[int], list[float]]]] = {}
+        #: postings[t, d]: a term's weights, example by example; a block is a run of BLOCK examples
+        self.postings = np.zeros((self.size, n))
         for place, i in enumerate(order.tolist()):
-            block = place // BLOCK
-            for t, w in zip(rows[i][0].tolist(), rows[i][1].tolist()):
-                docs, weights = postings.setdefault(block, {}).setdefault(t, ([], []))
-                docs.append(place - block * BLOCK)
-                weights.append(w)
-                self.most[t, block] = max(self.most[t, block], w)
-        self.postings = [{t: (np.array(d), np.array(w)) for t, (d, w) in postings.get(b, {}).items()} for b in range(self.blocks)]
+            self.postings[rows[i][0], place] = rows[i][1]
+        self.most = np.stack([self.postings[:, b * BLOCK : (b + 1) * BLOCK].max(axis=1) for b in range(self.blocks)], axis=1) if n else np.zeros((self.size, 0))
 
     def vector(self, encoded) -> tuple[np.ndarray, np.ndarray]:
         found, tf, words = encoded
@@ -142,12 +143,8 @@ class Index:
         for block in np.argsort(-bound, kind="stable"):
             if len(places) >= k and bound[block] + 1e-12 < kth:
                 break
-            begin = block * BLOCK
-            score = np.zeros(min(BLOCK, self.n - begin))
-            posted = self.postings[block]
-            for term, weight in zip(t.tolist(), w.tolist()):
-                if (hit := posted.get(term)) is not None:
-                    score[hit[0]] += weight * hit[1]
+            begin = int(block) * BLOCK
+            score = w @ self.postings[t, begin : begin + BLOCK]
             own = np.arange(begin, begin + len(score))
             keep = (score >= kth) & (own != skip)
             places, cosines = np.concatenate([places, own[keep]]), np.concatenate([cosines, score[keep]])
