@@ -138,3 +138,42 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("rejected_by", ",").alias("rejected_by"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang AS stratum, coalesce(text, '') AS text FROM documents),
+lists AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS l FROM d),
+ws AS (SELECT r, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM lists),
+ww AS (SELECT r, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o AS g FROM ws WINDOW o AS (PARTITION BY r ORDER BY i)),
+rep AS (SELECT r, i FROM ww WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+cov AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM rep, generate_series(0, 4) AS ks(k) GROUP BY r),
+ls AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d),
+lc AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM ls WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+wc AS (SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars FROM ws GROUP BY r),
+m AS (
+  SELECT r, doc_id, stratum, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
+  FROM d LEFT JOIN wc USING (r) LEFT JOIN lc USING (r) LEFT JOIN cov USING (r)
+),
+sc AS (
+  SELECT r, doc_id, stratum, 0 AS place, 'symbols' AS rule, coalesce(CAST(n_symbols AS DOUBLE) / nullif(n_words, 0), 0) AS s FROM m
+  UNION ALL SELECT r, doc_id, stratum, 1, 'dup_lines', coalesce(CAST(n_dup_lines AS DOUBLE) / nullif(n_lines, 0), 0) FROM m
+  UNION ALL SELECT r, doc_id, stratum, 2, 'upper', coalesce(CAST(n_upper AS DOUBLE) / nullif(word_chars, 0), 0) FROM m
+  UNION ALL SELECT r, doc_id, stratum, 3, 'repeats', coalesce(CAST(n_repeat_words AS DOUBLE) / nullif(n_words, 0), 0) FROM m
+),
+ce AS (SELECT r, doc_id, stratum, place, rule, CAST(least(200, ceil(s * 200)) AS INTEGER) AS cell FROM sc),
+held AS (SELECT stratum, rule, cell FROM ce WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+n AS (SELECT stratum, rule, count(*) AS n, count(*) OVER () AS tests FROM held GROUP BY stratum, rule),
+logs AS (SELECT DISTINCT n, tests FROM n),
+cdf AS (
+  SELECT n, tests, i, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02e0) + (n - i) * ln(0.98e0))) OVER (PARTITION BY n, tests ORDER BY i) AS p
+  FROM logs, LATERAL (SELECT unnest(generate_series(0, n)) AS i)
+),
+most AS (SELECT n, tests, max(i) AS most FROM cdf WHERE p <= 0.05e0 / tests GROUP BY 1, 2),
+rej AS (SELECT n.stratum, n.rule, k, most, (SELECT count(*) FROM held h WHERE h.stratum IS NOT DISTINCT FROM n.stratum AND h.rule = n.rule AND h.cell > k) AS rejected FROM n JOIN most USING (n, tests), generate_series(0, 200) AS ks(k)),
+cuts AS (SELECT stratum, rule, min(k) AS cutoff FROM rej WHERE rejected <= most GROUP BY 1, 2),
+bad AS (SELECT r, string_agg(ce.rule, ',' ORDER BY place) AS rejected_by FROM ce JOIN cuts ON cuts.stratum IS NOT DISTINCT FROM ce.stratum AND cuts.rule = ce.rule WHERE cell > cutoff GROUP BY r)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND rejected_by IS NULL AS kept, coalesce(rejected_by, '') AS rejected_by
+FROM m LEFT JOIN bad USING (r)
+"""

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import cut, per_batch, table
@@ -225,7 +225,10 @@ def keep_first(docs: DataFrame) -> DataFrame:
         lone = lone.mapInArrow(_with_print(lone.columns), _schema_with_print(lone)).join(ids, "__fp", "left_semi").dropDuplicates(["__fp"]).select(*docs.columns)
     else:
         lone = lone.limit(0)
-    return with_id.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(lone)
+    if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
+        order = Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
+        with_id = with_id.withColumn("__turn", F.row_number().over(order)).where("__turn = 1").drop("__turn")
+    return with_id.select(*docs.columns).unionByName(lone)
 
 
 def _schema_with_print(docs: DataFrame):

@@ -474,3 +474,20 @@ def dedup(docs: DataFrame, crowd: int = CROWD, symbols: int = SYMBOLS) -> DataFr
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents")).drop("spans")
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT doc_id, b, octet_length(b) AS n FROM d),
+w AS (SELECT doc_id, s, array_slice(b, s + 1, s + 100) AS x FROM n, LATERAL (SELECT unnest(generate_series(0, n - 100)) AS s) WHERE n >= 100),
+f AS (SELECT doc_id, s FROM w QUALIFY row_number() OVER (PARTITION BY x ORDER BY doc_id, s) > 1),
+g AS (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS new FROM f),
+h AS (SELECT doc_id, s, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM g),
+sp AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS z FROM h GROUP BY doc_id, run),
+cuts AS (SELECT doc_id, a, z FROM sp UNION ALL SELECT doc_id, -1, 0 FROM n),
+keep AS (SELECT doc_id, z AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS e FROM cuts),
+kept AS (SELECT doc_id, string_agg(hex(array_slice(b, a + 1, coalesce(e, n))), '' ORDER BY a) AS x FROM keep JOIN n USING (doc_id) WHERE coalesce(e, n) > a GROUP BY doc_id),
+r AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM sp GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(x, ''))) AS kept_sha256
+FROM n LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
