@@ -136,3 +136,24 @@ def test_fail_closed(spark):
 def test_lineage_cycle_shows(spark):
     got = universe.closure(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "child string, parent string"))
     assert got.where("child = ancestor").count() == 3
+
+
+def test_ridge_equals_a_fit_at_each_time(spark):
+    import numpy as np
+
+    from tidelake.operators import models
+
+    rng = np.random.default_rng(1)
+    rows = [(str(i), t, t + 2, float(rng.normal()), float(rng.normal()), float(rng.normal())) for t in range(8) for i in range(4)]
+    rows += [("x", 3, 5, None, 1.0, 1.0), ("y", 3, 5, 1.0, None, 1.0)]
+    got = models.ridge(spark.createDataFrame(rows, "instrument_id string, t long, label_end long, y double, a double, b double"), ["a", "b"], 0.7).collect()
+    assert not [r for r in got if r.instrument_id == "y"]
+    for r in got:
+        train = np.array([x[3:] for x in rows if x[2] <= r.t and None not in x[3:]])
+        assert len(train) == r.n >= models.LEAST
+        y, x = train[:, 0], train[:, 1:]
+        z = (x - x.mean(0)) / x.std(0)
+        beta = np.linalg.solve(z.T @ z + 0.7 * np.eye(2), z.T @ (y - y.mean()))
+        mine = next(x for x in rows if x[0] == r.instrument_id and x[1] == r.t)
+        assert r.prediction == pytest.approx(y.mean() + ((np.array(mine[4:]) - x.mean(0)) / x.std(0)) @ beta)
+    assert {r.t for r in got} == {r[1] for r in rows if sum(x[2] <= r[1] and None not in x[3:] for x in rows) >= 5}

@@ -21,15 +21,15 @@ def rank_weights(scores: DataFrame, long_only: bool = False) -> DataFrame:
     return raw.withColumn("gross", gross).select("t", "instrument_id", F.when(F.col("n") == 1, 1.0).when(F.col("gross") > 0, F.col("raw") / F.col("gross")).otherwise(F.col("raw")).alias("weight"))
 
 
-def sign_weights(scores: DataFrame, leverage: float = 1.0) -> DataFrame:
-    """t, instrument_id, weight: half the leverage shared by positive scores, half, short, by negative; zero scores have no row.
+def sign_weights(scores: DataFrame, leverage: float = 1.0, across: tuple[str, ...] = ("t",)) -> DataFrame:
+    """across, instrument_id, weight: half the leverage shared by positive scores, half, short, by negative; zero scores have no row.
 
     A lone instrument of a time has all the leverage on its side, or weight 0.
     """
-    of_t = Window.partitionBy("t")
+    of_t = Window.partitionBy(*across)
     counted = scores.withColumn("n", F.count("*").over(of_t)).withColumn("up", F.count_if(F.col("score") > 0).over(of_t)).withColumn("down", F.count_if(F.col("score") < 0).over(of_t))
     weight = F.when(F.col("n") == 1, F.signum("score") * leverage).when(F.col("score") > 0, F.lit(leverage / 2) / F.col("up")).when(F.col("score") < 0, F.lit(-leverage / 2) / F.col("down"))
-    return counted.select("t", "instrument_id", weight.alias("weight")).where("weight is not null")
+    return counted.select(*across, "instrument_id", weight.alias("weight")).where("weight is not null")
 
 
 def limit_risk(weights: DataFrame, max_gross: float, max_single: float) -> DataFrame:

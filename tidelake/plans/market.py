@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions.times import DAY, HOUR
-from tidelake.operators import asof, bars, factors, labels, portfolio, stats
+from tidelake.operators import asof, bars, factors, labels, models, portfolio, stats
 from tidelake.plans import inputs as I
 
 R = 6  # digits that doubles are rounded to, in both engines
@@ -438,6 +438,47 @@ def v11_max_excess_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(stats.reality_check(net_returns(spark, sf_dir), "strategy_id", "period", "net_return", B_, BLOCK, SEED, excess=True), "observed", "p_value")
 
 
+CONFIGS = [("m7", LOOK, SKIP), ("m14", 14 * DAY, SKIP)]
+SCREEN = f"""{I.bars_sql()}, {I.decisions_sql()}, {price_sql("pa", SKIP, "p1")}, {price_sql("pb", LOOK, "p0")}, {price_sql("pc", 14 * DAY, "p0")}, {price_sql("en", 0, "e0")}, {price_sql("ex", -DAY, "e1")},
+ mo AS (SELECT 'm7' AS strategy_id, instrument_id, t, ln(p1 / p0) AS score FROM pa JOIN pb USING (instrument_id, t) UNION ALL SELECT 'm14', instrument_id, t, ln(p1 / p0) FROM pa JOIN pc USING (instrument_id, t)),
+ tw AS (SELECT strategy_id, t AS period, instrument_id, CASE WHEN score > 0 THEN 0.5 / sum(CAST(score > 0 AS INTEGER)) OVER (PARTITION BY strategy_id, t) WHEN score < 0 THEN -0.5 / sum(CAST(score < 0 AS INTEGER)) OVER (PARTITION BY strategy_id, t) END AS weight FROM mo),
+ ta AS (SELECT * FROM tw WHERE weight IS NOT NULL), re AS (SELECT t AS period, instrument_id, e1 / e0 - 1 AS ret FROM en JOIN ex USING (instrument_id, t))"""
+
+
+@query(f"""WITH {ACCOUNT.replace(BOOK, SCREEN)} SELECT strategy_id, count(*) AS periods, round(CASE WHEN count(*) FILTER (WHERE net_return <= -1) > 0 THEN -1.0 ELSE exp(sum(CASE WHEN net_return > -1 THEN ln(1 + net_return) END)) - 1 END, {R}) AS total_return,
+ round(avg(turnover), {R}) AS mean_turnover, round(sum(cost), {R}) AS total_cost, count(*) FILTER (WHERE net_return <= -1) AS wipeouts FROM ac GROUP BY 1""")
+def v15_momentum_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each configuration from factor to weights, labels and accounting, as one job."""
+    b, d = I.bars(spark, sf_dir), I.decisions(spark, sf_dir)
+    values = factors.momentum_grid(d, b, CONFIGS).withColumnRenamed("raw_value", "score")
+    targets = portfolio.sign_weights(values, across=("config_id", "t")).select(F.col("config_id").alias("strategy_id"), F.col("t").alias("period"), "instrument_id", "weight")
+    returns = labels.forward_labels(d, b, 0, DAY).select(F.col("t").alias("period"), "instrument_id", F.col("label_return").alias("ret"))
+    return rounded(portfolio.summary(portfolio.account(targets, returns, COST)), "total_return", "mean_turnover", "total_cost")
+
+
+def ridge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window factors of each bar, known when it ends, and the return to the bar after."""
+    from pyspark.sql import Window
+
+    b = I.bars(spark, sf_dir)
+    order = Window.partitionBy("instrument_id").orderBy("period_start")
+    ahead = b.select("instrument_id", "period_start", F.lead("availability").over(order).alias("label_end"), (F.lead("close").over(order) / F.col("close") - 1).alias("y"))
+    f = factors.window_factors(b, WF).withColumnRenamed("availability", "t")
+    return f.join(ahead, ["instrument_id", "period_start"]).select("instrument_id", "t", "label_end", "y", "momentum", "mean_reversion", "volume_ratio")
+
+
+@query()
+def v12_ridge_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.ridge(ridge_rows(spark, sf_dir), ["momentum", "mean_reversion", "volume_ratio"], 1.0)
+
+
+@query("""WITH d AS (SELECT DISTINCT user_id AS instrument_id FROM events) SELECT count(*) AS n, TRUE AS centred FROM d""")
+def f15_noise_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = I.table(spark, sf_dir, "events").select(F.col("user_id").alias("instrument_id")).distinct().withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(200))))
+    noise = factors.noise(d, 11)
+    return noise.agg(F.count_distinct("instrument_id").alias("n"), (F.abs(F.avg("score")) < 0.05).alias("centred"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks to daily bars, as-of momentum at weekly decisions, ranks and long/short weights."""
     values = momentum(spark, sf_dir, days=7).withColumn("score", F.col("raw_value"))
