@@ -32,6 +32,8 @@ EXAMPLES = 4000
 TERMS = 600
 BLOCK = 128
 K = 15
+#: Blocks that a search scores at a time.
+TOGETHER = 8
 #: Word beginnings of so many characters are terms, and whole words.
 HEADS = range(3, 9)
 LEAST = 4
@@ -89,22 +91,24 @@ class Encoder:
 
     def __init__(self, terms: list[str]) -> None:
         self.at = {t: i for i, t in enumerate(terms)}
-        self.cache: dict[str, list[int]] = {}
+        self.heads = {t[: min(HEADS)] for t in terms} | {t.removesuffix("$")[: min(HEADS)] for t in terms}
+        self.hits: dict[str, list[int]] = {}
+        self.others: set[str] = set()  # words without any kept term
 
     def __call__(self, text: str | None) -> Encoded:
+        found = counts(text)
+        words = found.keys()
+        for word in words - self.others - self.hits.keys():
+            kept = [i for t in terms_of(word) if (i := self.at.get(t)) is not None] if word[: min(HEADS)] in self.heads else []
+            if kept:
+                self.hits[word] = kept
+            elif len(self.others) < self.MOST:
+                self.others.add(word)
         tf: dict[int, int] = {}
-        words = 0
-        for word, n in counts(text).items():
-            words += n
-            found = self.cache.get(word)
-            if found is None:
-                found = [i for t in terms_of(word) if (i := self.at.get(t)) is not None]
-                if len(self.cache) >= self.MOST:
-                    self.cache.clear()
-                self.cache[word] = found
-            for i in found:
-                tf[i] = tf.get(i, 0) + n
-        return list(tf), list(tf.values()), words
+        for word in sorted(words & self.hits.keys()):
+            for i in self.hits[word]:
+                tf[i] = tf.get(i, 0) + found[word]
+        return list(tf), list(tf.values()), found.total()
 
 
 class Index:
@@ -121,11 +125,11 @@ class Index:
         order = np.lexsort((ids, lead, labels))
         self.labels, self.ids = labels[order], ids[order]
         self.n, self.blocks = n, -(-n // BLOCK)
-        #: postings[t, d]: a term's weights, example by example; a block is a run of BLOCK examples
-        self.postings = np.zeros((self.size, n))
+        #: postings[t, b, d]: a term's weights in a block, example by example; the last block is filled up
+        self.postings = np.zeros((self.size, self.blocks, BLOCK))
         for place, i in enumerate(order.tolist()):
-            self.postings[rows[i][0], place] = rows[i][1]
-        self.most = np.stack([self.postings[:, b * BLOCK : (b + 1) * BLOCK].max(axis=1) for b in range(self.blocks)], axis=1) if n else np.zeros((self.size, 0))
+            self.postings[rows[i][0], place // BLOCK, place % BLOCK] = rows[i][1]
+        self.most = self.postings.max(axis=2) if n else np.zeros((self.size, 0))
 
     def vector(self, encoded) -> tuple[np.ndarray, np.ndarray]:
         found, tf, words = encoded
@@ -135,22 +139,30 @@ class Index:
         return t, w / norm if norm else w
 
     def nearest(self, encoded, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(places, cosines) of the k nearest, ties by place; skip is the place to leave out."""
+        """(places, cosines) of the k nearest, ties by place; skip is the place to leave out.
+
+        Blocks are scored some at a time, from the highest bound on.
+        """
         t, w = self.vector(encoded)
         bound = w @ self.most[t]
+        turn = np.argsort(-bound, kind="stable")
         places, cosines = np.zeros(0, np.int64), np.zeros(0)
         kth = -1.0
-        for block in np.argsort(-bound, kind="stable"):
-            if len(places) >= k and bound[block] + 1e-12 < kth:
+        for at in range(0, self.blocks, TOGETHER):
+            some = turn[at : at + TOGETHER]
+            some = some[bound[some] + 1e-12 >= kth]
+            if not len(some):
                 break
-            begin = int(block) * BLOCK
-            score = w @ self.postings[t, begin : begin + BLOCK]
-            own = np.arange(begin, begin + len(score))
-            keep = (score >= kth) & (own != skip)
+            score = np.einsum("t,tbd->bd", w, self.postings[t[:, None], some]).ravel()
+            own = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            score[(own >= self.n) | (own == skip)] = -1.0
+            if len(score) > k:
+                kth = max(kth, float(np.partition(score, -k)[-k]))
+            keep = (score >= kth - 1e-12) & (score >= 0)
             places, cosines = np.concatenate([places, own[keep]]), np.concatenate([cosines, score[keep]])
             best = np.lexsort((places, -np.round(cosines, 12)))[:k]
             places, cosines = places[best], cosines[best]
-            kth = cosines[-1] if len(places) >= k else -1.0
+            kth = float(cosines[-1]) if len(places) >= k else -1.0
         return places, cosines
 
 
