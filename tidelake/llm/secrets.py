@@ -163,3 +163,22 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         said(KINDS).alias("spans"),
         F.lower(F.hex("blob")).alias("blob"),
     )
+
+
+def _found_sql(rule: Rule, rank: int) -> str:
+    """Rows (r, rank, kind, s, e) of a rule: starts are what is between earlier matches plus those matches."""
+    pattern = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key") if rule.any_case else ""
+    pattern = (f"({pattern})" + rule.pattern.partition(")")[2] if rule.any_case else rule.pattern).replace("'", "''")
+    return f"""SELECT r, {rank} AS rank, '{rule.kind}' AS kind, s, s + length(ms[i]) AS e FROM (
+      SELECT r, ms, gs, i, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s FROM (
+        SELECT r, ms, gs, ps, unnest(generate_series(1, len(ms))) AS i FROM (
+          SELECT r, regexp_extract_all(t, '{pattern}') AS ms, regexp_extract_all(t, '{pattern}', {rule.group}) AS gs, string_split_regex(t, '{pattern}') AS ps FROM d))) WHERE length(gs[i]) >= {rule.least}"""
+
+
+OP10_SQL = (
+    "WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), f AS ("
+    + " UNION ALL ".join(_found_sql(rule, KINDS.index(rule.kind)) for rules in RULES.values() for rule in rules)
+    + """), g AS (SELECT r, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (WHERE rank < 3) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS spans FROM f GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, sha256(t) AS blob FROM d LEFT JOIN g USING (r)"""
+)
