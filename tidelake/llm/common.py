@@ -17,9 +17,20 @@ BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Bytes of text that numpy code takes at a time.
 LOT = 1 << 22
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what Spark hands to Python at a time, on both sides, to LOT bytes or one row.
+
+    Spark's own bound is 64 MB, of which the JVM and a worker each hold a few at once.
+    """
+    if int(spark.conf.get(_BATCH).rstrip("b")) > LOT:
+        spark.conf.set(_BATCH, LOT)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,6 +39,7 @@ def cut(df: DataFrame) -> DataFrame:
 
     The folder must be one that all executors share; a local one is chosen only where none is set.
     """
+    small_batches(df.sparkSession)
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))

@@ -34,7 +34,7 @@ VOCABULARY = "byte_bpe_50k.json"
 class _Encoded(dict):
     """What follows a space (or begins a text) -> its ids as little-endian 32-bit numbers."""
 
-    MOST = 400_000
+    MOST = 200_000
 
     def __init__(self, encode, before: str) -> None:
         super().__init__()

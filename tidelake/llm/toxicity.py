@@ -87,7 +87,7 @@ def pick_terms(sample: DataFrame) -> list[str]:
 class Encoder:
     """A text's kept terms and their counts; the last column counts all its words."""
 
-    MOST = 300_000
+    MOST = 200_000
 
     def __init__(self, terms: list[str]) -> None:
         self.at = {t: i for i, t in enumerate(terms)}
