@@ -25,7 +25,8 @@ def small_batches(spark: SparkSession) -> None:
 
     Spark's own bound is 64 MB, of which the JVM and a worker each hold a few at once.
     """
-    if int(spark.conf.get(_BATCH).rstrip("b")) > LOT:
+    size = spark.conf.get(_BATCH).rstrip("b")
+    if not size.isdigit() or int(size) > LOT:  # -1 is no bound; another unit is another's choice of more
         spark.conf.set(_BATCH, LOT)
 
 
