@@ -98,14 +98,16 @@ class Encoder:
     def __call__(self, text: str | None) -> Encoded:
         found = counts(text)
         words = found.keys()
-        for word in words - self.others - self.hits.keys():
+        for word in set(words).difference(self.others):  # looks up the text's words, not the known ones
+            if word in self.hits:
+                continue
             kept = [i for t in terms_of(word) if (i := self.at.get(t)) is not None] if word[: min(HEADS)] in self.heads else []
             if kept:
                 self.hits[word] = kept
             elif len(self.others) < self.MOST:
                 self.others.add(word)
         tf: dict[int, int] = {}
-        for word in sorted(words & self.hits.keys()):
+        for word in filter(self.hits.__contains__, words):
             for i in self.hits[word]:
                 tf[i] = tf.get(i, 0) + found[word]
         return list(tf), list(tf.values()), found.total()
