@@ -72,3 +72,20 @@ def test_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.predicted for r in t.score(docs, none).collect()] == [0]
     assert t.score(docs.limit(0), none).count() == 0
+
+
+def test_every_word_of_an_example_is_a_term(spark):
+    docs, labels = rows()
+    docs += [(7000 + i, f"lone{i} solo{i}", 0.5) for i in range(40)]  # examples whose words the labels don't single out
+    labels += [(7000 + i, 0) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, score double")
+    model = t.train(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    trained = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(model.index.ids.tolist()) == trained
+    texts = dict((i, x) for i, x, _ in docs)
+    assert {w + "$" for i in trained for w in texts[i].split()} <= model.encoder.at.keys()
+    one = next(i for i in trained if i >= 7000)
+    (_, ids, cosines), (_, none, _) = model([texts[one], "unheard"])
+    assert ids[0] == one and abs(cosines[0] - 1) < 1e-9 and none == []
+    df = sum("w7" in x.split() for x in texts.values())  # over all documents, held-out ones too
+    assert np.isclose(model.index.weights[model.encoder.at["w7$"]], t.PLAIN * (np.log((1 + len(docs)) / (1 + df)) + 1))

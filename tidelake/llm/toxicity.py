@@ -1,16 +1,18 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Examples are a bounded sample of labelled rows (EXAMPLES of each class at most, by hash). Terms are
-words and word beginnings. The TERMS that the examples' labels single out most are kept one by one;
-all other words together are one more term, so a long text with one such word is unlike a short one
-full of them. Examples are weighed by TF-IDF, normed and ordered by class and direction into
-blocks; the index has postings for each term and block and, per term, each block's largest weight.
-A search adds up those maxima to a bound for each block, scores blocks from the highest bound on,
-and stops when no bound left can beat the K-th best, so the neighbours are exactly the K nearest.
+all words of the examples, and those word beginnings that the labels single out; document
+frequencies are counted over all documents. Terms that the labels don't single out weigh PLAIN as
+much, since else the many words that say nothing about toxicity decide who is near. Examples are
+weighed by TF-IDF, normed and ordered by class and direction into blocks. The index has dense rows
+for the DENSE commonest terms and postings for the others, and each dense term's largest weight of
+each block. A search adds up the postings and those maxima to a bound for each block, scores blocks
+from the highest bound on, and leaves out those whose bound can't beat the K-th best, so the
+neighbours are exactly the K nearest.
 
 Near examples vote with weights that fall with distance. Votes become scores by isotonic
-calibration on examples left out of their own vote; a text without any kept term gets the rate of
-such examples. Neighbours are handed on as evidence.
+calibration on examples left out of their own vote; a text without any word of an example gets the
+rate of all labelled rows. Neighbours are handed on as evidence.
 """
 
 from __future__ import annotations
@@ -27,22 +29,26 @@ from pyspark.sql.types import DoubleType
 
 from tidelake.llm.common import crc_of_id, cut, per_batch, table
 
-#: Bound of the labelled sample: rows of each class, and words of a row that train terms.
+#: Bound of the labelled sample: rows of each class.
 EXAMPLES = 4000
-TERMS = 600
+#: How many of the commonest terms have dense rows in the index; a layout that results don't depend on.
+DENSE = 512
 BLOCK = 128
 K = 15
-#: Blocks that a search scores at a time.
-TOGETHER = 8
+#: Blocks that a search scores at a time, and texts that are searched together.
+TOGETHER = 16
+TEXTS = 32
 #: Word beginnings of so many characters are terms, and whole words.
 HEADS = range(3, 9)
 LEAST = 4
 WORD = re.compile(r"\w+")
-REST = "\0rest"
+#: Weight of a term that the labels don't single out, where one that they do weighs 1 + log(n / df).
+PLAIN = 0.1
+TELLING = 3.0
 
 
-#: Kept terms, their counts and the count of all words.
-Encoded = tuple[list[int], list[float], int]
+#: Terms, their counts and the root of the summed squares of all other words' counts.
+Encoded = tuple[np.ndarray, np.ndarray, float]
 
 
 def terms_of(word: str) -> list[str]:
@@ -65,111 +71,146 @@ def _term_rows():
     return each
 
 
-def pick_terms(sample: DataFrame) -> list[str]:
-    """The TERMS terms whose rate of toxic examples is furthest above all examples', by z-score; 3 or more.
+def pick_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The terms of the examples, and which of them are telling.
 
-    Of word beginnings that the same numbers of examples have, one being the other's beginning, the
-    longest stands for all.
+    Terms are all words and the telling beginnings. Telling are those in LEAST examples or more whose
+    rate of toxic ones is above all examples' by a z-score of TELLING. Of telling beginnings that the
+    same numbers of examples have, one being the other's beginning, the longest stands for all.
     """
     sizes = dict(sample.groupBy("toxic").count().collect())
     n, bad = sum(sizes.values()), sizes.get(1, 0)
-    if not n or not bad:
-        return []
-    p = bad / n
+    p = bad / max(1, n)
     rows = sample.mapInArrow(per_batch(_term_rows, pa.schema([("term", pa.string()), ("toxic", pa.int32())])), "term string, toxic int")
     z = (F.col("bad") - p * F.col("n")) / F.sqrt(p * (1 - p) * F.col("n") + 1)
-    scored = rows.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).where(F.col("n") >= LEAST).withColumn("z", z)
-    found = [tuple(r) for r in scored.where("z >= 3").orderBy(F.desc("z"), "term").select("term", "n", "bad").limit(8 * TERMS).collect()]
-    longer = {(t[:i], n, b) for t, n, b in found for i in range(min(HEADS), len(t))}
-    return [t for t, n, b in found if (t, n, b) not in longer][:TERMS]
+    scored = rows.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).withColumn("telling", (F.col("n") >= LEAST) & (z >= TELLING))
+    found = scored.where(F.col("telling") | F.col("term").endswith("$")).select("term", "n", "bad", "telling").toArrow().to_pydict()
+    telling = {(t, n, b) for t, n, b, y in zip(*found.values()) if y}
+    longer = {(t[:i], n, b) for t, n, b in telling for i in range(min(HEADS), len(t))}
+    terms = sorted((t, y) for t, n, b, y in zip(*found.values()) if t.endswith("$") or (t, n, b) not in longer)
+    return [t for t, _ in terms], np.array([y for _, y in terms], bool)
 
 
 class Encoder:
-    """A text's kept terms and their counts; the last column counts all its words."""
+    """A text's terms and their counts, and what its other words add to its norm."""
 
     MOST = 200_000
 
     def __init__(self, terms: list[str]) -> None:
         self.at = {t: i for i, t in enumerate(terms)}
-        self.heads = {t[: min(HEADS)] for t in terms} | {t.removesuffix("$")[: min(HEADS)] for t in terms}
-        self.hits: dict[str, list[int]] = {}
-        self.others: set[str] = set()  # words without any kept term
+        self.seen: dict[str, tuple[int, ...]] = {}  # a word's terms
 
     def __call__(self, text: str | None) -> Encoded:
         found = counts(text)
-        words = found.keys()
-        for word in set(words).difference(self.others):  # looks up the text's words, not the known ones
-            if word in self.hits:
-                continue
-            kept = [i for t in terms_of(word) if (i := self.at.get(t)) is not None] if word[: min(HEADS)] in self.heads else []
-            if kept:
-                self.hits[word] = kept
-            elif len(self.others) < self.MOST:
-                self.others.add(word)
         tf: dict[int, int] = {}
-        for word in filter(self.hits.__contains__, words):
-            for i in self.hits[word]:
-                tf[i] = tf.get(i, 0) + found[word]
-        return list(tf), list(tf.values()), found.total()
+        rest = 0
+        for word, n in found.items():
+            ids = self.seen.get(word)
+            if ids is None:
+                ids = tuple(i for t in terms_of(word) if (i := self.at.get(t)) is not None)
+                if len(self.seen) < self.MOST:
+                    self.seen[word] = ids
+            if not ids:
+                rest += n * n
+            for i in ids:
+                tf[i] = tf.get(i, 0) + n
+        return np.fromiter(tf, np.int32, len(tf)), np.fromiter(tf.values(), np.float64, len(tf)), math.sqrt(rest)
 
 
 class Index:
     """Examples as a block-max inverted index; search is exact."""
 
-    def __init__(self, encoded: list[Encoded], labels: np.ndarray, ids: np.ndarray, size: int) -> None:
+    def __init__(self, encoded: list[Encoded], labels: np.ndarray, ids: np.ndarray, size: int, weights: np.ndarray | None = None) -> None:
+        """weights: of each term and, last, of other words; by default from the examples alone."""
         n, self.size = len(encoded), size + 1
-        df = np.zeros(size)
-        for found, _, _ in encoded:
+        df = np.zeros(self.size, np.int64)
+        for found, _, rest in encoded:
             df[found] += 1
-        self.idf = np.append(np.log((1 + n) / (1 + df)) + 1, REST_WEIGHT)
+            df[size] += rest > 0
+        self.weights = np.append(np.log((1 + n) / (1 + df[:size])) + 1, PLAIN) if weights is None else weights
         rows = [self.vector(e) for e in encoded]
-        lead = np.array([r[0][np.argmax(r[1][:-1])] if len(r[0]) > 1 else size for r in rows], np.int64)
+        lead = np.array([t[np.argmax(w)] if len(t) else size for t, w in rows], np.int64)
         order = np.lexsort((ids, lead, labels))
         self.labels, self.ids = labels[order], ids[order]
         self.n, self.blocks = n, -(-n // BLOCK)
-        #: postings[t, b, d]: a term's weights in a block, example by example; the last block is filled up
-        self.postings = np.zeros((self.size, self.blocks, BLOCK))
-        for place, i in enumerate(order.tolist()):
-            self.postings[rows[i][0], place // BLOCK, place % BLOCK] = rows[i][1]
-        self.most = self.postings.max(axis=2) if n else np.zeros((self.size, 0))
-
-    def vector(self, encoded) -> tuple[np.ndarray, np.ndarray]:
-        found, tf, words = encoded
-        t = np.append(np.array(found, np.int64), self.size - 1)
-        w = np.append(np.array(tf, float), words) * self.idf[t]
+        lengths = [len(rows[i][0]) for i in order.tolist()]
+        terms, w = (np.concatenate([np.zeros(0, kind), *(rows[i][part] for i in order.tolist())]) for part, kind in enumerate((np.int64, float)))
+        places = np.repeat(np.arange(n), lengths)
+        common = np.argsort(-df, kind="stable")[:DENSE]
+        common = common[df[common] > 0]
+        #: a common term's row, or -1
+        self.row = np.full(self.size, -1)
+        self.row[common] = np.arange(len(common))
+        #: dense[b, c, d]: a common term's weights in a block, example by example; the last block is filled up
+        self.dense = np.zeros((self.blocks, len(common), BLOCK))
+        row = self.row[terms]
+        here = row >= 0
+        self.dense[places[here] // BLOCK, row[here], places[here] % BLOCK] = w[here]
+        self.most = self.dense.max(axis=2).T if n else np.zeros((len(common), 0))
+        #: postings of the other terms: those of t are begins[t] to begins[t + 1]
+        terms, places, w = terms[~here], places[~here], w[~here]
+        by_term = np.argsort(terms, kind="stable")
+        self.places, self.posted = places[by_term].astype(np.int32), w[by_term]
+        self.begins = np.searchsorted(terms[by_term], np.arange(self.size + 1))
+
+    def vector(self, encoded: Encoded) -> tuple[np.ndarray, np.ndarray]:
+        t, tf, rest = encoded
+        if rest:
+            t, tf = np.append(t, self.size - 1), np.append(tf, rest)
+        w = tf * self.weights[t]
         norm = math.sqrt(float(w @ w))
         return t, w / norm if norm else w
 
-    def nearest(self, encoded, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """(places, cosines) of the k nearest, ties by place; skip is the place to leave out.
+    def nearest(self, encoded: Encoded, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        return self.nearest_of([encoded], k, [skip])[0]
 
-        Blocks are scored some at a time, from the highest bound on.
+    def nearest_of(self, encoded: list[Encoded], k: int, skips: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(places, cosines) of the k nearest of each, ties by place; skips are the places to leave out.
+
+        Blocks are scored some at a time, from each one's highest bound on.
         """
-        t, w = self.vector(encoded)
-        bound = w @ self.most[t]
-        turn = np.argsort(-bound, kind="stable")
-        places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        kth = -1.0
-        for at in range(0, self.blocks, TOGETHER):
-            some = turn[at : at + TOGETHER]
-            some = some[bound[some] + 1e-12 >= kth]
-            if not len(some):
+        m, width = len(encoded), self.blocks * BLOCK
+        common, score = np.zeros((m, len(self.most))), np.zeros((m, width))
+        for r, e in enumerate(encoded):
+            t, w = self.vector(e)
+            row = self.row[t]
+            common[r, row[row >= 0]] = w[row >= 0]
+            t, w = t[row < 0], w[row < 0]
+            begin = self.begins[t]
+            length = self.begins[t + 1] - begin
+            at = np.repeat(begin - np.cumsum(length) + length, length) + np.arange(length.sum())
+            score[r] = np.bincount(self.places[at], np.repeat(w, length) * self.posted[at], width)
+        score[:, self.n :] = -1e9
+        for r, skip in enumerate(skips or []):
+            if skip >= 0:
+                score[r, skip] = -1e9
+        bound = common @ self.most + score.reshape(m, self.blocks, BLOCK).max(axis=2, initial=-1e9)
+        turn = np.argsort(-bound, axis=1, kind="stable")
+        done = np.zeros((m, self.blocks), bool)
+        # weights aren't negative, so what the postings add up to is a lower bound
+        least = lambda: np.partition(score, width - k, axis=1)[:, width - k, None] if width > k else np.full((m, 1), -1e9)
+        kth = least()
+        for first in range(0, self.blocks, TOGETHER):
+            now = np.zeros_like(done)
+            np.put_along_axis(now, turn[:, first : first + TOGETHER], True, axis=1)
+            now &= bound + 1e-9 >= kth
+            if not now.any():
                 break
-            score = np.einsum("t,tbd->bd", w, self.postings[t[:, None], some]).ravel()
-            own = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            score[(own >= self.n) | (own == skip)] = -1.0
-            if len(score) > k:
-                kth = max(kth, float(np.partition(score, -k)[-k]))
-            keep = (score >= kth - 1e-12) & (score >= 0)
-            places, cosines = np.concatenate([places, own[keep]]), np.concatenate([cosines, score[keep]])
+            for b in np.flatnonzero(now.any(axis=0)).tolist():
+                of = np.flatnonzero(now[:, b])
+                score[of, b * BLOCK : (b + 1) * BLOCK] += common[of] @ self.dense[b]
+            done |= now
+            kth = least()
+        score.reshape(m, self.blocks, BLOCK)[~done] = -1e9
+        out = []
+        for r in range(m):
+            places = np.flatnonzero((score[r] >= kth[r] - 1e-9) & (score[r] >= 0))
+            cosines = score[r, places]
             best = np.lexsort((places, -np.round(cosines, 12)))[:k]
-            places, cosines = places[best], cosines[best]
-            kth = float(cosines[-1]) if len(places) >= k else -1.0
-        return places, cosines
+            out.append((places[best], cosines[best]))
+        return out
 
 
-#: Weight of the term that stands for all other words, where a kept term weighs 1 + log(n / df).
-REST_WEIGHT = 0.15
 #: Distances are 1 - cosine; a vote weighs 1 / (distance + NEAR).
 NEAR = 0.01
 
@@ -194,48 +235,74 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 class Model:
     """Everything that scoring needs; of bounded size."""
 
-    def __init__(self, terms: list[str], rows: list[tuple[int, int, Encoded]], rate: float) -> None:
+    def __init__(self, encoder: Encoder, weights: np.ndarray, rows: list[tuple[int, int, Encoded]], rate: float) -> None:
         """rows: doc_id, label and what Encoder gives. rate: of toxic rows among all labelled ones,
         to which the sample's classes are weighed back.
         """
-        self.encoder = Encoder(terms)
+        self.encoder, self.rate = encoder, rate
         labels = np.array([y for _, y, _ in rows], float)
         share = labels.mean() if rows else 0.0
         weight = np.where(labels == 1, rate / share, (1 - rate) / (1 - share)) if 0 < share < 1 else np.ones(len(rows))
-        telling = np.array([bool(e[0]) for *_, e in rows], bool)
-        self.none = float((labels[~telling] @ weight[~telling] + rate) / (weight[~telling].sum() + 1)) if rows else 0.0
-        some = [r for r, t in zip(rows, telling) if t]
-        self.index = Index([e for *_, e in some], labels[telling], np.array([i for i, *_ in some], np.int64), len(terms))
+        self.index = Index([e for *_, e in rows], labels, np.array([i for i, *_ in rows], np.int64), len(weights) - 1, weights)
         where = {i: p for p, i in enumerate(self.index.ids.tolist())}
         votes = []
-        for i, _, e in some:
-            near, cosines = self.index.nearest(e, K, skip=where[i])
-            votes.append(vote(self.index.labels[near], cosines))
-        self.x, self.y = isotonic(np.array(votes), labels[telling], weight[telling]) if some else (np.zeros(1), np.array([rate]))
-
-    def __call__(self, text: str | None) -> tuple[float, list[int], list[float]]:
-        """score, and ids and cosines of the neighbours it rests on."""
-        encoded = self.encoder(text)
-        if not encoded[0] or not self.index.n:
-            return self.none, [], []
-        near, cosines = self.index.nearest(encoded, K)
-        v = vote(self.index.labels[near], cosines)
-        fit = float(self.y[min(int(np.searchsorted(self.x, v)), len(self.y) - 1)])
-        return min(1.0, max(0.0, 0.98 * fit + 0.02 * v)), self.index.ids[near].tolist(), cosines.tolist()
-
-
-def _encode(terms: list[str]):
+        for at in range(0, len(rows), TEXTS):
+            some = rows[at : at + TEXTS]
+            found = self.index.nearest_of([e for *_, e in some], K, [where[i] for i, *_ in some])
+            votes += [vote(self.index.labels[near], cosines) for near, cosines in found]
+        self.x, self.y = isotonic(np.array(votes), labels, weight) if rows else (np.zeros(1), np.array([rate]))
+
+    def __call__(self, texts: list[str | None]) -> list[tuple[float, list[int], list[float]]]:
+        """score, and ids and cosines of the neighbours it rests on, of each text."""
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            for near, cosines in self.index.nearest_of([self.encoder(t) for t in texts[at : at + TEXTS]], K):
+                if not len(near) or cosines[0] <= 0:
+                    out.append((self.rate, [], []))
+                    continue
+                v = vote(self.index.labels[near], cosines)
+                fit = float(self.y[min(int(np.searchsorted(self.x, v)), len(self.y) - 1)])
+                out.append((min(1.0, max(0.0, 0.98 * fit + 0.02 * v)), self.index.ids[near].tolist(), cosines.tolist()))
+        return out
+
+
+def _encode(shared):
     def make():
-        encoder = Encoder(terms)
+        encoder = Encoder(shared.value)
 
         def each(batch: pa.RecordBatch) -> dict:
             found = [encoder(t) for t in batch["text"].to_pylist()]
-            return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [f[0] for f in found], "tf": [f[1] for f in found], "words": [f[2] for f in found]}
+            return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [f[0].tobytes() for f in found], "tf": [f[1].tobytes() for f in found], "rest": [f[2] for f in found]}
 
         return each
 
-    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("terms", pa.list_(pa.int32())), ("tf", pa.list_(pa.float64())), ("words", pa.int64())])
-    return per_batch(make, schema)
+    return per_batch(make, pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("terms", pa.binary()), ("tf", pa.binary()), ("rest", pa.float64())]))
+
+
+def _in_documents(shared):
+    """Of a task's texts: how many there are (term -1) and how many have each term."""
+
+    def run(batches):
+        encoder = Encoder(shared.value)
+        df, n = np.zeros(len(encoder.at), np.int64), 0
+        for batch in batches:
+            for text in batch["text"].to_pylist():
+                df[encoder(text)[0]] += 1
+                n += 1
+        seen = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"term": np.append(-1, seen).astype(np.int32), "n": np.append(n, df[seen])}, pa.schema([("term", pa.int32()), ("n", pa.int64())]))
+
+    return run
+
+
+def document_weights(docs: DataFrame, shared, telling: np.ndarray) -> np.ndarray:
+    """Each term's weight by its document frequency in docs, and last that of words that no example has."""
+    found = docs.where("text is not null").select("text").mapInArrow(_in_documents(shared), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    terms, n = found["term"].to_numpy(), found["n"].to_numpy()
+    df = np.zeros(len(telling) + 1)
+    df[terms[terms >= 0]] = n[terms >= 0]
+    total = n[terms < 0].sum()
+    return (np.log((1 + total) / (1 + df)) + 1) * np.where(np.append(telling, False), 1.0, PLAIN)
 
 
 def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
@@ -243,7 +310,7 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
 
     Rows whose crc32(doc_id) mod 4 is 2 are held out. Null labels, ids and texts train nothing; a
     doc_id labelled or written more than once counts once (its largest label, its least text). The
-    driver gets no text, only the examples' kept terms: 2 * examples rows of at most TERMS counts.
+    driver gets the examples' terms and counts, which are bounded by the sample.
     """
     learn = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (crc_of_id("doc_id") % 4 != 2))
     learn = cut(learn.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
@@ -254,9 +321,12 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     chosen = first(0).unionByName(first(1))  # 2 * examples rows at most
     sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id")
     sample = cut(sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
-    terms = pick_terms(sample)
-    rows = sample.mapInArrow(_encode(terms), "doc_id long, toxic int, terms array<int>, tf array<double>, words long").orderBy("doc_id").collect()
-    return Model(terms, [(r["doc_id"], r["toxic"], (r["terms"], r["tf"], r["words"])) for r in rows], rate)
+    terms, telling = pick_terms(sample)
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    weights = document_weights(docs, shared, telling)
+    rows = sample.mapInArrow(_encode(shared), "doc_id long, toxic int, terms binary, tf binary, rest double").orderBy("doc_id").toArrow().to_pylist()
+    shared.unpersist()
+    return Model(Encoder(terms), weights, [(r["doc_id"], r["toxic"], (np.frombuffer(r["terms"], np.int32), np.frombuffer(r["tf"]), r["rest"])) for r in rows], rate)
 
 
 def _score(shared):
@@ -264,7 +334,7 @@ def _score(shared):
         model = shared.value
 
         def each(batch: pa.RecordBatch) -> dict:
-            found = [model(t) for t in batch["text"].to_pylist()]
+            found = model(batch["text"].to_pylist())
             return {"doc_id": batch["doc_id"], "score": [f[0] for f in found], "evidence": [[{"doc_id": i, "cosine": c} for i, c in zip(*f[1:])] for f in found]}
 
         return each
@@ -277,7 +347,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, examples:
     """doc_id, held_out, score, predicted, evidence (the nearest examples) for every row of docs.
 
     docs: doc_id, text; labels: doc_id, toxic (0 or 1). Whole texts are scored. Null and empty texts
-    get the score of texts without a telling term; a null doc_id is scored and not held out.
+    get the rate of toxic rows among the labelled ones; a null doc_id is scored and not held out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, examples))
     found = docs.select("doc_id", "text").mapInArrow(_score(shared), "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double>>")
@@ -291,7 +361,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
 
     def judge(texts: pa.Array) -> pa.Array:
         model = shared.value
-        return pa.array([model(t)[0] for t in texts.to_pylist()], pa.float64())
+        return pa.array([f[0] for f in model(texts.to_pylist())], pa.float64())
 
     return docs.where(F.arrow_udf(judge, DoubleType())("text") < threshold)
 
