@@ -75,3 +75,16 @@ def test_tree_keeps_quotas_and_evens_shards():
     shares = m.split_quotas(quotas, 8, 1)
     assert (shares.sum(axis=0) == quotas).all() and (shares >= 0).all()
     assert np.ptp(shares.sum(axis=1)) <= 1
+
+
+def test_registered_query_counts_what_the_mix_gives(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(i % 290, "w " * (1 + i % 13), "abc"[i % 7 % 3]) for i in range(300)] + [(7, None, "a"), (8, "", None), (9, "x y", None), (9, "x y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    every = lambda: sorted(map(tuple, m.op2_mixing(spark, str(tmp_path)).collect()))
+    assert every() == sorted(map(tuple, m.weigh(docs).collect()))
+    whole = sum(r[4] for r in every())
+    monkeypatch.setattr(m, "first_words", lambda text, n: F.when(n.isNull(), text).otherwise(F.lit("")))
+    assert sum(r[4] for r in every()) < whole

@@ -156,14 +156,8 @@ def weigh(docs: DataFrame) -> DataFrame:
     return taken.select("doc_id", F.col("size").cast("long"), F.col("source_size").cast("long"), "target", (F.col("full") * F.col("size") + F.col("part")).cast("long").alias("taken"), F.col("full").alias("full_passes"))
 
 
-def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
-    """The mixed corpus: the columns of docs, a row for each time a document is taken.
-
-    Rows are dealt to `shards` partitions (a power of two; by default one for each SHARD_WORDS words,
-    16 at least) by the tree and shuffled within each. The document on a
-    source's edge is cut to its first words taken, n_chars (if there) with it. Documents without
-    words are in no block that counts; they come once, so that nothing but words decides.
-    """
+def _deal(docs: DataFrame, shards: int | None, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The mix's rows (row: a struct of the columns of docs; pass, text as it is given, cut), dealt and shuffled, and the plan."""
     sized = cut(_sized(docs, ["source"]))
     total = sized.agg(F.sum("size")).head()[0] or 0
     shards = shards or max(16, 1 << (total // SHARD_WORDS).bit_length())
@@ -176,14 +170,39 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
     turn = F.when(F.col("pass") < F.col("full"), F.pmod(odd * F.col("block") + shift, F.lit(BLOCKS))).otherwise(F.col("block"))
     index = F.col("first") + F.col("pass") * BLOCKS + turn
     each = each.withColumn("shard", F.least(F.lit(shards - 1), F.greatest(F.lit(0), F.size(F.filter("edges", lambda e: e <= index)) - 1)))
-    cut_here = (F.col("pass") == F.col("full")) & (F.col("part") < F.col("size"))
-    each = each.withColumn("text", first_words(F.col("row.text"), F.when(cut_here, F.col("part"))))
-    dealt = each.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("key", "pass", F.lit(seed)))
+    each = each.withColumn("cut", (F.col("pass") == F.col("full")) & (F.col("part") < F.col("size")))
+    each = each.withColumn("text", first_words(F.col("row.text"), F.when(F.col("cut"), F.col("part"))))
+    return each.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("key", "pass", F.lit(seed))), goals
+
+
+def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
+    """The mixed corpus: the columns of docs, a row for each time a document is taken.
+
+    Rows are dealt to `shards` partitions (a power of two; by default one for each SHARD_WORDS words,
+    16 at least) by the tree and shuffled within each. The document on a
+    source's edge is cut to its first words taken, n_chars (if there) with it. Documents without
+    words are in no block that counts; they come once, so that nothing but words decides.
+    """
+    dealt, _ = _deal(docs, shards, seed)
     columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in columns:
-        columns["n_chars"] = F.when(cut_here, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+        columns["n_chars"] = F.when(F.col("cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
     return dealt.select(*(v.alias(c) for c, v in columns.items()))
 
 
+def given(docs: DataFrame, row: str, shards: int | None = None, seed: int = 7) -> DataFrame:
+    """What weigh() gives, with taken counted in the mixed rows themselves: their words, summed for each row of docs.
+
+    row: a column that differs in all rows of docs and stays the same when they are read again.
+    """
+    dealt, goals = _deal(docs, shards, seed)
+    counted = dealt.select(F.col("row").getField(row).alias(row), words("text").alias("given")).groupBy(row).agg(F.sum("given").alias("taken"))
+    goals = F.broadcast(goals) if goals.count() <= BROADCAST_ROWS else goals
+    goals = goals.select(F.col("source").alias("__source"), "source_size", "target", F.col("full").alias("full_passes"))
+    every = _sized(docs, [row, "doc_id", "source"]).join(goals, F.col("source").eqNullSafe(F.col("__source"))).join(counted, row, "left")
+    return every.select("doc_id", F.col("size").cast("long"), F.col("source_size").cast("long"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "full_passes")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return weigh(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return given(docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("__row")), "__row")
