@@ -157,3 +157,21 @@ def test_ridge_equals_a_fit_at_each_time(spark):
         mine = next(x for x in rows if x[0] == r.instrument_id and x[1] == r.t)
         assert r.prediction == pytest.approx(y.mean() + ((np.array(mine[4:]) - x.mean(0)) / x.std(0)) @ beta)
     assert {r.t for r in got} == {r[1] for r in rows if sum(x[2] <= r[1] and None not in x[3:] for x in rows) >= 5}
+
+
+def test_funding_meets_positions_by_time_bucket(spark):
+    import re
+
+    spans = [(i, "s", 7 * i, 7 * i + (i * 5) % 23, 1.0 + i, 2.0) for i in range(30)] + [(90, "s", 9, 3, 1.0, 1.0), (91, "t", 0, 9, 1.0, 1.0)]
+    events = [("s", t, t / 10.0, None if t % 3 else 4.0) for t in range(0, 220, 2)]
+    po = spark.createDataFrame(spans, "position_id int, symbol string, start long, end long, quantity double, mark_price double")
+    fu = spark.createDataFrame(events, "symbol string, at long, rate double, price double")
+    want = {}
+    for i, s, a, b, q, m in spans:
+        met = [-q * r * (m if p is None else p) for x, t, r, p in events if x == s and a <= t <= b]
+        want[i] = (len(met), round(sum(met), 6))
+    for width in (None, 5, 50):
+        found = portfolio.funding_cashflow(po, fu, width=width)
+        assert {r.position_id: (r.events, round(r.cashflow, 6)) for r in found.collect()} == want
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert any(re.search(r"bucket#\d+L? = bucket#\d+L?", line) for line in plan.splitlines() if "Join Inner" in line)

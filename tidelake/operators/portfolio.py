@@ -116,14 +116,21 @@ def equity_path(periods: DataFrame, initial: float, alert: float, keys: list[str
     return out.withColumn("alert", F.col("drawdown") >= alert)
 
 
-def funding_cashflow(positions: DataFrame, funding: DataFrame, inverse: bool = False, closed: str = "both") -> DataFrame:
+def funding_cashflow(positions: DataFrame, funding: DataFrame, inverse: bool = False, closed: str = "both", width: int | None = None) -> DataFrame:
     """positions (position_id, symbol, start, end, quantity, mark_price) with events, cashflow: what funding in the interval pays.
 
     A linear contract pays -quantity * price * rate with the event's price or else the mark price; an
     inverse one -quantity * rate. closed is 'both' or 'right', which leaves out an event at the start.
+    Events meet positions by time buckets of `width` (by default the longest interval), so those outside
+    a position's buckets make no pair.
     """
+    held = positions.where("start <= end")
+    if width is None:
+        width = max(1, held.agg(F.max(F.col("end") - F.col("start"))).head()[0] or 1)
+    bucket = lambda c: F.floor(F.col(c) / width)
+    held = held.withColumn("bucket", F.explode(F.sequence(bucket("start"), bucket("end"))))
     inside = (F.col("at") <= F.col("end")) & (F.col("at") >= F.col("start") if closed == "both" else F.col("at") > F.col("start"))
-    met = positions.join(funding.select("symbol", "at", "rate", "price"), "symbol").where(inside)
+    met = held.join(funding.select("symbol", "at", "rate", "price", bucket("at").alias("bucket")), ["symbol", "bucket"]).where(inside)
     flow = -F.col("quantity") * F.col("rate") * (F.lit(1.0) if inverse else F.coalesce("price", "mark_price"))
     sums = met.groupBy("position_id").agg(F.count("*").alias("events"), F.sum(flow).alias("cashflow"))
     return positions.select("position_id").join(sums, "position_id", "left").fillna({"events": 0, "cashflow": 0.0})

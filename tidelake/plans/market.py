@@ -379,7 +379,7 @@ def j18_funding_cashflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = I.table(spark, sf_dir, "events").withColumn("at", I.us("ts"))
     po = e.where("event_id % 40 = 0").selectExpr("event_id AS position_id", "user_id AS symbol", "at AS start", f"at + {2 * DAY} AS end", "(event_id % 7 - 3) / 2.0D AS quantity", "value AS mark_price")
     fu = e.where("event_type = 'purchase'").selectExpr("user_id AS symbol", "at", "(value - 100) / 1e5D AS rate", "CASE WHEN event_id % 3 = 0 THEN value END AS price")
-    return rounded(portfolio.funding_cashflow(po, fu), "cashflow")
+    return rounded(portfolio.funding_cashflow(po, fu, width=2 * DAY), "cashflow")
 
 
 @query(f"""WITH s AS (SELECT user_id AS session, event_id AS t, 900 + value AS equity FROM events), o AS (SELECT *, coalesce(lag(equity) OVER (PARTITION BY session ORDER BY t), 1000.0) AS b, greatest(1000.0, max(equity) OVER (PARTITION BY session ORDER BY t)) AS peak FROM s)
