@@ -70,11 +70,50 @@ def test_mix_takes_the_words_weighed(spark):
     assert m.mix(docs.limit(0)).count() == 0 and m.weigh(docs.limit(0)).count() == 0
 
 
-def test_tree_keeps_quotas_and_evens_shards():
+def test_tree_keeps_quotas_and_evens_shards(spark):
     quotas = np.array([1000, 37, 0, 411])
-    shares = m.split_quotas(quotas, 8, 1)
+    below = m.split_node(quotas, 1, 3, 1)
+    shares = np.array([held for _, held in below])
+    assert [n for n, _ in below] == list(range(8, 16))
     assert (shares.sum(axis=0) == quotas).all() and (shares >= 0).all()
     assert np.ptp(shares.sum(axis=1)) <= 1
+    drawn = m.draw(spark.createDataFrame([(i, int(q)) for i, q in enumerate(quotas)], "list int, quota long"), 8, 1).collect()
+    assert {(r.list, r.shard): r.n for r in drawn} == {(i, s): n for s in range(8) for i, n in enumerate(shares[s].tolist()) if n}
+
+
+def test_each_document_by_a_plain_mix(spark):
+    """taken of each document, and its shards, by a plain walk over blocks."""
+    docs = spark.createDataFrame([(i, t, s, i) for i, (_, t, s, _) in enumerate(rows())], "doc_id long, text string, source string, __row long")
+    keyed = m._sized(docs, ["doc_id", "source"]).collect()
+    totals = Counter()
+    for r in keyed:
+        totals[r.source] += r["size"]
+    target, got = share(totals), {r.doc_id: r for r in m.given(docs, "__row", shards=16).collect()}
+    plan = m.Plan(docs, 16)
+    deals = {(r["__source"], r["__block"]): [tuple(d) for d in r.dealt] for r in plan.deals.collect()}
+    per_shard = Counter()
+    for source, words in totals.items():
+        mine = sorted(((r.key % 2**64 >> 20) % m.LEAST_BLOCKS, r.key, r["size"], r.doc_id) for r in keyed if r.source == source)
+        left = round(target[source]) - (full := round(target[source]) // words if words else 0) * words
+        for block, _, size, i in mine:
+            part = min(size, left)
+            left -= part
+            assert got[i].taken == full * size + part
+            passes = deals.get((source, block), [])
+            want = {s for p, s in passes if p < full or part}
+            assert not size or set(got[i].shards) == want
+    goals = plan.goals.collect()
+    drawn = m.draw(plan.goals.groupBy("list").agg(m.F.sum("quota").alias("quota")), 16, 7).collect()
+    for r in drawn:
+        per_shard[r.shard] += r.n
+    assert sum(per_shard.values()) == sum(g.quota for g in goals) and max(per_shard.values()) - min(per_shard.values()) <= 1
+
+
+def test_what_is_not_drawn_is_not_taken(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b c", "s", i) for i in range(50)], "doc_id long, text string, source string, __row long")
+    assert sum(r.taken for r in m.given(docs, "__row").collect()) == 150
+    monkeypatch.setattr(m, "draw", lambda quotas, shards, seed: spark.createDataFrame([], "list int, shard int, n long"))
+    assert sum(r.taken for r in m.given(docs, "__row").collect()) == 0
 
 
 def test_registered_query_counts_what_the_mix_gives(spark, tmp_path, monkeypatch):
@@ -83,7 +122,7 @@ def test_registered_query_counts_what_the_mix_gives(spark, tmp_path, monkeypatch
     rows = [(i % 290, "w " * (1 + i % 13), "abc"[i % 7 % 3]) for i in range(300)] + [(7, None, "a"), (8, "", None), (9, "x y", None), (9, "x y", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    every = lambda: sorted(map(tuple, m.op2_mixing(spark, str(tmp_path)).collect()))
+    every = lambda: sorted(tuple(r)[:-1] for r in m.op2_mixing(spark, str(tmp_path)).collect())
     assert every() == sorted(map(tuple, m.weigh(docs).collect()))
     whole = sum(r[4] for r in every())
     monkeypatch.setattr(m, "first_words", lambda text, n: F.when(n.isNull(), text).otherwise(F.lit("")))

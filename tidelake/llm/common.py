@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelake.session import shared_folder
+
 #: Bytes that part words: space and the five ASCII control characters 09 to 0D.
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -38,15 +39,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the cluster's checkpoint folder (spark.checkpoint.dir).
 
-    The folder must be one that all executors share; a local one is chosen only where none is set.
+    The folder must be one that all executors share; a local one is chosen only for a local master.
     """
     small_batches(df.sparkSession)
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def unused(columns: list[str], name: str) -> str:
+    """name, or name with underscores before it: one that no column has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def per_batch(make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: pa.Schema):
     """For mapInArrow: make() runs once a task and gives what turns a batch into columns.
 

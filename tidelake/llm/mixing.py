@@ -1,17 +1,19 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-A source's documents fall, by a hash that permutes them, into BLOCKS blocks. A source whose target
-is f + r times its size gives all its blocks f times and, once more, its first blocks up to the
-rest r; the block on the edge is cut between documents and its last document between words, so the
-words taken are the rounded target. These block quotas are split among output shards: each node of
-a binary tree over the shards hands its left half a multivariate-hypergeometric draw of what it
-holds, so each shard gets the same number of blocks and an exact, random composition. Shards then
-take disjoint runs of each source's permuted blocks and shuffle their documents locally.
+A source's documents fall, by a hash that permutes them, into blocks of about BLOCK_WORDS words. A
+source whose target is f + r times its size gives all its blocks f times and, once more, its first
+blocks up to the rest r; the block on the edge is cut between documents and its last document between
+words, so the words taken are the rounded target. These block quotas are split among output shards:
+each node of a binary tree over the shards hands its left half a multivariate-hypergeometric draw of
+what it holds, so each shard gets the same number of blocks and an exact, random composition. Shards
+then take disjoint runs of each source's permuted blocks and shuffle their documents locally. A
+document is in the mix as often as a block of it was drawn for a shard, and not otherwise.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
@@ -22,14 +24,16 @@ from pyspark.sql.types import LongType, StringType
 
 from tidelake.llm.common import cut, lots, table, word_counts
 
-#: A power of two: a permutation of blocks is then b -> (odd * b + c) mod BLOCKS.
-BLOCKS = 1024
+#: Words of a block, about. A source has a power of two of blocks, LEAST_BLOCKS at least: a
+#: permutation of blocks is then b -> (odd * b + c) mod blocks.
+BLOCK_WORDS = 1_000_000
+LEAST_BLOCKS = 256
 MOST = 3
 WEIGHTS = (1, 2, 3)
-#: Sources share this many lists of blocks (by hash) in the tree, which bounds what the driver holds.
+#: Sources share this many lists of blocks (by hash) in the tree, which bounds what a node holds.
 LISTS = 4096
-#: Per-source plans of at most so many rows are broadcast.
-BROADCAST_ROWS = 20_000
+#: Plans of at most so many rows, with names of at most so many characters, are broadcast.
+BROADCAST_ROWS, BROADCAST_NAME = 100_000, 256
 SHARD_WORDS = 20_000_000
 
 
@@ -80,99 +84,154 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return ranked.withColumn("level", share).select("source", "source_size", F.least(F.col("level") * F.col("weight"), (most * F.col("source_size")).cast("double")).alias("target"))
 
 
-def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
-    """Rows: quotas of each shard (a power of two), drawn down the tree without replacement."""
-    rng = np.random.default_rng(seed)
-    level = [np.asarray(quotas, np.int64)]
-    while len(level) < shards:
-        halves = []
-        for held in level:
-            left = rng.multivariate_hypergeometric(held, int(held.sum()) // 2, method="marginals") if held.sum() else held
-            halves += [left, held - left]
-        level = halves
-    return np.array(level)
+def split_node(held: np.ndarray, node: int, levels: int, seed: int) -> list[tuple[int, np.ndarray]]:
+    """(node, its quotas) of the nodes `levels` below; node 1 is the root, 2 n and 2 n + 1 are below n.
+
+    A node draws half of what it holds, without replacement, for its left half. Its draw depends on
+    seed and node alone, so a subtree is the same in whatever task it is split.
+    """
+    if not levels:
+        return [(node, held)]
+    left = held * 0
+    if held.sum():
+        left = np.random.default_rng([seed, node]).multivariate_hypergeometric(held, int(held.sum()) // 2, method="marginals")
+    return split_node(left, 2 * node, levels - 1, seed) + split_node(held - left, 2 * node + 1, levels - 1, seed)
+
+
+_NODE = pa.schema([("node", pa.int64()), ("lists", pa.list_(pa.int32())), ("quotas", pa.list_(pa.int64()))])
+_NODE_DDL = "node long, lists array<int>, quotas array<long>"
+
+
+def _split(levels: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, lists, quotas in zip(*(batch[c].to_pylist() for c in _NODE.names)):
+                below = split_node(np.array(quotas, np.int64), node, levels, seed)
+                some = [(n, np.flatnonzero(held), held) for n, held in below]
+                names = np.array(lists, np.int32)
+                rows = [(n, names[at].tolist(), held[at].tolist()) for n, at, held in some if len(at)]
+                yield pa.RecordBatch.from_pydict(dict(zip(_NODE.names, map(list, zip(*rows)))) if rows else {c: [] for c in _NODE.names}, schema=_NODE)
+
+    return run
+
+
+def draw(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
+    """list, shard, n: how many blocks of each list each shard takes; no rows for none.
+
+    quotas: list, quota, one row per list. The tree is split in two steps, so the lower half of its
+    levels is spread over the cluster; a node is a row of LISTS numbers at most.
+    """
+    levels = shards.bit_length() - 1
+    sorted_ = F.array_sort(F.collect_list(F.struct("list", "quota")))
+    node = quotas.where("quota > 0").agg(sorted_.alias("q")).select(F.lit(1).cast("long").alias("node"), F.col("q.list").alias("lists"), F.col("q.quota").alias("quotas"))
+    for step in (levels // 2, levels - levels // 2):
+        node = node.repartition("node").mapInArrow(_split(step, seed), _NODE_DDL)
+    each = node.select((F.col("node") - shards).cast("int").alias("shard"), F.explode(F.arrays_zip("lists", "quotas")).alias("x"))
+    return each.select(F.col("x.lists").alias("list"), "shard", F.col("x.quotas").alias("n"))
 
 
 def _list_of(source: Column) -> Column:
     return F.pmod(F.xxhash64(source), F.lit(LISTS)).cast("int")
 
 
-def plan(sized: DataFrame, shards: int = 16, seed: int = 7) -> DataFrame:
-    """A row per source: source_size, target, full passes, rest, edge block, words before it, edges of shards.
+def _small(df: DataFrame) -> DataFrame:
+    """df with a broadcast hint where its rows are few and its sources' names are short."""
+    n, longest = df.agg(F.count("*"), F.max(F.length("__source"))).head()
+    return F.broadcast(df) if n <= BROADCAST_ROWS and (longest or 0) <= BROADCAST_NAME else df
 
-    sized: source, block, size.
-    """
-    per_block = cut(sized.groupBy("source", "block").agg(F.sum("size").alias("size")))
-    goal = targets(per_block.groupBy("source").agg(F.sum("size").alias("source_size")))
-    goal = goal.withColumn("words", F.round("target").cast("long"))
-    goal = goal.withColumn("full", F.when(F.col("source_size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(F.lit(0)).cast("int"))
-    goal = goal.withColumn("rest", F.col("words") - F.col("full") * F.col("source_size"))
-    by_block = Window.partitionBy("source").orderBy("block")
-    running = per_block.withColumn("upto", F.sum("size").over(by_block))
-    edge = (
-        running.alias("b").join(goal.alias("g"), F.col("b.source").eqNullSafe(F.col("g.source")))
-        .where((F.col("g.rest") > 0) & (F.col("b.upto") >= F.col("g.rest")) & (F.col("b.upto") - F.col("b.size") < F.col("g.rest")))
-        .select(F.col("b.source").alias("source"), F.col("b.block").alias("edge"), (F.col("b.upto") - F.col("b.size")).alias("before"))
-    )
-    goal = cut(
-        goal.alias("g").join(edge.alias("e"), F.col("g.source").eqNullSafe(F.col("e.source")), "left")
-        .select("g.*", F.coalesce("e.edge", F.lit(-1)).alias("edge"), F.coalesce("e.before", F.lit(0)).alias("before"))
-        .withColumn("list", _list_of(F.col("source")))
-        .withColumn("quota", (F.col("full") * BLOCKS + F.col("edge") + 1).cast("long"))
-    )
-    lists = sorted(map(tuple, goal.groupBy("list").agg(F.sum("quota")).collect()))  # LISTS rows at most
-    shares = split_quotas(np.array([q for _, q in lists], np.int64), shards, seed) if lists else np.zeros((shards, 0), np.int64)
-    edges = np.vstack([np.zeros((1, len(lists)), np.int64), np.cumsum(shares, axis=0)]).T
-    drawn = sized.sparkSession.createDataFrame([(k, e.tolist()) for (k, _), e in zip(lists, edges)], "list int, edges array<long>")
-    in_list = Window.partitionBy("list").orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    return cut(goal.withColumn("first", F.coalesce(F.sum("quota").over(in_list), F.lit(0))).join(F.broadcast(drawn), "list"))
-
-
-def _with_plan(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """rows (source, block, size, key) with their source's plan, full and part: words taken in the last pass."""
-    few = goals.count() <= BROADCAST_ROWS
-    goals = goals.withColumnRenamed("source", "__source")
-    joined = rows.join(F.broadcast(goals) if few else goals, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    inner = joined.where(F.col("block") != F.col("edge")).withColumn("part", F.when(F.col("block") < F.col("edge"), F.col("size")).otherwise(F.lit(0)).cast("long"))
-    in_edge = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.col("before") + F.coalesce(F.sum("size").over(in_edge), F.lit(0))
-    on_edge = joined.where(F.col("block") == F.col("edge")).withColumn("part", F.greatest(F.lit(0), F.least("size", F.col("rest") - ahead)).cast("long"))
-    return inner.unionByName(on_edge)
+
+def _of_source() -> Column:
+    return F.col("source").eqNullSafe(F.col("__source"))
 
 
 def _sized(docs: DataFrame, keep: list[str]) -> DataFrame:
     key = F.xxhash64(F.lit(41), F.col("source"), F.col("doc_id"), F.col("text"))
-    return docs.select(*keep, key.alias("key"), F.pmod(F.shiftrightunsigned("key", 20), F.lit(BLOCKS)).cast("int").alias("block"), words("text").alias("size"))
+    return docs.select(*keep, key.alias("key"), words("text").alias("size"))
+
+
+class Plan:
+    """What a mix takes: goals (a row per source) and deals (a row per block, with its shard of each pass)."""
+
+    def __init__(self, docs: DataFrame, shards: int | None = None, seed: int = 7) -> None:
+        sized = cut(_sized(docs, ["source"]))
+        goal = targets(sized.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")))
+        goal = goal.withColumn("words", F.round("target").cast("long"))
+        goal = goal.withColumn("full", F.when(F.col("source_size") > 0, F.floor(F.col("words") / F.col("source_size"))).otherwise(F.lit(0)).cast("int"))
+        goal = goal.withColumn("rest", F.col("words") - F.col("full") * F.col("source_size"))
+        many = F.greatest(F.lit(float(LEAST_BLOCKS)), F.col("source_size") / BLOCK_WORDS)
+        goal = cut(goal.withColumn("blocks", F.pow(F.lit(2.0), F.ceil(F.log2(many))).cast("long")).withColumnRenamed("source", "__source"))
+        total = goal.agg(F.sum("source_size")).head()[0] or 0
+        self.shards, self.seed = shards or max(16, 1 << (total // SHARD_WORDS).bit_length()), seed
+        per_block = cut(self._in_blocks(sized, goal).groupBy("source", "block").agg(F.sum("size").alias("size")))
+        running = per_block.withColumn("upto", F.sum("size").over(Window.partitionBy("source").orderBy("block")))
+        edge = (
+            running.join(_small(goal), _of_source())
+            .where((F.col("rest") > 0) & (F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("size") < F.col("rest")))
+            .select(F.col("source").alias("e_source"), F.col("block").alias("edge"), (F.col("upto") - F.col("size")).alias("before"))
+        )
+        goal = goal.join(edge, F.col("__source").eqNullSafe(F.col("e_source")), "left").drop("e_source")
+        goal = goal.withColumns({"edge": F.coalesce("edge", F.lit(-1)), "before": F.coalesce("before", F.lit(0)), "list": _list_of(F.col("__source"))})
+        goal = goal.withColumn("quota", F.col("full") * F.col("blocks") + F.col("edge") + 1)
+        in_list = Window.partitionBy("list").orderBy(F.col("__source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+        self.goals = cut(goal.withColumn("first", F.coalesce(F.sum("quota").over(in_list), F.lit(0))))
+        self.deals = cut(self._deals(per_block))
+
+    @staticmethod
+    def _in_blocks(rows: DataFrame, goal: DataFrame) -> DataFrame:
+        """rows (source, key, ...) with their block."""
+        met = rows.join(_small(goal.select("__source", "blocks")), _of_source()).drop("__source")
+        return met.withColumn("block", F.pmod(F.shiftrightunsigned("key", 20), F.col("blocks"))).drop("blocks")
+
+    def _deals(self, per_block: DataFrame) -> DataFrame:
+        """__source, __block, dealt (pass, shard): for which shards a block was drawn."""
+        runs = draw(self.goals.groupBy("list").agg(F.sum("quota").alias("quota")), self.shards, self.seed)
+        before = Window.partitionBy("list").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+        runs = runs.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        runs = runs.select("list", "shard", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("index"))
+        blocks = per_block.select("source", "block").join(_small(self.goals), _of_source())
+        last = F.col("full") - F.when(F.col("block") <= F.col("edge"), 0).otherwise(1)
+        each = blocks.where(last >= 0).withColumn("pass", F.explode(F.sequence(F.lit(0), last)))
+        odd, shift = F.pmod(F.hash("source", "pass", F.lit(self.seed)), F.lit(1 << 20)) * 2 + 1, F.pmod(F.hash("pass", "source", F.lit(self.seed)), F.lit(1 << 20))
+        turn = F.when(F.col("pass") < F.col("full"), F.pmod(odd * F.col("block") + shift, F.col("blocks"))).otherwise(F.col("block"))
+        each = each.select("source", "block", "pass", "list", (F.col("first") + F.col("pass") * F.col("blocks") + turn).alias("index"))
+        dealt = each.join(runs, ["list", "index"]).groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("pass", "shard"))).alias("dealt"))
+        return dealt.select(F.col("source").alias("__source"), F.col("block").alias("__block"), "dealt")
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        """rows (source, key, size, ...) with their source's goal, dealt (null: no shard) and part: words taken in the last pass."""
+        rows = self._in_blocks(rows, self.goals)
+        deals = _small(self.deals)
+        rows = rows.join(deals, _of_source() & (F.col("block") == F.col("__block")), "left").drop("__source", "__block")
+        rows = rows.join(_small(self.goals.drop("list", "quota", "first", "words", "blocks")), _of_source()).drop("__source")
+        inner = rows.where(F.col("block") != F.col("edge")).withColumn("part", F.when(F.col("block") < F.col("edge"), F.col("size")).otherwise(F.lit(0)).cast("long"))
+        in_edge = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+        ahead = F.col("before") + F.coalesce(F.sum("size").over(in_edge), F.lit(0))
+        on_edge = rows.where(F.col("block") == F.col("edge")).withColumn("part", F.greatest(F.lit(0), F.least("size", F.col("rest") - ahead)).cast("long"))
+        return inner.unionByName(on_edge)
 
 
 def weigh(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken and full_passes for every row of docs (doc_id, text, source).
 
-    A null text has size 0; a null source is a source. Rows repeated whole are rows of their own,
-    each weighed; which of them the edge cuts makes no difference. An empty table gives none.
+    taken by the plan's arithmetic, to hold against the mix. A null text has size 0; a null source is
+    a source. Rows repeated whole are rows of their own, each weighed; which of them the edge cuts
+    makes no difference. An empty table gives none.
     """
-    sized = cut(_sized(docs, ["doc_id", "source"]))
-    taken = _with_plan(sized, plan(sized.select("source", "block", "size")))
+    taken = Plan(docs).apply(_sized(docs, ["doc_id", "source"]))
     return taken.select("doc_id", F.col("size").cast("long"), F.col("source_size").cast("long"), "target", (F.col("full") * F.col("size") + F.col("part")).cast("long").alias("taken"), F.col("full").alias("full_passes"))
 
 
-def _deal(docs: DataFrame, shards: int | None, seed: int) -> tuple[DataFrame, DataFrame]:
-    """The mix's rows (row: a struct of the columns of docs; pass, text as it is given, cut), dealt and shuffled, and the plan."""
-    sized = cut(_sized(docs, ["source"]))
-    total = sized.agg(F.sum("size")).head()[0] or 0
-    shards = shards or max(16, 1 << (total // SHARD_WORDS).bit_length())
-    goals = plan(sized, shards, seed)
+def _deal(docs: DataFrame, plan: Plan) -> DataFrame:
+    """The mix's rows (row: a struct of the columns of docs; pass, shard, text as it is given, cut), dealt and shuffled."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), "source", "doc_id", "text")
-    rows = _with_plan(_sized(rows, ["row", "source"]), goals)
-    passes = F.when(F.col("size") == 0, F.array(F.lit(0))).otherwise(F.when((F.col("full") > 0) | (F.col("part") > 0), F.sequence(F.lit(0), F.col("full") - F.when(F.col("part") > 0, F.lit(0)).otherwise(F.lit(1)))).otherwise(F.array().cast("array<int>")))
-    each = rows.withColumn("pass", F.explode(passes))
-    odd, shift = F.pmod(F.hash("source", "pass", F.lit(seed)), F.lit(BLOCKS // 2)) * 2 + 1, F.pmod(F.hash("pass", "source", F.lit(seed)), F.lit(BLOCKS))
-    turn = F.when(F.col("pass") < F.col("full"), F.pmod(odd * F.col("block") + shift, F.lit(BLOCKS))).otherwise(F.col("block"))
-    index = F.col("first") + F.col("pass") * BLOCKS + turn
-    each = each.withColumn("shard", F.least(F.lit(shards - 1), F.greatest(F.lit(0), F.size(F.filter("edges", lambda e: e <= index)) - 1)))
+    rows = plan.apply(_sized(rows, ["row", "source"]))
+    empty = F.array(F.struct(F.lit(0).alias("pass"), F.pmod("key", F.lit(plan.shards)).cast("int").alias("shard")))
+    taken = F.filter("dealt", lambda d: (d["pass"] < F.col("full")) | (F.col("part") > 0))
+    each = rows.withColumn("deal", F.explode(F.when(F.col("size") == 0, empty).otherwise(taken)))
+    each = each.withColumns({"pass": F.col("deal.pass"), "shard": F.col("deal.shard")})
     each = each.withColumn("cut", (F.col("pass") == F.col("full")) & (F.col("part") < F.col("size")))
     each = each.withColumn("text", first_words(F.col("row.text"), F.when(F.col("cut"), F.col("part"))))
-    return each.repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64("key", "pass", F.lit(seed))), goals
+    return each.repartition(plan.shards, "shard").sortWithinPartitions("shard", F.xxhash64("key", "pass", F.lit(plan.seed)))
 
 
 def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
@@ -181,9 +240,9 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
     Rows are dealt to `shards` partitions (a power of two; by default one for each SHARD_WORDS words,
     16 at least) by the tree and shuffled within each. The document on a
     source's edge is cut to its first words taken, n_chars (if there) with it. Documents without
-    words are in no block that counts; they come once, so that nothing but words decides.
+    words count for nothing; they come once, so that nothing but words decides.
     """
-    dealt, _ = _deal(docs, shards, seed)
+    dealt = _deal(docs, Plan(docs, shards, seed))
     columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.when(F.col("cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
@@ -191,18 +250,23 @@ def mix(docs: DataFrame, shards: int | None = None, seed: int = 7) -> DataFrame:
 
 
 def given(docs: DataFrame, row: str, shards: int | None = None, seed: int = 7) -> DataFrame:
-    """What weigh() gives, with taken counted in the mixed rows themselves: their words, summed for each row of docs.
+    """What weigh() gives, with taken counted in the mixed rows themselves: their words, summed for each row of docs, and their shards.
 
     row: a column that differs in all rows of docs and stays the same when they are read again.
     """
-    dealt, goals = _deal(docs, shards, seed)
-    counted = dealt.select(F.col("row").getField(row).alias(row), words("text").alias("given")).groupBy(row).agg(F.sum("given").alias("taken"))
-    goals = F.broadcast(goals) if goals.count() <= BROADCAST_ROWS else goals
-    goals = goals.select(F.col("source").alias("__source"), "source_size", "target", F.col("full").alias("full_passes"))
-    every = _sized(docs, [row, "doc_id", "source"]).join(goals, F.col("source").eqNullSafe(F.col("__source"))).join(counted, row, "left")
-    return every.select("doc_id", F.col("size").cast("long"), F.col("source_size").cast("long"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "full_passes")
+    plan = Plan(docs, shards, seed)
+    counted = _deal(docs, plan).select(F.col("row").getField(row).alias(row), words("text").alias("given"), "shard")
+    counted = counted.groupBy(row).agg(F.sum("given").alias("taken"), F.array_sort(F.collect_set("shard")).alias("shards"))
+    goals = _small(plan.goals.select("__source", "source_size", "target", F.col("full").alias("full_passes")))
+    every = _sized(docs, [row, "doc_id", "source"])
+    every = every.join(goals, _of_source()).join(counted, row, "left")
+    return every.select(
+        "doc_id", F.col("size").cast("long"), F.col("source_size").cast("long"), "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "full_passes", F.coalesce("shards", F.array().cast("array<int>")).alias("shards"),
+    )
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix of all documents takes of each (the contract's digest columns)."""
     docs = table(spark, sf_dir, "documents")
     return given(docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("__row")), "__row")
