@@ -89,3 +89,22 @@ def test_rows_without_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "q r s t u"), (1, "a b c d")], "doc_id long, text string")
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in s.group(docs).collect()) == [(-1, -1), (-1, 1), (-1, 1), (1, 1)]
     assert sorted((r.doc_id or -1, r.text) for r in s.keep_first(docs).collect()) == [(-1, "q r s t u"), (1, "a b c d")]
+
+
+def test_hot_buckets_are_dealt_again(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    base = 0x1234_5678_0000_0000
+    fps = sorted({base | int(x) for x in rng.integers(0, 1 << 32, 150)} | {(base | int(x)) ^ (1 << int(b)) for x, b in zip(rng.integers(0, 1 << 12, 150), rng.integers(0, 32, 150))})
+    frame = spark.createDataFrame([(x,) for x in fps], "fp long")
+    whole = {tuple(r) for r in s.components(s.links(frame)).collect()}
+    monkeypatch.setattr(s, "HOT", 10)
+    assert {tuple(r) for r in s.components(s.links(frame)).collect()} == whole and whole
+
+
+def test_each_group_keeps_one_row_whatever_its_ids(spark):
+    rows = [(1, "a b c d", {"k": 1}, 5), (1, "q r s t u", {"k": 2}, 6), (2, "q r s t u", None, 7), (1, "a b c d", {"k": 3}, 5), (None, "z z z y", None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tags map<string,int>, __content int")
+    kept = s.keep_first(docs).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in kept) == [(-1, "z z z y"), (1, "a b c d"), (1, "q r s t u")]
+    assert [r.tags for r in kept if r.text == "a b c d"] == [{"k": 1}]
+    assert {r["__content"] for r in kept} == {5, 6, 8}

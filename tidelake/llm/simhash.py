@@ -18,12 +18,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import cut, per_batch, table
+from tidelake.llm.common import cut, per_batch, table, unused
 
 BITS, QUARTER, LIMIT, SEED = 64, 16, 2, 42
+#: Buckets with more fingerprints are dealt again by their other bits.
+HOT = 100_000
 #: Children of an index node.
 FANOUT = 8
 #: (query, node) pairs that one step of a search holds at most, about.
@@ -52,7 +54,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def _fingerprints():
     def each(batch: pa.RecordBatch) -> dict:
         found = np.array([fingerprint(t) for t in batch["text"].to_pylist()], np.uint64)
-        return {"doc_id": batch["doc_id"], "fp": found.view(np.int64)}
+        return {"doc_id": batch["doc_id"], "content": batch["content"], "fp": found.view(np.int64)}
 
     return each
 
@@ -140,7 +142,7 @@ def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 
 def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by bucket; whole buckets are searched together, in lots of some size."""
-    lot, held = 1 << 17, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    lot, held, size = 1 << 17, [], 0  # held: parts of (bucket, fp)
 
     def search(buckets: np.ndarray, fps: np.ndarray):
         index = GrayIndex(buckets, fps.view(np.uint64))
@@ -150,24 +152,43 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         return pa.RecordBatch.from_pydict({"a": sorted_fps[moved], "b": sorted_fps[label[moved]]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     for batch in batches:
-        held = tuple(np.concatenate([h, batch[c].to_numpy()]) for h, c in zip(held, ("bucket", "fp")))
-        if len(held[0]) >= lot:
-            whole = np.searchsorted(held[0], held[0][-1])  # the last bucket may go on
+        held.append((batch["bucket"].to_numpy(), batch["fp"].to_numpy()))
+        size += len(batch)
+        if size >= lot:
+            buckets, fps = map(np.concatenate, zip(*held))
+            whole = int(np.flatnonzero(buckets != buckets[-1])[-1]) + 1 if (buckets != buckets[-1]).any() else 0  # the last bucket may go on
             if whole:
-                yield search(held[0][:whole], held[1][:whole])
-                held = tuple(h[whole:] for h in held)
-    if len(held[0]):
-        yield search(*held)
+                yield search(buckets[:whole], fps[:whole])
+            held, size = [(buckets[whole:], fps[whole:])], len(buckets) - whole
+            lot = max(lot, 2 * size)  # so that a long bucket is copied as often as it doubles
+    if size:
+        yield search(*map(np.concatenate, zip(*held)))
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """(a, b): a spanning forest of all links between distinct fingerprints fp."""
+    """(a, b): a spanning forest of all links between distinct fingerprints fp.
+
+    A bucket of more than HOT fingerprints is dealt again in the same way: what its 32 agreed bits
+    leave is four 8-bit parts, of which linked fingerprints agree in two. Then 48 bits are agreed, so
+    no bucket has more than 2 ** 16 distinct fingerprints, whatever the corpus.
+    """
+    pairs = list(combinations(range(4), 2))
+
+    def dealt_by(bits: Column, width: int) -> list[Column]:
+        part = lambda i: F.shiftrightunsigned(bits, width * i).bitwiseAND((1 << width) - 1)
+        return [F.shiftleft(part(i), width).bitwiseOR(part(j)).bitwiseOR(F.lit(k << 2 * width)) for k, (i, j) in enumerate(pairs)]
+
     quarter = lambda i: F.shiftrightunsigned("fp", QUARTER * i).bitwiseAND((1 << QUARTER) - 1)
-    pairs = list(combinations(range(BITS // QUARTER), 2))
-    keys = [F.shiftleft(quarter(i), QUARTER).bitwiseOR(quarter(j)).bitwiseOR(F.lit(k << 2 * QUARTER)) for k, (i, j) in enumerate(pairs)]
-    buckets = fps.select("fp", F.explode(F.array(*keys)).alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    dealt = buckets.join(shared, "bucket").repartition("bucket").sortWithinPartitions("bucket")
+    left = [F.shiftleft(quarter(a), QUARTER).bitwiseOR(quarter(b)) for i, j in pairs for a, b in [[x for x in range(4) if x not in (i, j)]]]
+    cell = F.explode(F.array(*(F.struct(k.alias("bucket"), x.alias("left")) for k, x in zip(dealt_by(F.col("fp"), QUARTER), left))))
+    buckets = fps.select("fp", cell.alias("cell")).select("fp", "cell.*")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = buckets.join(shared, "bucket")
+    small = met.where(F.col("n") <= HOT).select("bucket", "fp")
+    again = met.where(F.col("n") > HOT).select("fp", "bucket", F.explode(F.array(*dealt_by(F.col("left"), QUARTER // 2))).alias("sub"))
+    # a bucket's number has 35 bits and a part's 19; bit 62 sets these apart from whole buckets
+    again = again.select(F.shiftleft("bucket", 19).bitwiseOR(F.col("sub")).bitwiseOR(F.lit(1 << 62)).alias("bucket"), "fp")
+    dealt = small.unionByName(again).repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_bucket_links, "a long, b long").distinct()
 
 
@@ -194,6 +215,19 @@ def components(edges: DataFrame) -> DataFrame:
         mark = state
 
 
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, content (hash of text), fp, root (smallest fingerprint of the group), component_id of every row."""
+    kept = docs.select("doc_id", "text", F.xxhash64("text").alias("content"))
+    schema = pa.schema([("doc_id", pa.int64()), ("content", pa.int64()), ("fp", pa.int64())])
+    prints = cut(kept.mapInArrow(per_batch(_fingerprints, schema), "doc_id long, content long, fp long"))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(links(distinct.select("fp")))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp").select("doc_id", "content", "fp", "root", "component_id")
+
+
 def group(docs: DataFrame) -> DataFrame:
     """doc_id, fp (signed), component_id for every row of docs (doc_id, text).
 
@@ -201,51 +235,30 @@ def group(docs: DataFrame) -> DataFrame:
     links like any other. Null ids are grouped too: a group of nothing else has a null component_id.
     Repeated rows come as often as they do in docs.
     """
-    prints = cut(docs.select("doc_id", "text").mapInArrow(per_batch(_fingerprints, pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])), "doc_id long, fp long"))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(distinct.select("fp")))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs).select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group: the smallest doc_id; of rows that share it, the first by text and the other columns.
+    """docs with exactly one row of each group: the smallest doc_id's, rows without an id last.
 
-    A group without any id keeps one row by the same order.
+    Of rows that share the id the one whose text has the least hash stays, and of rows that share the
+    text too the first by their other columns (as JSON). Groups are of rows, not of ids: where an id
+    stands in two groups, each keeps a row of its own.
     """
-    grouped = group(docs)
-    kept = grouped.select(F.col("component_id").alias("doc_id")).distinct()
-    with_id = docs.join(kept.where("doc_id is not null"), "doc_id", "left_semi")
-    lone = docs.where("doc_id is null")
-    if lone.limit(1).count():
-        # rows without an id stand for a group only where no row has one
-        ids = grouped.where("component_id is null").select(F.col("fp").alias("__fp")).distinct()
-        lone = lone.mapInArrow(_with_print(lone.columns), _schema_with_print(lone)).join(ids, "__fp", "left_semi").dropDuplicates(["__fp"]).select(*docs.columns)
-    else:
-        lone = lone.limit(0)
-    if docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").limit(1).count():
-        order = Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
-        with_id = with_id.withColumn("__turn", F.row_number().over(order)).where("__turn = 1").drop("__turn")
-    return with_id.select(*docs.columns).unionByName(lone)
-
-
-def _schema_with_print(docs: DataFrame):
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    return StructType([*docs.schema.fields, StructField("__fp", LongType())])
-
-
-def _with_print(columns: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([fingerprint(t) for t in batch["text"].to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*columns, "__fp"])
-
-    return run
+    content, turn, least, its = (unused(docs.columns, f"__{n}") for n in ("content", "turn", "id", "hash"))
+    rows = cut(_grouped(docs))
+    chosen = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("c"))
+    chosen = chosen.select(F.col("c.doc_id").alias(least), F.col("c.content").alias(its))
+    match = F.col(least).eqNullSafe(F.col("doc_id")) & (F.col(its) == F.col(content))
+    left = docs.withColumn(content, F.xxhash64("text")).join(chosen, match, "left_semi")
+    if rows.groupBy("doc_id", "content").count().where("count > 1").limit(1).count():
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        order = Window.partitionBy("doc_id", content).orderBy(F.to_json(F.struct(F.lit(0).alias("none"), *others)))
+        left = left.withColumn(turn, F.row_number().over(order)).where(F.col(turn) == 1)
+    return left.select(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (the contract's digest columns)."""
     found = group(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
