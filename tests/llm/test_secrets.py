@@ -69,3 +69,26 @@ def test_redact_keeps_rows_and_cuts_spans(spark):
 def test_empty_table(spark):
     assert secrets.findings_by_path(frame(spark, [])).count() == 0
     assert secrets.redact(frame(spark, [])).count() == 0
+
+
+def test_ledger_is_kept_and_only_grows(spark, tmp_path, monkeypatch):
+    path, new = str(tmp_path / "ledger"), secrets.RULES
+    monkeypatch.setattr(secrets, "RULES", {"base-1": new["base-1"]})
+    docs = frame(spark, TEXTS[:3])
+    before = {r.doc_id: r.findings for r in secrets.findings_by_path(docs, path).collect()}
+    assert secrets.ledger_at(spark, path).count() == 3
+    monkeypatch.setattr(secrets, "RULES", new)  # a second version of the rules, and more versions of texts
+    every = frame(spark, TEXTS + TEXTS[:1])
+    fresh = secrets.unseen(every, secrets.ledger_at(spark, path)).collect()
+    assert not {r.blob for r in fresh if r.rule_version == "base-1"} & {r.blob for r in secrets.ledger_at(spark, path).collect()}
+    after = {r.doc_id: r.findings for r in secrets.findings_by_path(every, path).collect()}
+    assert secrets.ledger_at(spark, path).count() == len({t or "" for t in TEXTS}) * len(new)
+    assert all(set(map(tuple, f)) <= set(map(tuple, after[i])) for i, f in before.items())
+    assert after == {r.doc_id: r.findings for r in secrets.findings_by_path(every).collect()}
+    assert secrets.unseen(every, secrets.ledger_at(spark, path)).count() == 0
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, TEXTS[0], "a", "b", {"k": 1}), (2, None, None, "c", None)], "doc_id long, text string, __spans string, __Blob string, tags map<string,int>")
+    out = {r.doc_id: r for r in secrets.redact(docs).collect()}
+    assert out[1].text.startswith("[secret]") and out[1]["__spans"] == "a" and out[1]["__Blob"] == "b" and out[2]["__Blob"] == "c"

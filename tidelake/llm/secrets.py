@@ -1,20 +1,23 @@
 """Secret scans over an incremental ledger of text blobs.
 
 Every version of every text is addressed by its SHA-256. A blob is scanned once for a rule set's
-version: the ledger holds the (blob, rule_version) pairs already scanned, with their findings, and
-only unseen pairs are scanned. Findings are then joined back to all rows (paths) that hold the blob.
+version: the ledger, a Parquet table that only grows, holds the (blob, rule_version) pairs already
+scanned, with their findings, and only unseen pairs are scanned. Findings are then read from the
+ledger and joined back to all rows (paths) that hold the blob.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import cut, per_batch, table
+from tidelake.llm.common import cut, per_batch, table, unused
+from tidelake.session import shared_dir
 
 #: Kinds in the order that breaks ties between spans with one start.
 KINDS = ("assign", "access", "hex", "github", "jwt", "private_key")
@@ -90,8 +93,8 @@ def blob_of(text: str) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
-def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(paths, ledger): doc_id and blob of every row, and the ledger with all pairs those rows need.
+def unseen(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """Rows of LEDGER for the pairs of docs that ledger lacks.
 
     docs: doc_id, text (other columns are left alone). A null text is the empty blob. Repeated rows
     and copies share a blob, which is scanned once. One row stands for a blob (the smallest doc_id,
@@ -99,32 +102,60 @@ def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None) -> tuple[DataF
     aggregated, never as texts.
     """
     rows = docs.select("doc_id", "text", blob_of("text").alias("blob"))
-    paths = rows.select("doc_id", "blob")
     versions = F.array(*(F.lit(v) for v in RULES))
-    first = paths.groupBy("blob").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("stands"))
+    first = rows.groupBy("blob").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("stands"))
     if ledger is not None:
         seen = ledger.groupBy("blob").agg(F.collect_set("rule_version").alias("seen"))
         first = first.join(seen, "blob", "left").withColumn("unseen", F.array_except(versions, F.coalesce("seen", F.array().cast("array<string>"))))
     else:
         first = first.withColumn("unseen", versions)
     first = first.where(F.size("unseen") > 0).select("blob", "stands", "unseen")
-    new = (
+    return (
         rows.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("stands"), "blob", "text")
         .join(first, ["blob", "stands"])
         .select("blob", "text", "unseen")
         .mapInArrow(per_batch(_scan, pa.schema([("blob", pa.binary()), ("rule_version", pa.string()), ("findings", _FOUND)])), LEDGER)
         .dropDuplicates(["blob", "rule_version"])  # rows repeated whole are scanned twice
     )
+
+
+def scan_unseen(docs: DataFrame, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(paths, ledger): doc_id and blob of every row, and the ledger with all pairs those rows need."""
+    new = unseen(docs, ledger)
+    paths = docs.select("doc_id", blob_of("text").alias("blob"))
     return paths, new if ledger is None else ledger.select("blob", "rule_version", "findings").unionByName(new)
 
 
-def findings_by_path(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """doc_id, blob, findings (start, kind, end; sorted) of every row of docs, without findings too."""
-    paths, known = scan_unseen(docs, ledger)
-    known = cut(known.where((F.size("findings") > 0) & F.col("rule_version").isin(*RULES)))
+def ledger_at(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger written at path, or None where there is none yet."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return None
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def update_ledger(docs: DataFrame, path: str) -> DataFrame:
+    """Scans the pairs of docs that the ledger at path has not seen and appends them; gives the whole ledger.
+
+    A run that is cut short appends nothing (Parquet commits at the end), and one that is run again
+    finds nothing unseen.
+    """
+    unseen(docs, ledger_at(docs.sparkSession, path)).write.mode("append").parquet(path)
+    return ledger_at(docs.sparkSession, path)
+
+
+def findings_by_path(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, blob, findings (start, kind, end; sorted) of every row of docs, without findings too.
+
+    path: where the ledger is, or begins; a new one in the shared folder if None. Findings of all versions in RULES are given. A blob that a
+    third of all rows hold meets its findings in a join that Spark can split.
+    """
+    known = update_ledger(docs, path or f"{shared_dir(docs.sparkSession)}/secret-ledger-{uuid.uuid4().hex}")
+    paths = docs.select("doc_id", blob_of("text").alias("blob"))
+    known = known.where((F.size("findings") > 0) & F.col("rule_version").isin(*RULES))
     order = F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))))
     by_blob = known.groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("f"))
-    by_blob = by_blob.select("blob", F.array_sort(F.transform("f", lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))).alias("findings"))
+    by_blob = cut(by_blob.select("blob", F.array_sort(F.transform("f", lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))).alias("findings")))
     return paths.join(by_blob, "blob", "left").select("doc_id", "blob", F.coalesce("findings", F.array().cast(by_blob.schema["findings"].dataType)).alias("findings"))
 
 
@@ -134,25 +165,26 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     Overlapping spans are one. All other columns and rows stay, null texts too. Rows meet their
     findings by content, so rows without a doc_id are redacted like any other.
     """
-    _, known = scan_unseen(docs)
-    spans = known.where(F.size("findings") > 0).groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("__spans"))
-    spans = cut(spans.select(F.col("blob").alias("__blob"), "__spans"))
-    found = docs.withColumn("__blob", blob_of("text")).join(spans, "__blob", "left")
-    ordered = F.array_sort(F.transform("__spans", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+    known = unseen(docs)
+    blob, held = unused(docs.columns, "__blob"), unused(docs.columns, "__spans")
+    spans = known.where(F.size("findings") > 0).groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias(held))
+    spans = cut(spans.select(F.col("blob").alias(blob), held))
+    found = docs.withColumn(blob, blob_of("text")).join(spans, blob, "left")
+    ordered = F.array_sort(F.transform(held, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
     state = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     step = lambda a, x: F.struct(
         F.when(x["start"] >= a["at"], F.concat(a["out"], F.col("text").substr(a["at"] + 1, x["start"] - a["at"]), F.lit(mark))).otherwise(a["out"]).alias("out"),
         F.greatest(a["at"], x["end"]).alias("at"),
     )
     clean = F.aggregate(ordered, state, step, lambda a: F.concat(a["out"], F.col("text").substr(a["at"] + 1, F.length("text"))))
-    out = found.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(clean))
+    out = found.withColumn("text", F.when(F.col(held).isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(held).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and spans of secrets in every text of documents (the contract's digest columns)."""
+    """Counts and spans of secrets in every text of documents (the contract's digest columns), through a new ledger."""
     found = findings_by_path(table(spark, sf_dir, "documents"))
     said = lambda kinds: F.array_join(F.transform(F.filter("findings", lambda x: x["kind"].isin(*kinds)), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     count = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long")
