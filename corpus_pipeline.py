@@ -7,13 +7,13 @@ last give the columns of documents.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.llm import mixing, packing, secrets, simhash, toxicity
 from tidelake.llm.common import table
+from tidelake.session import shared_dir
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +55,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in turn over documents."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="pipeline-")
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}/{name}"
+        path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
