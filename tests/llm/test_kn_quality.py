@@ -2,14 +2,13 @@ import math
 import random
 from collections import Counter, defaultdict
 
-import pyarrow as pa
 import pytest
 
 from tidelake.llm import kn_quality as k
 
 
 def symbols_of(text):
-    return [0] * (k.ORDER - 1) + [int(k.symbols()[b]) for b in text.encode()]
+    return [0] * (k.ORDER - 1) + [b + 1 for b in text.encode()]
 
 
 def brute(texts):
@@ -49,17 +48,58 @@ def brute(texts):
     return p
 
 
-def test_probabilities_match_the_definition(spark):
+def perplexities(spark, texts):
+    """text -> perplexity under the model of the other fold, by the definition, and its fold."""
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    fold = {r.text: r.fold for r in frame.withColumn("fold", k.fold_of("text")).collect()}
+
+    def of(trusted, text):
+        p = of.models.setdefault(fold[text], brute([t for t in trusted if fold[t] != fold[text]]))
+        s = symbols_of(text)
+        return math.exp(-sum(math.log(p(tuple(s[i - k.ORDER + 1 : i + 1]))) for i in range(k.ORDER - 1, len(s))) / (len(s) - k.ORDER + 1))
+
+    of.models = {}
+    return of
+
+
+def test_perplexity_thresholds_and_kept_match_the_definition(spark, monkeypatch):
     rng = random.Random(6)
-    texts = ["".join(rng.choice("aabbcd eÉ.") for _ in range(rng.randrange(60))) for _ in range(80)] + [None, "", "é"]
-    table = k.surprise(k.train(spark.createDataFrame([(t,) for t in texts], "text string")))
-    p = brute(texts)
-    found, _ = k.grams(pa.array(texts + ["zzA", "a b.c"]))
-    for g in set(found.tolist()):
-        parts = tuple((g >> k.BITS * i) & (k.SYMBOLS - 1) for i in range(k.ORDER - 1, -1, -1))
-        assert table[g] == pytest.approx(-math.log(p(parts)), rel=1e-4)
-    for context in ((0, 1, 2), (1, 1, 1), (60, 1, 2)):
-        assert sum(p((*context, s)) for s in range(k.SYMBOLS)) == pytest.approx(1, rel=1e-6)
+    texts = ["".join(rng.choice("aabbcd eÉ.") for _ in range(rng.randrange(1, 60))) for _ in range(90)] + ["é", "zzA qqq", "\0\0a"]
+    docs = [(i, t, ["la", "xx", None, "few"][0 if i > 60 else i % 3 if i else 3]) for i, t in enumerate(texts)] + [(200, None, "la"), (201, "", "xx"), (202, texts[5], "none")]
+    labels = [(i, int(i % 5 != 1)) for i in range(90)] + [(None, 1), (0, 1), (300, 1)]
+    trusted = {i for i, q in labels if q and i is not None}
+    learned = [t for i, t, _ in docs if i in trusted]
+    of = perplexities(spark, texts)
+    want = {i: of(learned, t) for i, t, _ in docs if t}
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in k.classify(frame, spark.createDataFrame(labels, "doc_id long, quality int"), 0.9).collect()}
+    assert got.keys() == {i for i, *_ in docs}
+    limit, pools = {}, defaultdict(list)
+    for i, _, lang in docs:
+        if i in trusted:
+            pools[lang].append(got[i].perplexity)
+    for lang, xs in pools.items():
+        limit[lang] = sorted(xs)[math.ceil(0.9 * len(xs)) - 1]
+    every = sorted(x for xs in pools.values() for x in xs)
+    for i, t, lang in docs:
+        assert got[i].threshold == pytest.approx(limit.get(lang, every[math.ceil(0.9 * len(every)) - 1]))
+        if not t:
+            assert got[i].perplexity is None and not got[i].kept
+            continue
+        assert got[i].perplexity == pytest.approx(want[i], rel=1e-4)
+        assert got[i].kept == (got[i].perplexity <= got[i].threshold) and got[i].n_symbols == len(t.encode())
+    monkeypatch.setattr(k, "LOT_ROWS", 4)
+    monkeypatch.setattr(k, "HELD", 20)
+    monkeypatch.setattr(k, "LOT", 7)  # texts come in pieces
+    monkeypatch.setattr("tidelake.llm.common.LOT", 7)
+    again = {r.doc_id: r for r in k.classify(frame, spark.createDataFrame(labels, "doc_id long, quality int"), 0.9).collect()}
+    assert all(again[i].kept == r.kept and (r.perplexity is None or again[i].perplexity == pytest.approx(r.perplexity, rel=1e-6)) for i, r in got.items())
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    p = brute(["abab cab", "é a b", ""])
+    for context in ((0, 0, 0, 0), (98, 99, 98, 99), (5, 5, 5, 5), (0, 0, 98, 99)):
+        assert sum(p((*context, s)) for s in range(1, k.SYMBOLS + 1)) == pytest.approx(1, rel=1e-6)
 
 
 def test_junk_goes_and_clean_stays(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.session import shared_folder
+from tidelake.session import shared_dir, shared_folder
 
 #: Bytes that part words: space and the five ASCII control characters 09 to 0D.
 BLANK = np.zeros(256, bool)
@@ -46,6 +47,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df, computed once and kept as Parquet in the shared folder; smaller than a checkpoint of narrow rows."""
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def unused(columns: list[str], name: str) -> str:
     """name, or name with underscores before it: one that no column has, in any case of letters."""
     taken = {c.lower() for c in columns}

@@ -1,164 +1,292 @@
 """A quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over bytes folded to SYMBOLS classes, in grams of ORDER symbols, so a gram is an
-integer below SYMBOLS ** ORDER. Grams of all trusted texts are counted in Spark; counts, the
-continuation counts of lower orders and the discounts' context sums are joined, sharded by context,
-to probabilities. That table has at most SYMBOLS ** ORDER = 2 ** 24 rows whatever the corpus, so
-it is broadcast (134 MB at the most) and texts are scored where they are read, without a shuffle.
-
-A document's score is its mean negative log probability per byte less Z standard errors, so that
-short texts aren't rejected by chance. It is kept if the score is at most its language's quantile
-among trusted documents that were held out from training; languages with fewer than LEAST of them
-share one quantile of all.
+Grams are of ORDER bytes of UTF-8, unfolded, in integers of 9 bits a symbol (0 stands before a text).
+Trusted documents fall into two folds by their text's hash, and a document is scored by the model of
+the other fold, so no text is scored by a model that has seen it, copies included, and every trusted
+document counts for the thresholds.
+
+Counts, continuation counts of lower orders, discounts and context sums are tables in Spark, keyed by
+gram and fold and joined by shards; nothing but four counts of counts an order and fold reaches the
+driver. Documents are read in lots of LOT_ROWS neighbouring rows: a lot asks for its distinct grams,
+all lots' grams are resolved once (seen, or backed off order by order), and the answers meet the lot's
+rows again in one shuffle, where each document's perplexity is summed.
+
+A document is kept if its perplexity is at most its language's quantile among trusted documents.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import crc_of_id, cut, per_batch, table, text_bytes
-
-BITS, ORDER = 6, 4
-SYMBOLS = 1 << BITS
-#: One trusted document in FOLDS sets the quantiles; the others train the model.
-FOLDS = 5
-LEAST = 100
-Z = 2.0
-
-
-def symbols() -> np.ndarray:
-    """Class of each byte: 0 is kept for what comes before a text."""
-    out = np.full(256, 34, np.int64)  # other ASCII
-    out[ord("a") : ord("z") + 1] = np.arange(1, 27)
-    out[ord("A") : ord("Z") + 1] = 27
-    out[ord("0") : ord("9") + 1] = 28
-    for k, chars in enumerate(("\t ", "\n\r", ".", ",", "#*$%&|<>", "!?", "'\"", "-_", "(){}[]", ":;=+/\\"), 29):
-        for c in chars:
-            out[ord(c)] = k if k < 34 else k + 1
-    out[128:] = 40 + np.arange(128) % 24
-    return out
+from tidelake.llm.common import LOT, cut, lots, small_batches, table, text_bytes, written
 
+#: Bits of a symbol: bytes are 1 to 256.
+BITS, ORDER = 9, 5
+SYMBOLS = 256
+FOLDS = 2
+#: Rows of a lot, about; lots bound how often a gram is asked for, results don't depend on them.
+LOT_ROWS = 1 << 14
+#: Grams that a task counts before it hands them on.
+HELD = 4_000_000
+_FOLD_AT = BITS * ORDER
 
-def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(gram that ends at each byte, offsets of rows); each text begins after ORDER - 1 zeros."""
-    data, offsets = text_bytes(texts)
+
+def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The gram that ends at each byte; each text begins after ORDER - 1 zeros."""
     n, rows = len(data), len(offsets) - 1
-    padded = np.zeros(n + (ORDER - 1) * rows, np.int64)
     at = np.arange(n) + (ORDER - 1) * np.repeat(np.arange(1, rows + 1), np.diff(offsets))
-    padded[at] = symbols()[data]
-    out = padded[at]
+    padded = np.zeros(n + (ORDER - 1) * rows, np.int64)
+    padded[at] = data
+    padded[at] += 1
+    whole = padded.copy()
     for k in range(1, ORDER):
-        out |= padded[at - k] << (BITS * k)
-    return out, offsets
+        whole[k:] |= padded[:-k] << (BITS * k)
+    return whole[at]
 
 
-def _count():
-    def each(batch: pa.RecordBatch) -> dict:
-        found = np.bincount(grams(batch["text"])[0], minlength=1)
-        seen = np.flatnonzero(found)
-        return {"gram": seen.astype(np.int32), "n": found[seen]}
+def fold_of(text: str | Column) -> Column:
+    """The fold of a text's document: 0 or 1."""
+    return F.pmod(F.xxhash64(F.lit(29), text), F.lit(FOLDS)).cast("int")
 
-    return each
 
+def _pieces(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(grams with the model's number, offsets of rows), at once; a text over LOT bytes comes in pieces. A row's model is its column fold."""
+    data, offsets = text_bytes(part["text"])
+    fold = part["fold"].to_numpy(zero_copy_only=False).astype(np.int64) << _FOLD_AT
+    if len(part) > 1 or len(data) <= LOT:
+        yield grams(data, offsets) | np.repeat(fold, np.diff(offsets)), offsets
+        return
+    for at in range(0, len(data), LOT):
+        lead = min(at, ORDER - 1)
+        piece = data[at - lead : at + LOT]
+        keys = grams(piece, np.array([0, len(piece)]))[lead:] | fold[0]
+        yield keys, np.array([0, len(keys)])
 
-def _discounts(counts: DataFrame, order: int) -> list[float]:
-    """D1, D2, D3+ of an order from its counts of counts; of absolute discounting where they are too few."""
-    found = dict(counts.where("c <= 4").groupBy("c").count().collect())
-    n1, n2, n3, n4 = (found.get(i, 0) for i in range(1, 5))
-    if not (n1 and n2 and n3 and n4):
-        return [0.5, 0.75, 0.75]
-    y = n1 / (n1 + 2 * n2)
-    ds = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return [min(max(d, 0.05), i - 0.05) for i, d in enumerate(ds, 1)]
 
+class _Tally:
+    """Distinct keys and their counts, merged lot by lot."""
 
-def train(trusted: DataFrame) -> list[pd.DataFrame]:
-    """Per order 1 to ORDER: gram, p of seen grams and, on one of its rows, the context's backoff weight.
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
 
-    trusted: text. Null and empty texts add nothing; repeated rows count as often as they come.
-    """
-    counted = trusted.select("text").mapInArrow(per_batch(_count, pa.schema([("gram", pa.int32()), ("n", pa.int64())])), "gram int, n long")
-    top = cut(counted.groupBy("gram").agg(F.sum("n").alias("c")))
-    tables = {ORDER: top}
-    for k in range(ORDER - 1, 0, -1):  # how many different symbols come before the gram
-        tables[k] = cut(tables[k + 1].groupBy(F.col("gram").bitwiseAND((1 << BITS * k) - 1).alias("gram")).agg(F.count("*").alias("c")))
-    lower, out = None, []
-    for k in range(1, ORDER + 1):
-        d1, d2, d3 = _discounts(tables[k], k)
-        discount = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        keyed = tables[k].withColumn("context", F.shiftright("gram", BITS)).withColumn("d", discount)
-        sums = keyed.groupBy("context").agg(F.sum("c").alias("all"), F.sum("d").alias("held"))
-        joined = keyed.join(sums, "context").withColumn("backoff", F.col("held") / F.col("all"))
-        if lower is None:
-            joined = joined.withColumn("below", F.lit(1.0 / SYMBOLS))
-        else:
-            joined = joined.withColumn("tail", F.col("gram").bitwiseAND((1 << BITS * (k - 1)) - 1)).join(lower.select(F.col("gram").alias("tail"), F.col("p").alias("below")), "tail")
-        lower = cut(joined.select("gram", "context", "backoff", ((F.col("c") - F.col("d")) / F.col("all") + F.col("backoff") * F.col("below")).alias("p")))
-        out.append(lower.select("gram", F.col("backoff").cast("float"), F.col("p").cast("float")).toPandas())
+    def add(self, keys: np.ndarray) -> None:
+        found = np.unique(keys, return_counts=True)
+        self.parts.append(found)
+        self.size += len(found[0])
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = (np.concatenate([p[i] for p in self.parts]) if self.parts else np.zeros(0, np.int64) for i in (0, 1))
+        whole, at = np.unique(keys, return_inverse=True)
+        total = np.zeros(len(whole), np.int64)
+        np.add.at(total, at, counts)
+        self.parts, self.size = [(whole, total)], len(whole)
+        return whole, total
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, n) of a task's texts."""
+    schema, tally = pa.schema([("gram", pa.int64()), ("n", pa.int64())]), _Tally()
+    for batch in batches:
+        for a, b in lots(batch["text"]):
+            for keys, _ in _pieces(batch.slice(a, b - a)):
+                tally.add(keys)
+                if tally.size > HELD and len(tally.merge()[0]) > HELD // 2:
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, tally.merge())), schema=schema)
+                    tally = _Tally()
+    yield pa.RecordBatch.from_arrays(list(map(pa.array, tally.merge())), schema=schema)
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lot, gram): the distinct grams of each lot. A lot's rows come one after another."""
+    schema, tally, now = pa.schema([("lot", pa.int64()), ("gram", pa.int64())]), _Tally(), None
+
+    def done() -> pa.RecordBatch:
+        keys = tally.merge()[0]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), now, np.int64)), pa.array(keys)], schema=schema)
+
+    for batch in batches:
+        lot = batch["lot"].to_numpy()
+        edges = np.flatnonzero(np.diff(lot)) + 1
+        for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(lot)]):
+            if j > i and lot[i] != now:
+                if now is not None:
+                    yield done()
+                tally, now = _Tally(), int(lot[i])
+            part = batch.slice(i, j - i)
+            for a, b in lots(part["text"]):
+                for keys, _ in _pieces(part.slice(a, b - a)):
+                    tally.add(keys)
+                    if tally.size > HELD and len(tally.merge()[0]) > HELD // 2:
+                        yield done()
+                        tally = _Tally()
+    if now is not None:
+        yield done()
+
+
+def _order(df: DataFrame, k: int) -> Column:
+    """The fold and last k symbols of gram."""
+    return F.shiftleft(F.shiftright("gram", _FOLD_AT), _FOLD_AT).bitwiseOR(F.col("gram").bitwiseAND((1 << BITS * k) - 1))
+
+
+def _context(k: int) -> Column:
+    """The fold and first k - 1 of the last k symbols of gram."""
+    return F.shiftleft(F.shiftright("gram", _FOLD_AT), _FOLD_AT).bitwiseOR(F.shiftright(F.col("gram").bitwiseAND((1 << BITS * k) - 1), BITS))
+
+
+def _discounts(counts: DataFrame) -> list[list[float]]:
+    """D1, D2, D3+ of each fold from its counts of counts; of absolute discounting where they are too few."""
+    found = {(f, c): n for f, c, n in counts.where("c <= 4").groupBy(F.shiftright("gram", _FOLD_AT).cast("int"), "c").count().collect()}
+    out = []
+    for fold in range(FOLDS):
+        n1, n2, n3, n4 = (found.get((fold, i), 0) for i in range(1, 5))
+        if not (n1 and n2 and n3 and n4):
+            out.append([0.5, 0.75, 0.75])
+            continue
+        y = n1 / (n1 + 2 * n2)
+        ds = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+        out.append([min(max(d, 0.05), i - 0.05) for i, d in enumerate(ds, 1)])
     return out
 
 
-def surprise(model: list[pd.DataFrame]) -> np.ndarray:
-    """Negative log probability of each possible gram's last symbol, seen or backed off."""
-    p = np.full(1, 1.0 / SYMBOLS, np.float32)
-    for k, found in enumerate(model, 1):
-        backoff = np.ones(1 << BITS * (k - 1), np.float32)
-        gram = found["gram"].to_numpy()
-        backoff[gram >> BITS] = found["backoff"]
-        # gram = context * SYMBOLS + symbol; its lower-order gram is its last k - 1 symbols
-        p = np.repeat(p, SYMBOLS) if k == 1 else np.tile(p, SYMBOLS)
-        p *= np.repeat(backoff, SYMBOLS)
-        p[gram] = found["p"]
-    return -np.log(p)
+class Model:
+    """Of each order 1 to ORDER: seen, (gram, p) of the grams with a count, and backoff, (gram, weight) of contexts."""
 
+    def __init__(self, trusted: DataFrame) -> None:
+        """trusted: text, fold (the model that counts it). Null and empty texts add nothing; repeated rows count as often as they come."""
+        counted = trusted.select("text", "fold").mapInArrow(_count, "gram long, n long")
+        tables = {ORDER: cut(counted.groupBy("gram").agg(F.sum("n").alias("c")))}
+        for k in range(ORDER - 1, 0, -1):  # how many different symbols come before the gram
+            tables[k] = cut(tables[k + 1].groupBy(_order(tables[k + 1], k).alias("gram")).agg(F.count("*").alias("c")))
+        self.seen, self.backoff = {}, {}
+        for k in range(1, ORDER + 1):
+            discounts = _discounts(tables[k])
+            by_fold = F.array(*(F.array(*map(F.lit, d)) for d in discounts))
+            d = F.element_at(F.element_at(by_fold, F.shiftright("gram", _FOLD_AT).cast("int") + 1), F.least("c", F.lit(3)).cast("int"))
+            keyed = tables[k].select("gram", "c", _context(k).alias("context"), d.alias("d"))
+            sums = keyed.groupBy("context").agg(F.sum("c").alias("all"), F.sum("d").alias("held"))
+            self.backoff[k] = cut(sums.select(F.col("context").alias("gram"), (F.col("held") / F.col("all")).alias("weight"), "all"))
+            met = keyed.join(self.backoff[k].withColumnRenamed("gram", "context"), "context")
+            if k == 1:
+                met = met.withColumn("below", F.lit(1.0 / SYMBOLS))
+            else:
+                met = met.withColumn("tail", _order(met, k - 1)).join(self.seen[k - 1].select(F.col("gram").alias("tail"), F.col("p").alias("below")), "tail")
+            self.seen[k] = cut(met.select("gram", ((F.col("c") - F.col("d")) / F.col("all") + F.col("weight") * F.col("below")).alias("p")))
 
-def _score(shared):
-    def make():
-        table_ = surprise(shared.value)
+    def p(self, asked: DataFrame, k: int = ORDER) -> DataFrame:
+        """gram, p of every gram of asked (distinct): its own where it was seen, else its tail's, weighed by its context."""
+        met = asked.join(self.seen[k], "gram", "left")
+        if k == 1:
+            known = met.join(self.backoff[1].select(F.col("gram").alias("context"), "weight"), F.col("context") == _context(1), "left")
+            return known.select("gram", F.coalesce("p", F.coalesce("weight", F.lit(1.0)) / SYMBOLS).alias("p"))
+        met = cut(met)
+        unseen = met.where("p is null").select("gram", _order(met, k - 1).alias("tail"), _context(k).alias("context"))
+        tails = self.p(cut(unseen.select(F.col("tail").alias("gram")).distinct()), k - 1)
+        weighed = unseen.join(self.backoff[k].select(F.col("gram").alias("context"), "weight"), "context", "left")
+        backed = weighed.join(tails.select(F.col("gram").alias("tail"), "p"), "tail")
+        return met.where("p is not null").select("gram", "p").unionByName(backed.select("gram", (F.coalesce("weight", F.lit(1.0)) * F.col("p")).alias("p")))
 
-        def each(batch: pa.RecordBatch) -> dict:
-            found, offsets = grams(batch["text"])
-            nll = table_[found].astype(np.float64)
-            sums = [np.concatenate([[0.0], np.cumsum(x)]) for x in (nll, nll * nll)]
-            n = np.diff(offsets)
-            total, squares = (s[offsets[1:]] - s[offsets[:-1]] for s in sums)
-            some = np.maximum(n, 1)
-            mean = total / some
-            error = np.sqrt(np.maximum(squares / some - mean * mean, 0) / some)
-            null = n == 0
-            return {"doc_id": batch["doc_id"], "lang": batch["lang"], "n_symbols": n, "nll": pa.array(mean, mask=null), "score": pa.array(mean - Z * error, mask=null)}
 
-        return each
+_SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("nll", pa.float64())])
 
-    return make
 
+class _Answers:
+    """Looks grams up: by a table of slots, and by halving where two grams share one."""
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99) -> DataFrame:
-    """doc_id, lang, n_symbols (bytes), perplexity, score, threshold, kept of every row of docs.
+    def __init__(self, keys: np.ndarray, nll: np.ndarray) -> None:
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.nll = keys[order], nll[order]
+        bits = min(22, len(keys).bit_length() + 3)
+        self.shift, self.slots = np.uint64(64 - bits), np.zeros(1 << bits, np.int32)
+        self.slots[self._slot(self.keys)] = np.arange(len(keys))
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.slots[self._slot(keys)]
+        other = np.flatnonzero(self.keys[at] != keys)
+        at[other] = np.searchsorted(self.keys, keys[other])
+        return self.nll[at]
+
+
+def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by lot, answers before documents; gives each document's mean surprise."""
+    now, held, answers = None, [], None
+    for batch in batches:
+        lot, doc = batch["lot"].to_numpy(), batch["doc"].to_numpy(zero_copy_only=False)
+        edges = (np.flatnonzero((np.diff(lot) != 0) | np.diff(doc)) + 1).tolist()
+        for i, j in zip([0, *edges], [*edges, len(lot)]):
+            if j == i:
+                continue
+            part = batch.slice(i, j - i)
+            if lot[i] != now:
+                now, held, answers = lot[i], [], None
+            if not doc[i]:
+                held.append((part["gram"].to_numpy(), part["nll"].to_numpy()))
+                continue
+            if answers is None:
+                keys, nll = map(np.concatenate, zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, np.float32))
+                answers, held = _Answers(keys, nll), []
+            for a, b in lots(part["text"]):
+                rows = part.slice(a, b - a)
+                n, total = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+                for keys, offsets in _pieces(rows):
+                    upto = np.concatenate([[0.0], np.cumsum(answers(keys) if len(keys) else np.zeros(0), dtype=np.float64)])
+                    n += np.diff(offsets)
+                    total += upto[offsets[1:]] - upto[offsets[:-1]]
+                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["lang"], pa.array(n), pa.array(total / np.maximum(n, 1), mask=n == 0)], schema=_SCORED)
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, lot: Column | None = None) -> DataFrame:
+    """doc_id, lang, n_symbols (bytes), perplexity, threshold, kept of every row of docs.
 
     docs: doc_id, text, lang; labels: doc_id, quality (1: trusted). Empty and null texts have no
-    perplexity and aren't kept. A null language is one of its own. Without trusted held-out
-    documents there is no threshold and every text is kept.
+    perplexity and aren't kept. A null language is one of its own. A language without any trusted
+    text takes the quantile of all trusted texts; without those there is no threshold and every
+    text is kept. Repeated rows come as often as they do in docs; a repeated id that is trusted is
+    trusted in all its rows.
+
+    lot: a number that neighbouring rows of docs share and that stays when docs is read again; by
+    default docs is cut first and numbered as it lies.
     """
-    ids = labels.where("quality = 1").select("doc_id").distinct()
-    fold = crc_of_id("doc_id") % FOLDS
-    trusted = docs.select("doc_id", "text").join(ids.where(fold > 0).hint("merge"), "doc_id", "left_semi")  # labels grow with the corpus
-    shared = docs.sparkSession.sparkContext.broadcast(train(trusted))
-    schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("nll", pa.float64()), ("score", pa.float64())])
-    scored = docs.select("doc_id", "text", F.col("lang").cast("string")).mapInArrow(per_batch(_score(shared), schema), "doc_id long, lang string, n_symbols long, nll double, score double")
-    scored = cut(scored)
-    held = scored.where("score is not null").join(ids.where(fold == 0), "doc_id", "left_semi")
-    cutoff = F.percentile_approx("score", quantile, 10_000)
-    limits = held.groupBy("lang").agg(F.count("*").alias("n"), cutoff.alias("own")).where(F.col("n") >= LEAST)
+    small_batches(docs.sparkSession)
+    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), *([] if lot is None else [lot.alias("lot")]))
+    if lot is None:
+        rows = cut(rows).withColumn("lot", F.shiftright(F.monotonically_increasing_id(), LOT_ROWS.bit_length() - 1))
+    rows = rows.withColumn("fold", fold_of("text"))
+    ids = cut(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
+    trusted = rows.select("doc_id", "text", "fold").join(ids.hint("merge"), "doc_id", "left_semi")  # labels grow with the corpus
+    model = Model(trusted)
+    # a document is scored by the model that has not counted its fold
+    asks = rows.select("lot", "text", (1 - F.col("fold")).alias("fold")).mapInArrow(_ask, "lot long, gram long")
+    asks = written(asks)
+    answers = asks.join(model.p(cut(asks.select("gram").distinct())), "gram")
+    null = lambda kind: F.lit(None).cast(kind)
+    known = answers.select(
+        "lot", F.lit(False).alias("doc"), "gram", (-F.log("p")).cast("float").alias("nll"),
+        null("long").alias("doc_id"), null("string").alias("lang"), null("string").alias("text"), null("int").alias("fold"),
+    )
+    texts = rows.select("lot", F.lit(True).alias("doc"), null("long").alias("gram"), null("float").alias("nll"), "doc_id", "lang", "text", (1 - F.col("fold")).alias("fold"))
+    met = known.unionByName(texts).repartition("lot").sortWithinPartitions("lot", "doc")
+    scored = met.mapInArrow(_sum, "doc_id long, lang string, n_symbols long, nll double")
+    scored = written(scored)
+    held = scored.where("nll is not null").join(ids, "doc_id", "left_semi").select("lang", F.exp("nll").alias("perplexity"))
+    cutoff = F.percentile_approx("perplexity", quantile, 10_000)
+    limits = cut(held.groupBy("lang").agg(cutoff.alias("own")))
     common = held.agg(cutoff).head()[0]
-    joined = scored.alias("s").join(limits.alias("l"), F.col("s.lang").eqNullSafe(F.col("l.lang")), "left").select("s.*", F.coalesce("l.own", F.lit(common).cast("double")).alias("threshold"))
-    kept = F.coalesce(F.col("score") <= F.col("threshold"), F.col("score").isNotNull())
-    return joined.select("doc_id", "lang", "n_symbols", F.exp("nll").alias("perplexity"), "score", "threshold", kept.alias("kept"))
+    joined = scored.alias("s").join(limits.alias("l"), F.col("s.lang").eqNullSafe(F.col("l.lang")), "left")
+    joined = joined.select("s.doc_id", "s.lang", "n_symbols", F.exp("nll").alias("perplexity"), F.coalesce("own", F.lit(common).cast("double")).alias("threshold"))
+    return joined.withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.col("perplexity").isNotNull()))
 
 
 def op9_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    """Perplexity, threshold and verdict of every document; lots are runs of rows of a file."""
+    docs = table(spark, sf_dir, "documents")
+    lot = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / LOT_ROWS))
+    return classify(docs, table(spark, sf_dir, "labels"), lot=lot)
