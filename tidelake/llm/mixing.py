@@ -230,7 +230,8 @@ def _deal(docs: DataFrame, plan: Plan) -> DataFrame:
     each = rows.withColumn("deal", F.explode(F.when(F.col("size") == 0, empty).otherwise(taken)))
     each = each.withColumns({"pass": F.col("deal.pass"), "shard": F.col("deal.shard")})
     each = each.withColumn("cut", (F.col("pass") == F.col("full")) & (F.col("part") < F.col("size")))
-    each = each.withColumn("text", first_words(F.col("row.text"), F.when(F.col("cut"), F.col("part"))))
+    shorter = first_words(F.when(F.col("cut"), F.col("row.text")), F.when(F.col("cut"), F.col("part")))  # few texts go to Python
+    each = each.withColumn("text", F.when(F.col("cut"), shorter).otherwise(F.col("row.text")))
     return each.repartition(plan.shards, "shard").sortWithinPartitions("shard", F.xxhash64("key", "pass", F.lit(plan.seed)))
 
 
