@@ -88,7 +88,7 @@ def test_perplexity_thresholds_and_kept_match_the_definition(spark, monkeypatch)
             continue
         assert got[i].perplexity == pytest.approx(want[i], rel=1e-4)
         assert got[i].kept == (got[i].perplexity <= got[i].threshold) and got[i].n_symbols == len(t.encode())
-    monkeypatch.setattr(k, "LOT_ROWS", 4)
+    monkeypatch.setattr(k, "LOT_BYTES", 200)
     monkeypatch.setattr(k, "HELD", 20)
     monkeypatch.setattr(k, "LOT", 7)  # texts come in pieces
     monkeypatch.setattr("tidelake.llm.common.LOT", 7)

@@ -7,9 +7,9 @@ document counts for the thresholds.
 
 Counts, continuation counts of lower orders, discounts and context sums are tables in Spark, keyed by
 gram and fold and joined by shards; nothing but four counts of counts an order and fold reaches the
-driver. Documents are read in lots of LOT_ROWS neighbouring rows: a lot asks for its distinct grams,
+driver. Documents are read in lots of neighbouring rows, LOT_BYTES of text each: a lot asks for its distinct grams,
 all lots' grams are resolved once (seen, or backed off order by order), and the answers meet the lot's
-rows again in one shuffle, where each document's perplexity is summed.
+rows, compressed, again in one shuffle, where each document's perplexity is summed.
 
 A document is kept if its perplexity is at most its language's quantile among trusted documents.
 """
@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import LOT, cut, lots, small_batches, table, text_bytes, written
+from tidelake.llm.common import LOT, cut, lots, release, small_batches, table, text_bytes, written
 
 #: Bits of a symbol: bytes are 1 to 256.
 BITS, ORDER = 9, 5
 SYMBOLS = 256
 FOLDS = 2
-#: Rows of a lot, about; lots bound how often a gram is asked for, results don't depend on them.
-LOT_ROWS = 1 << 14
+#: Bytes of text of a lot, about; lots bound how often a gram is asked for, results don't depend on them.
+LOT_BYTES = 1 << 26
 #: Grams that a task counts before it hands them on.
 HELD = 4_000_000
 _FOLD_AT = BITS * ORDER
@@ -195,6 +195,25 @@ class Model:
 _SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("nll", pa.float64())])
 
 
+_BUNDLED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string()), ("fold", pa.int32())])
+
+
+def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lot, rows): a lot's rows (_BUNDLED) in compressed pieces."""
+    for batch in batches:
+        lot = batch["lot"].to_numpy()
+        edges = (np.flatnonzero(np.diff(lot)) + 1).tolist()
+        out: dict[str, list] = {"lot": [], "rows": []}
+        for i, j in zip([0, *edges], [*edges, len(lot)]):
+            if j > i:
+                to = pa.BufferOutputStream()
+                with pa.ipc.new_stream(to, _BUNDLED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_batch(batch.slice(i, j - i).select(_BUNDLED.names).cast(_BUNDLED))
+                out["lot"].append(int(lot[i]))
+                out["rows"].append(to.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("lot", pa.int64()), ("rows", pa.binary())]))
+
+
 class _Answers:
     """Looks grams up: by a table of slots, and by halving where two grams share one."""
 
@@ -233,8 +252,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if answers is None:
                 keys, nll = map(np.concatenate, zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, np.float32))
                 answers, held = _Answers(keys, nll), []
-            for a, b in lots(part["text"]):
-                rows = part.slice(a, b - a)
+            for rows in (some.slice(a, b - a) for row in part["rows"] for some in pa.ipc.open_stream(row.as_buffer()) for a, b in lots(some["text"])):
                 n, total = np.zeros(len(rows), np.int64), np.zeros(len(rows))
                 for keys, offsets in _pieces(rows):
                     upto = np.concatenate([[0.0], np.cumsum(answers(keys) if len(keys) else np.zeros(0), dtype=np.float64)])
@@ -243,7 +261,7 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["lang"], pa.array(n), pa.array(total / np.maximum(n, 1), mask=n == 0)], schema=_SCORED)
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, lot: Column | None = None) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, file: Column | None = None, row: Column | None = None) -> DataFrame:
     """doc_id, lang, n_symbols (bytes), perplexity, threshold, kept of every row of docs.
 
     docs: doc_id, text, lang; labels: doc_id, quality (1: trusted). Empty and null texts have no
@@ -252,27 +270,29 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, lot: Co
     text is kept. Repeated rows come as often as they do in docs; a repeated id that is trusted is
     trusted in all its rows.
 
-    lot: a number that neighbouring rows of docs share and that stays when docs is read again; by
-    default docs is cut first and numbered as it lies.
+    file, row: of each row of docs, and the same when docs is read again; by default docs is cut
+    first and numbered as it lies.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), *([] if lot is None else [lot.alias("lot")]))
-    if lot is None:
-        rows = cut(rows).withColumn("lot", F.shiftright(F.monotonically_increasing_id(), LOT_ROWS.bit_length() - 1))
-    rows = rows.withColumn("fold", fold_of("text"))
+    rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), *([] if row is None else [file.alias("file"), row.alias("row")]))
+    if row is None:
+        rows = cut(rows).withColumns({"file": F.lit(0), "row": F.monotonically_increasing_id()})
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).head()
+    in_lot = max(1, LOT_BYTES * n // max(1, size or 0))
+    rows = rows.withColumns({"lot": F.xxhash64("file", F.floor(F.col("row") / in_lot)), "fold": fold_of("text")}).drop("file", "row")
     ids = cut(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
     trusted = rows.select("doc_id", "text", "fold").join(ids.hint("merge"), "doc_id", "left_semi")  # labels grow with the corpus
     model = Model(trusted)
+    release(docs.sparkSession)  # the shuffled texts
     # a document is scored by the model that has not counted its fold
     asks = rows.select("lot", "text", (1 - F.col("fold")).alias("fold")).mapInArrow(_ask, "lot long, gram long")
-    asks = written(asks)
+    asks = written(asks.distinct())  # a lot may be read by several tasks
+    release(docs.sparkSession)
     answers = asks.join(model.p(cut(asks.select("gram").distinct())), "gram")
     null = lambda kind: F.lit(None).cast(kind)
-    known = answers.select(
-        "lot", F.lit(False).alias("doc"), "gram", (-F.log("p")).cast("float").alias("nll"),
-        null("long").alias("doc_id"), null("string").alias("lang"), null("string").alias("text"), null("int").alias("fold"),
-    )
-    texts = rows.select("lot", F.lit(True).alias("doc"), null("long").alias("gram"), null("float").alias("nll"), "doc_id", "lang", "text", (1 - F.col("fold")).alias("fold"))
+    known = answers.select("lot", F.lit(False).alias("doc"), "gram", (-F.log("p")).cast("float").alias("nll"), null("binary").alias("rows"))
+    texts = rows.select("lot", "doc_id", "lang", "text", (1 - F.col("fold")).alias("fold")).mapInArrow(_bundle, "lot long, rows binary")
+    texts = texts.select("lot", F.lit(True).alias("doc"), null("long").alias("gram"), null("float").alias("nll"), "rows")
     met = known.unionByName(texts).repartition("lot").sortWithinPartitions("lot", "doc")
     scored = met.mapInArrow(_sum, "doc_id long, lang string, n_symbols long, nll double")
     scored = written(scored)
@@ -288,5 +308,4 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, lot: Co
 def op9_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity, threshold and verdict of every document; lots are runs of rows of a file."""
     docs = table(spark, sf_dir, "documents")
-    lot = F.xxhash64(F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / LOT_ROWS))
-    return classify(docs, table(spark, sf_dir, "labels"), lot=lot)
+    return classify(docs, table(spark, sf_dir, "labels"), file=F.col("_metadata.file_path"), row=F.col("_metadata.row_index"))

@@ -15,7 +15,6 @@ and no renaming. The owner that a group of contexts shares is one symbol of its
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 from os.path import commonprefix
@@ -26,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import cut, lots, table, text_bytes
+from tidelake.llm.common import cut, lots, release, table, text_bytes
 
 LENGTH, ANCHOR = 100, 32
 #: Owners with more different contexts than this are compared window by window, spread by hash.
@@ -408,12 +407,6 @@ _DONE = pa.schema([("doc", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", p
 _DONE_DDL = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,stop:long>>"
 
 
-def _release(spark: SparkSession) -> None:
-    """Lets Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
     """doc_id, text, doc, where doc is unique and orders rows as doc_id does; and whether they had to be numbered.
 
@@ -447,12 +440,12 @@ def dedup(docs: DataFrame, crowd: int = CROWD, symbols: int = SYMBOLS) -> DataFr
     scanned = rows.select("doc", "text").mapInArrow(_scan, _DDL)
     met = cut(scanned.repartition("owner").sortWithinPartitions("owner", "same", "doc", "at").mapInArrow(lambda batches: _meet(batches, crowd), _DDL))
     del scanned
-    _release(spark)
+    release(spark)
     crowds = met.where(F.col("stop") == CROWDED).select("owner").distinct().withColumn("crowded", F.lit(True))
     asked = met.where(F.col("stop") == CONTEXT).join(crowds, "owner", "left")
     wanted = asked.groupBy("doc").agg(F.collect_list(F.struct("owner", "at", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("wanted"))
     fetched = cut(rows.select("doc", "text").join(wanted.hint("merge"), "doc").select("doc", "text", "wanted").mapInArrow(_fetch, "owner long, doc long, at long, crowded boolean, bytes binary"))
-    _release(spark)
+    release(spark)
     compared = fetched.where(~F.col("crowded")).repartition("owner").sortWithinPartitions("owner").mapInArrow(lambda batches: _compare(batches, symbols), "doc long, start long, stop long")
     windows = fetched.where("crowded").mapInArrow(_windows, "owner long, same long, doc long, start long, stop long")
     windows = cut(windows)
@@ -465,7 +458,7 @@ def dedup(docs: DataFrame, crowd: int = CROWD, symbols: int = SYMBOLS) -> DataFr
         .unionAll(later.select("doc", "start", (F.col("start") + LENGTH).alias("stop")))
     )
     gathered = cut(spans.groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("spans")))
-    _release(spark)
+    release(spark)
     joined = rows.join(gathered.hint("merge"), "doc", "left")
     found = joined.select("doc", "text", "spans").mapInArrow(_finish, _DONE_DDL)
     found = found.join(rows.select("doc", "doc_id"), "doc") if numbered else found.withColumn("doc_id", F.col("doc"))
