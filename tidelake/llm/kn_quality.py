@@ -7,9 +7,10 @@ document counts for the thresholds.
 
 Counts, continuation counts of lower orders, discounts and context sums are tables in Spark, keyed by
 gram and fold and joined by shards; nothing but four counts of counts an order and fold reaches the
-driver. Documents are read in lots of neighbouring rows, LOT_BYTES of text each: a lot asks for its distinct grams,
-all lots' grams are resolved once (seen, or backed off order by order), and the answers meet the lot's
-rows, compressed, again in one shuffle, where each document's perplexity is summed.
+driver. Documents meet in lots of neighbouring rows, LOT_BYTES of text each, shuffled in compressed
+pieces. A lot gives its distinct grams and its trusted texts' counts of them; all lots' grams are
+resolved once (seen, or backed off order by order), and the answers meet the lot's texts again, where
+each document's perplexity is summed.
 
 A document is kept if its perplexity is at most its language's quantile among trusted documents.
 """
@@ -34,6 +35,8 @@ LOT_BYTES = 1 << 26
 #: Grams that a task counts before it hands them on.
 HELD = 4_000_000
 _FOLD_AT = BITS * ORDER
+#: Turns a gram of one fold's model into the other's.
+OTHER = 1 << _FOLD_AT
 
 
 def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -89,42 +92,73 @@ class _Tally:
         return whole, total
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, n) of a task's texts."""
-    schema, tally = pa.schema([("gram", pa.int64()), ("n", pa.int64())]), _Tally()
+_BUNDLED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string()), ("fold", pa.int32())])
+
+
+def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lot, rows): a lot's rows (_BUNDLED) in compressed pieces."""
     for batch in batches:
-        for a, b in lots(batch["text"]):
-            for keys, _ in _pieces(batch.slice(a, b - a)):
-                tally.add(keys)
-                if tally.size > HELD and len(tally.merge()[0]) > HELD // 2:
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, tally.merge())), schema=schema)
-                    tally = _Tally()
-    yield pa.RecordBatch.from_arrays(list(map(pa.array, tally.merge())), schema=schema)
+        lot = batch["lot"].to_numpy()
+        edges = (np.flatnonzero(np.diff(lot)) + 1).tolist()
+        out: dict[str, list] = {"lot": [], "rows": []}
+        for i, j in zip([0, *edges], [*edges, len(lot)]):
+            if j > i:
+                to = pa.BufferOutputStream()
+                with pa.ipc.new_stream(to, _BUNDLED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                    writer.write_batch(batch.slice(i, j - i).select(_BUNDLED.names).cast(_BUNDLED))
+                out["lot"].append(int(lot[i]))
+                out["rows"].append(to.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_pydict(out, pa.schema([("lot", pa.int64()), ("rows", pa.binary())]))
 
 
-def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lot, gram): the distinct grams of each lot. A lot's rows come one after another."""
-    schema, tally, now = pa.schema([("lot", pa.int64()), ("gram", pa.int64())]), _Tally(), None
+def _opened(rows: pa.Array) -> Iterator[pa.RecordBatch]:
+    """What _bundle put together, in lots of LOT bytes."""
+    for row in rows:
+        for some in pa.ipc.open_stream(row.as_buffer()):
+            for a, b in lots(some["text"]):
+                yield some.slice(a, b - a)
 
-    def done() -> pa.RecordBatch:
-        keys = tally.merge()[0]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), now, np.int64)), pa.array(keys)], schema=schema)
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """(lot, doc, rows) of the runs of rows of one lot and kind."""
     for batch in batches:
-        lot = batch["lot"].to_numpy()
-        edges = np.flatnonzero(np.diff(lot)) + 1
-        for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(lot)]):
-            if j > i and lot[i] != now:
-                if now is not None:
-                    yield done()
-                tally, now = _Tally(), int(lot[i])
-            part = batch.slice(i, j - i)
-            for a, b in lots(part["text"]):
-                for keys, _ in _pieces(part.slice(a, b - a)):
+        lot, doc = batch["lot"].to_numpy(), batch["doc"].to_numpy(zero_copy_only=False)
+        edges = (np.flatnonzero((np.diff(lot) != 0) | np.diff(doc)) + 1).tolist()
+        for i, j in zip([0, *edges], [*edges, len(lot)]):
+            if j > i:
+                yield int(lot[i]), bool(doc[i]), batch.slice(i, j - i)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lot, gram, n): each lot's distinct grams, and how often its trusted texts have them.
+
+    Rows come sorted by lot, first the numbers of its trusted rows, then its texts.
+    """
+    schema = pa.schema([("lot", pa.int64()), ("gram", pa.int64()), ("n", pa.int64())])
+    now, marks, trusted, others = None, [], _Tally(), _Tally()
+
+    def done() -> pa.RecordBatch:
+        (keys, n), (more, _) = trusted.merge(), others.merge()
+        more = np.setdiff1d(more, keys, assume_unique=True)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (np.full(len(keys) + len(more), now, np.int64), np.concatenate([keys, more]), np.concatenate([n, more * 0]))], schema=schema)
+
+    for lot, doc, part in _parts(batches):
+        if lot != now:
+            if now is not None:
+                yield done()
+            now, marks, trusted, others = lot, [], _Tally(), _Tally()
+        if not doc:
+            marks.append(part["row"].to_numpy())
+            continue
+        flagged = np.concatenate(marks) if marks else np.zeros(0, np.int64)
+        for some in _opened(part["rows"]):
+            hit = np.isin(some["row"].to_numpy(), flagged)
+            for tally, mask in ((trusted, hit), (others, ~hit)):
+                for keys, _ in _pieces(some.filter(pa.array(mask))) if mask.any() else ():
                     tally.add(keys)
-                    if tally.size > HELD and len(tally.merge()[0]) > HELD // 2:
-                        yield done()
-                        tally = _Tally()
+            if trusted.size + others.size > HELD and len(trusted.merge()[0]) + len(others.merge()[0]) > HELD // 2:
+                yield done()
+                trusted, others = _Tally(), _Tally()
     if now is not None:
         yield done()
 
@@ -157,12 +191,11 @@ def _discounts(counts: DataFrame) -> list[list[float]]:
 class Model:
     """Of each order 1 to ORDER: seen, (gram, p) of the grams with a count, and backoff, (gram, weight) of contexts."""
 
-    def __init__(self, trusted: DataFrame) -> None:
-        """trusted: text, fold (the model that counts it). Null and empty texts add nothing; repeated rows count as often as they come."""
-        counted = trusted.select("text", "fold").mapInArrow(_count, "gram long, n long")
-        tables = {ORDER: cut(counted.groupBy("gram").agg(F.sum("n").alias("c")))}
+    def __init__(self, counts: DataFrame) -> None:
+        """counts: gram (with the number of the model that counts it), c; only c > 0."""
+        tables = {ORDER: counts}
         for k in range(ORDER - 1, 0, -1):  # how many different symbols come before the gram
-            tables[k] = cut(tables[k + 1].groupBy(_order(tables[k + 1], k).alias("gram")).agg(F.count("*").alias("c")))
+            tables[k] = written(tables[k + 1].groupBy(_order(tables[k + 1], k).alias("gram")).agg(F.count("*").alias("c")))
         self.seen, self.backoff = {}, {}
         for k in range(1, ORDER + 1):
             discounts = _discounts(tables[k])
@@ -170,13 +203,13 @@ class Model:
             d = F.element_at(F.element_at(by_fold, F.shiftright("gram", _FOLD_AT).cast("int") + 1), F.least("c", F.lit(3)).cast("int"))
             keyed = tables[k].select("gram", "c", _context(k).alias("context"), d.alias("d"))
             sums = keyed.groupBy("context").agg(F.sum("c").alias("all"), F.sum("d").alias("held"))
-            self.backoff[k] = cut(sums.select(F.col("context").alias("gram"), (F.col("held") / F.col("all")).alias("weight"), "all"))
+            self.backoff[k] = written(sums.select(F.col("context").alias("gram"), (F.col("held") / F.col("all")).alias("weight"), "all"))
             met = keyed.join(self.backoff[k].withColumnRenamed("gram", "context"), "context")
             if k == 1:
                 met = met.withColumn("below", F.lit(1.0 / SYMBOLS))
             else:
                 met = met.withColumn("tail", _order(met, k - 1)).join(self.seen[k - 1].select(F.col("gram").alias("tail"), F.col("p").alias("below")), "tail")
-            self.seen[k] = cut(met.select("gram", ((F.col("c") - F.col("d")) / F.col("all") + F.col("weight") * F.col("below")).alias("p")))
+            self.seen[k] = written(met.select("gram", ((F.col("c") - F.col("d")) / F.col("all") + F.col("weight") * F.col("below")).alias("p")))
 
     def p(self, asked: DataFrame, k: int = ORDER) -> DataFrame:
         """gram, p of every gram of asked (distinct): its own where it was seen, else its tail's, weighed by its context."""
@@ -184,9 +217,9 @@ class Model:
         if k == 1:
             known = met.join(self.backoff[1].select(F.col("gram").alias("context"), "weight"), F.col("context") == _context(1), "left")
             return known.select("gram", F.coalesce("p", F.coalesce("weight", F.lit(1.0)) / SYMBOLS).alias("p"))
-        met = cut(met)
+        met = written(met)
         unseen = met.where("p is null").select("gram", _order(met, k - 1).alias("tail"), _context(k).alias("context"))
-        tails = self.p(cut(unseen.select(F.col("tail").alias("gram")).distinct()), k - 1)
+        tails = self.p(unseen.select(F.col("tail").alias("gram")).distinct(), k - 1)
         weighed = unseen.join(self.backoff[k].select(F.col("gram").alias("context"), "weight"), "context", "left")
         backed = weighed.join(tails.select(F.col("gram").alias("tail"), "p"), "tail")
         return met.where("p is not null").select("gram", "p").unionByName(backed.select("gram", (F.coalesce("weight", F.lit(1.0)) * F.col("p")).alias("p")))
@@ -195,25 +228,6 @@ class Model:
 _SCORED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("n_symbols", pa.int64()), ("nll", pa.float64())])
 
 
-_BUNDLED = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("text", pa.string()), ("fold", pa.int32())])
-
-
-def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lot, rows): a lot's rows (_BUNDLED) in compressed pieces."""
-    for batch in batches:
-        lot = batch["lot"].to_numpy()
-        edges = (np.flatnonzero(np.diff(lot)) + 1).tolist()
-        out: dict[str, list] = {"lot": [], "rows": []}
-        for i, j in zip([0, *edges], [*edges, len(lot)]):
-            if j > i:
-                to = pa.BufferOutputStream()
-                with pa.ipc.new_stream(to, _BUNDLED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                    writer.write_batch(batch.slice(i, j - i).select(_BUNDLED.names).cast(_BUNDLED))
-                out["lot"].append(int(lot[i]))
-                out["rows"].append(to.getvalue().to_pybytes())
-        yield pa.RecordBatch.from_pydict(out, pa.schema([("lot", pa.int64()), ("rows", pa.binary())]))
-
-
 class _Answers:
     """Looks grams up: by a table of slots, and by halving where two grams share one."""
 
@@ -235,30 +249,24 @@ class _Answers:
 
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by lot, answers before documents; gives each document's mean surprise."""
+    """Rows come sorted by lot, answers before documents; gives each document's mean surprise under the other fold's model."""
     now, held, answers = None, [], None
-    for batch in batches:
-        lot, doc = batch["lot"].to_numpy(), batch["doc"].to_numpy(zero_copy_only=False)
-        edges = (np.flatnonzero((np.diff(lot) != 0) | np.diff(doc)) + 1).tolist()
-        for i, j in zip([0, *edges], [*edges, len(lot)]):
-            if j == i:
-                continue
-            part = batch.slice(i, j - i)
-            if lot[i] != now:
-                now, held, answers = lot[i], [], None
-            if not doc[i]:
-                held.append((part["gram"].to_numpy(), part["nll"].to_numpy()))
-                continue
-            if answers is None:
-                keys, nll = map(np.concatenate, zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, np.float32))
-                answers, held = _Answers(keys, nll), []
-            for rows in (some.slice(a, b - a) for row in part["rows"] for some in pa.ipc.open_stream(row.as_buffer()) for a, b in lots(some["text"])):
-                n, total = np.zeros(len(rows), np.int64), np.zeros(len(rows))
-                for keys, offsets in _pieces(rows):
-                    upto = np.concatenate([[0.0], np.cumsum(answers(keys) if len(keys) else np.zeros(0), dtype=np.float64)])
-                    n += np.diff(offsets)
-                    total += upto[offsets[1:]] - upto[offsets[:-1]]
-                yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["lang"], pa.array(n), pa.array(total / np.maximum(n, 1), mask=n == 0)], schema=_SCORED)
+    for lot, doc, part in _parts(batches):
+        if lot != now:
+            now, held, answers = lot, [], None
+        if not doc:
+            held.append((part["gram"].to_numpy(), part["nll"].to_numpy()))
+            continue
+        if answers is None:
+            keys, nll = map(np.concatenate, zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, np.float32))
+            answers, held = _Answers(keys, nll), []
+        for rows in _opened(part["rows"]):
+            n, total = np.zeros(len(rows), np.int64), np.zeros(len(rows))
+            for keys, offsets in _pieces(rows):
+                upto = np.concatenate([[0.0], np.cumsum(answers(keys ^ OTHER) if len(keys) else np.zeros(0), dtype=np.float64)])
+                n += np.diff(offsets)
+                total += upto[offsets[1:]] - upto[offsets[:-1]]
+            yield pa.RecordBatch.from_arrays([rows["doc_id"], rows["lang"], pa.array(n), pa.array(total / np.maximum(n, 1), mask=n == 0)], schema=_SCORED)
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, file: Column | None = None, row: Column | None = None) -> DataFrame:
@@ -273,27 +281,32 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = 0.99, file: C
     file, row: of each row of docs, and the same when docs is read again; by default docs is cut
     first and numbered as it lies.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), *([] if row is None else [file.alias("file"), row.alias("row")]))
     if row is None:
         rows = cut(rows).withColumns({"file": F.lit(0), "row": F.monotonically_increasing_id()})
     n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).head()
     in_lot = max(1, LOT_BYTES * n // max(1, size or 0))
-    rows = rows.withColumns({"lot": F.xxhash64("file", F.floor(F.col("row") / in_lot)), "fold": fold_of("text")}).drop("file", "row")
+    rows = rows.withColumns({"lot": F.xxhash64("file", F.floor(F.col("row") / in_lot)), "fold": fold_of("text")}).drop("file")
     ids = cut(labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct())
-    trusted = rows.select("doc_id", "text", "fold").join(ids.hint("merge"), "doc_id", "left_semi")  # labels grow with the corpus
-    model = Model(trusted)
-    release(docs.sparkSession)  # the shuffled texts
-    # a document is scored by the model that has not counted its fold
-    asks = rows.select("lot", "text", (1 - F.col("fold")).alias("fold")).mapInArrow(_ask, "lot long, gram long")
-    asks = written(asks.distinct())  # a lot may be read by several tasks
-    release(docs.sparkSession)
-    answers = asks.join(model.p(cut(asks.select("gram").distinct())), "gram")
-    null = lambda kind: F.lit(None).cast(kind)
-    known = answers.select("lot", F.lit(False).alias("doc"), "gram", (-F.log("p")).cast("float").alias("nll"), null("binary").alias("rows"))
-    texts = rows.select("lot", "doc_id", "lang", "text", (1 - F.col("fold")).alias("fold")).mapInArrow(_bundle, "lot long, rows binary")
-    texts = texts.select("lot", F.lit(True).alias("doc"), null("long").alias("gram"), null("float").alias("nll"), "rows")
-    met = known.unionByName(texts).repartition("lot").sortWithinPartitions("lot", "doc")
+    null = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    texts = rows.select("lot", "row", "doc_id", "lang", "text", "fold").mapInArrow(_bundle, "lot long, rows binary").select("lot", F.lit(True).alias("doc"), "rows")
+    # labels grow with the corpus; they meet rows without their texts
+    marks = rows.select("doc_id", "lot", "row").join(ids.hint("merge"), "doc_id", "left_semi").select("lot", F.lit(False).alias("doc"), "row", null("binary", "rows"))
+    met = marks.unionByName(texts.withColumn("row", null("long", "row"))).repartition("lot").sortWithinPartitions("lot", "doc")
+    found = written(met.mapInArrow(_gather, "lot long, gram long, n long"))
+    release(spark)
+    every = written(found.groupBy("gram").agg(F.sum("n").alias("c")))
+    model = Model(every.where("c > 0"))
+    release(spark)
+    # what the other fold's model says: bit _FOLD_AT is turned
+    known = written(model.p(every.select(F.col("gram").bitwiseXOR(F.lit(OTHER)).alias("gram"))))
+    del model
+    release(spark)
+    answers = found.select("lot", F.col("gram").bitwiseXOR(F.lit(OTHER)).alias("gram")).join(known, "gram")
+    answers = answers.select("lot", F.lit(False).alias("doc"), "gram", (-F.log("p")).cast("float").alias("nll"), null("binary", "rows"))
+    met = answers.unionByName(texts.withColumns({"gram": null("long", "gram"), "nll": null("float", "nll")})).repartition("lot").sortWithinPartitions("lot", "doc")
     scored = met.mapInArrow(_sum, "doc_id long, lang string, n_symbols long, nll double")
     scored = written(scored)
     held = scored.where("nll is not null").join(ids, "doc_id", "left_semi").select("lang", F.exp("nll").alias("perplexity"))
