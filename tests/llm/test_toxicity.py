@@ -1,7 +1,12 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidelake.llm import toxicity as t
 
@@ -89,3 +94,49 @@ def test_every_word_of_an_example_is_a_term(spark):
     assert ids[0] == one and abs(cosines[0] - 1) < 1e-9 and none == []
     df = sum("w7" in x.split() for x in texts.values())  # over all documents, held-out ones too
     assert np.isclose(model.index.weights[model.encoder.at["w7$"]], t.PLAIN * (np.log((1 + len(docs)) / (1 + df)) + 1))
+
+
+def brute_score(text, examples, weights, terms, rate, model):
+    """A text's score by plain dictionaries: TF-IDF, all cosines, the K nearest, votes, calibration."""
+    def vector(x):
+        tf, rest = {}, 0
+        for w, n in Counter(re.findall(r"[^\W]+", (x or "").lower())).items():
+            of = [p for p in t.terms_of(w) if p in terms]
+            rest += 0 if of else n * n
+            for p in of:
+                tf[p] = tf.get(p, 0) + n
+        v = {p: n * weights[terms[p]] for p, n in tf.items()} | {None: math.sqrt(rest) * weights[-1]}
+        norm = math.sqrt(sum(z * z for z in v.values()))
+        return {p: z / norm for p, z in v.items()} if norm else {}
+
+    mine = vector(text)
+    found = sorted(((-round(sum(z * v.get(p, 0) for p, z in mine.items()), 12), place, y) for place, (v, y) in enumerate((vector(x), y) for x, y in examples)))[: t.K]
+    if not found or found[0][0] >= 0:
+        return rate
+    near = [(1 / (max(0, 1 + c) + t.NEAR), y) for c, _, y in found]
+    v = sum(w * y for w, y in near) / sum(w for w, _ in near)
+    fit = next((y for x, y in zip(model.x, model.y) if x >= v - 1e-9), model.y[-1])
+    return min(1, max(0, 0.98 * fit + 0.02 * v))
+
+
+def test_whole_score_by_brute_force(spark):
+    docs, labels = rows()
+    docs += [(9000, None, 0.0), (9001, "unheard-of zzz", 0.0), (9002, "Foul, W7 w8!", 0.0), (9003, "", 0.0), (9004, "nastyxab\u00a0w1", 0.0)]
+    frame, marks = spark.createDataFrame(docs, "doc_id long, text string, score double"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model, texts, truth = t.train(frame, marks), {i: x for i, x, _ in docs}, dict(labels)
+    examples = [(texts[i], truth[i]) for i in model.index.ids.tolist()]
+    terms = model.encoder.at
+    held = [i for i in texts if i >= 9000 or zlib.crc32(str(i).encode()) % 4 == 2][-60:]
+    got = {r.doc_id: r for r in t.score(frame, marks).where(F.col("doc_id").isin(held)).collect()}
+    for i in held:
+        want = brute_score(texts[i], examples, model.index.weights, terms, model.rate, model)
+        assert abs(got[i].score - want) < 1e-6, i
+        assert got[i].predicted == (got[i].score >= 0.3)
+
+
+def test_words_are_runs_of_letters_digits_and_underscores():
+    row, word, times, words = t.doc_words(pa.array(["Ab-ab c_1\u2003é.É", None, "", " \t- ", "x" * 100000, "a a"]))
+    names = words.to_pylist()
+    assert [(int(r), names[w], int(n)) for r, w, n in sorted(zip(row, word, times), key=lambda z: (z[0], names[z[1]]))] == [
+        (0, "ab", 2), (0, "c_1", 1), (0, "é", 2), (4, "x" * 100000, 1), (5, "a", 2),
+    ]

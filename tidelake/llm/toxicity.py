@@ -18,16 +18,15 @@ rate of all labelled rows. Neighbours are handed on as evidence.
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from tidelake.llm.common import crc_of_id, cut, per_batch, table
+from tidelake.llm.common import crc_of_id, cut, lots, per_batch, table
 
 #: Bound of the labelled sample: rows of each class.
 EXAMPLES = 4000
@@ -37,11 +36,14 @@ BLOCK = 128
 K = 15
 #: Blocks that a search scores at a time, and texts that are searched together.
 TOGETHER = 16
-TEXTS = 32
+TEXTS = 64
+#: More than a cosine in single precision can be off: a sum of DENSE products of numbers up to 1, of 6e-8 each.
+ERROR = 5e-5
 #: Word beginnings of so many characters are terms, and whole words.
 HEADS = range(3, 9)
 LEAST = 4
-WORD = re.compile(r"\w+")
+#: What parts words: a word is a run of letters, digits and underscores.
+BETWEEN = r"[^\pL\pN_]+"
 #: Weight of a term that the labels don't single out, where one that they do weighs 1 + log(n / df).
 PLAIN = 0.1
 TELLING = 3.0
@@ -55,15 +57,37 @@ def terms_of(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in HEADS if len(word) > n)]
 
 
-def counts(text: str | None) -> Counter:
-    return Counter(WORD.findall((text or "").lower()))
+def doc_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(text, word, times) of each text's words, sorted by text, and the words by number, in lower case.
+
+    Texts are split at blanks first, and only the different pieces at all else that parts words.
+    """
+    pieces = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    row = np.repeat(np.arange(len(texts)), pieces.value_lengths().to_numpy(zero_copy_only=False))
+    coded = pieces.flatten().dictionary_encode()
+    split = pc.split_pattern_regex(coded.dictionary, BETWEEN)
+    n, inner = split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), split.flatten().dictionary_encode()
+    words, of = inner.dictionary, inner.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    real = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    piece = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row, word = np.repeat(row, n[piece]), of[_runs((np.cumsum(n) - n)[piece], n[piece])]
+    row, word = row[real[word]], word[real[word]]
+    pairs, times = np.unique(row * max(1, len(words)) + word, return_counts=True)
+    return pairs // max(1, len(words)), pairs % max(1, len(words)), times, words
+
+
+def _runs(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... of each run, one after another."""
+    return np.repeat(begin - np.cumsum(length) + length, length) + np.arange(length.sum())
 
 
 def _term_rows():
     def each(batch: pa.RecordBatch) -> dict:
         terms, toxic = [], []
-        for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-            found = {t for w in counts(text) for t in terms_of(w)}
+        row, word, _, words = doc_words(batch["text"])
+        words, begins = words.to_pylist(), np.searchsorted(row, np.arange(len(batch) + 1)).tolist()
+        for i, label in enumerate(batch["toxic"].to_pylist()):
+            found = {t for w in word[begins[i] : begins[i + 1]].tolist() for t in terms_of(words[w])}
             terms += found
             toxic += [label] * len(found)
         return {"term": terms, "toxic": pa.array(toxic, pa.int32())}
@@ -92,29 +116,56 @@ def pick_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 class Encoder:
-    """A text's terms and their counts, and what its other words add to its norm."""
-
-    MOST = 200_000
+    """Texts' terms and their counts, and what a text's other words add to its norm."""
 
     def __init__(self, terms: list[str]) -> None:
-        self.at = {t: i for i, t in enumerate(terms)}
-        self.seen: dict[str, tuple[int, ...]] = {}  # a word's terms
+        self.terms = pa.array(terms, pa.string())
+        whole = [(t[:-1], i) for i, t in enumerate(terms) if t.endswith("$")]
+        self.known = [(0, pa.array([w for w, _ in whole], pa.string()), np.array([i for _, i in whole], np.int64))]
+        for n in HEADS:
+            heads = [(t, i) for i, t in enumerate(terms) if len(t) == n and not t.endswith("$")]
+            if heads:
+                self.known.append((n, pa.array([t for t, _ in heads]), np.array([i for _, i in heads], np.int64)))
+
+    @property
+    def at(self) -> dict[str, int]:
+        return {t: i for i, t in enumerate(self.terms.to_pylist())}
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, length, terms): a word's terms are a run of terms."""
+        word, term = [], []
+        for n, known, ids in self.known:
+            some = words if not n else pc.if_else(pc.greater(pc.utf8_length(words), n), pc.utf8_slice_codeunits(words, 0, n), pa.scalar(None, pa.string()))
+            place = pc.fill_null(pc.index_in(some, value_set=known, skip_nulls=True), -1).to_numpy(zero_copy_only=False)
+            hit = np.flatnonzero(place >= 0)
+            word.append(hit)
+            term.append(ids[place[hit]])
+        word, term = np.concatenate(word), np.concatenate(term)
+        order = np.argsort(word, kind="stable")
+        length = np.bincount(word, minlength=len(words)) if len(words) else np.zeros(0, np.int64)
+        return np.cumsum(length) - length, length, term[order]
+
+    def lot(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(begins, terms, tf, rest): text i's terms are terms[begins[i]:begins[i + 1]]."""
+        row, word, times, words = doc_words(texts)
+        begin, length, terms = self._of_words(words)
+        k = length[word]
+        lone = k == 0
+        rest = np.sqrt(np.bincount(row[lone], times[lone].astype(float) ** 2, len(texts)))
+        size = len(self.terms) + 1
+        pairs, back = np.unique(np.repeat(row, k) * size + terms[_runs(begin[word], k)], return_inverse=True)
+        tf = np.bincount(back, np.repeat(times, k), len(pairs))
+        return np.searchsorted(pairs // size, np.arange(len(texts) + 1)), pairs % size, tf, rest
+
+    def all(self, texts: pa.Array) -> list[Encoded]:
+        out = []
+        for a, b in lots(texts):
+            begins, terms, tf, rest = self.lot(texts.slice(a, b - a))
+            out += [(terms[i:j], tf[i:j], r) for i, j, r in zip(begins[:-1].tolist(), begins[1:].tolist(), rest.tolist())]
+        return out
 
     def __call__(self, text: str | None) -> Encoded:
-        found = counts(text)
-        tf: dict[int, int] = {}
-        rest = 0
-        for word, n in found.items():
-            ids = self.seen.get(word)
-            if ids is None:
-                ids = tuple(i for t in terms_of(word) if (i := self.at.get(t)) is not None)
-                if len(self.seen) < self.MOST:
-                    self.seen[word] = ids
-            if not ids:
-                rest += n * n
-            for i in ids:
-                tf[i] = tf.get(i, 0) + n
-        return np.fromiter(tf, np.int32, len(tf)), np.fromiter(tf.values(), np.float64, len(tf)), math.sqrt(rest)
+        return self.all(pa.array([text], pa.string()))[0]
 
 
 class Index:
@@ -135,6 +186,8 @@ class Index:
         self.n, self.blocks = n, -(-n // BLOCK)
         lengths = [len(rows[i][0]) for i in order.tolist()]
         terms, w = (np.concatenate([np.zeros(0, kind), *(rows[i][part] for i in order.tolist())]) for part, kind in enumerate((np.int64, float)))
+        #: each example's own terms and weights, from which cosines are taken in the end
+        self.own = np.append(0, np.cumsum(lengths)).astype(np.int64), terms, w
         places = np.repeat(np.arange(n), lengths)
         common = np.argsort(-df, kind="stable")[:DENSE]
         common = common[df[common] > 0]
@@ -142,7 +195,7 @@ class Index:
         self.row = np.full(self.size, -1)
         self.row[common] = np.arange(len(common))
         #: dense[b, c, d]: a common term's weights in a block, example by example; the last block is filled up
-        self.dense = np.zeros((self.blocks, len(common), BLOCK))
+        self.dense = np.zeros((self.blocks, len(common), BLOCK), np.float32)
         row = self.row[terms]
         here = row >= 0
         self.dense[places[here] // BLOCK, row[here], places[here] % BLOCK] = w[here]
@@ -167,18 +220,20 @@ class Index:
     def nearest_of(self, encoded: list[Encoded], k: int, skips: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(places, cosines) of the k nearest of each, ties by place; skips are the places to leave out.
 
-        Blocks are scored some at a time, from each one's highest bound on.
+        Blocks are scored some at a time, from each one's highest bound on, in single precision. Who
+        may be among the k nearest within ERROR, which is more than that can be off, is scored anew
+        in double precision.
         """
         m, width = len(encoded), self.blocks * BLOCK
-        common, score = np.zeros((m, len(self.most))), np.zeros((m, width))
-        for r, e in enumerate(encoded):
-            t, w = self.vector(e)
+        common, score = np.zeros((m, len(self.most)), np.float32), np.zeros((m, width), np.float32)
+        vectors = [self.vector(e) for e in encoded]
+        for r, (t, w) in enumerate(vectors):
             row = self.row[t]
             common[r, row[row >= 0]] = w[row >= 0]
             t, w = t[row < 0], w[row < 0]
             begin = self.begins[t]
             length = self.begins[t + 1] - begin
-            at = np.repeat(begin - np.cumsum(length) + length, length) + np.arange(length.sum())
+            at = _runs(begin, length)
             score[r] = np.bincount(self.places[at], np.repeat(w, length) * self.posted[at], width)
         score[:, self.n :] = -1e9
         for r, skip in enumerate(skips or []):
@@ -193,7 +248,7 @@ class Index:
         for first in range(0, self.blocks, TOGETHER):
             now = np.zeros_like(done)
             np.put_along_axis(now, turn[:, first : first + TOGETHER], True, axis=1)
-            now &= bound + 1e-9 >= kth
+            now &= bound + ERROR >= kth
             if not now.any():
                 break
             for b in np.flatnonzero(now.any(axis=0)).tolist():
@@ -202,14 +257,24 @@ class Index:
             done |= now
             kth = least()
         score.reshape(m, self.blocks, BLOCK)[~done] = -1e9
-        out = []
-        for r in range(m):
-            places = np.flatnonzero((score[r] >= kth[r] - 1e-9) & (score[r] >= 0))
-            cosines = score[r, places]
+        out, query = [], np.zeros(self.size)
+        for r, (t, w) in enumerate(vectors):
+            places = np.flatnonzero((score[r] >= kth[r] - ERROR) & (score[r] > -1))
+            query[t] = w
+            cosines = self._cosines(places, query)
+            query[t] = 0
             best = np.lexsort((places, -np.round(cosines, 12)))[:k]
             out.append((places[best], cosines[best]))
         return out
 
+    def _cosines(self, places: np.ndarray, query: np.ndarray) -> np.ndarray:
+        ends, terms, w = self.own
+        length = ends[places + 1] - ends[places]
+        at = _runs(ends[places], length)
+        upto = np.append(0.0, np.cumsum(w[at] * query[terms[at]]))
+        to = np.cumsum(length)
+        return upto[to] - upto[to - length]
+
 
 #: Distances are 1 - cosine; a vote weighs 1 / (distance + NEAR).
 NEAR = 0.01
@@ -252,11 +317,12 @@ class Model:
             votes += [vote(self.index.labels[near], cosines) for near, cosines in found]
         self.x, self.y = isotonic(np.array(votes), labels, weight) if rows else (np.zeros(1), np.array([rate]))
 
-    def __call__(self, texts: list[str | None]) -> list[tuple[float, list[int], list[float]]]:
+    def __call__(self, texts: pa.Array | list[str | None]) -> list[tuple[float, list[int], list[float]]]:
         """score, and ids and cosines of the neighbours it rests on, of each text."""
         out = []
-        for at in range(0, len(texts), TEXTS):
-            for near, cosines in self.index.nearest_of([self.encoder(t) for t in texts[at : at + TEXTS]], K):
+        encoded = self.encoder.all(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        for at in range(0, len(encoded), TEXTS):
+            for near, cosines in self.index.nearest_of(encoded[at : at + TEXTS], K):
                 if not len(near) or cosines[0] <= 0:
                     out.append((self.rate, [], []))
                     continue
@@ -271,8 +337,8 @@ def _encode(shared):
         encoder = Encoder(shared.value)
 
         def each(batch: pa.RecordBatch) -> dict:
-            found = [encoder(t) for t in batch["text"].to_pylist()]
-            return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [f[0].tobytes() for f in found], "tf": [f[1].tobytes() for f in found], "rest": [f[2] for f in found]}
+            found = encoder.all(batch["text"])
+            return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [f[0].astype(np.int32).tobytes() for f in found], "tf": [f[1].astype(float).tobytes() for f in found], "rest": [f[2] for f in found]}
 
         return each
 
@@ -284,11 +350,11 @@ def _in_documents(shared):
 
     def run(batches):
         encoder = Encoder(shared.value)
-        df, n = np.zeros(len(encoder.at), np.int64), 0
+        df, n = np.zeros(len(encoder.terms), np.int64), 0
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                df[encoder(text)[0]] += 1
-                n += 1
+            for a, b in lots(batch["text"]):
+                df += np.bincount(encoder.lot(batch["text"].slice(a, b - a))[1], minlength=len(df))
+                n += b - a
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"term": np.append(-1, seen).astype(np.int32), "n": np.append(n, df[seen])}, pa.schema([("term", pa.int32()), ("n", pa.int64())]))
 
@@ -334,7 +400,7 @@ def _score(shared):
         model = shared.value
 
         def each(batch: pa.RecordBatch) -> dict:
-            found = model(batch["text"].to_pylist())
+            found = model(batch["text"])
             return {"doc_id": batch["doc_id"], "score": [f[0] for f in found], "evidence": [[{"doc_id": i, "cosine": c} for i, c in zip(*f[1:])] for f in found]}
 
         return each
@@ -361,10 +427,11 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Da
 
     def judge(texts: pa.Array) -> pa.Array:
         model = shared.value
-        return pa.array([f[0] for f in model(texts.to_pylist())], pa.float64())
+        return pa.array([f[0] for f in model(texts)], pa.float64())
 
     return docs.where(F.arrow_udf(judge, DoubleType())("text") < threshold)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and verdict of every document, and the nearest example (the contract's digest columns)."""
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted", F.get("evidence", 0)["doc_id"].alias("nearest"))
