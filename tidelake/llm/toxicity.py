@@ -34,7 +34,7 @@ EXAMPLES = 4000
 DENSE = 512
 BLOCK = 128
 K = 15
-#: Blocks that a search scores at a time, and texts that are searched together.
+#: Blocks that a search scores first, and texts that are searched together.
 TOGETHER = 16
 TEXTS = 64
 #: More than a cosine in single precision can be off: a sum of DENSE products of numbers up to 1, of 6e-8 each.
@@ -220,42 +220,41 @@ class Index:
     def nearest_of(self, encoded: list[Encoded], k: int, skips: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(places, cosines) of the k nearest of each, ties by place; skips are the places to leave out.
 
-        Blocks are scored some at a time, from each one's highest bound on, in single precision. Who
+        The TOGETHER blocks of the highest bounds are scored first, then those others that can still
+        have one of the k nearest, in single precision. Who
         may be among the k nearest within ERROR, which is more than that can be off, is scored anew
         in double precision.
         """
         m, width = len(encoded), self.blocks * BLOCK
-        common, score = np.zeros((m, len(self.most)), np.float32), np.zeros((m, width), np.float32)
         vectors = [self.vector(e) for e in encoded]
-        for r, (t, w) in enumerate(vectors):
-            row = self.row[t]
-            common[r, row[row >= 0]] = w[row >= 0]
-            t, w = t[row < 0], w[row < 0]
-            begin = self.begins[t]
-            length = self.begins[t + 1] - begin
-            at = _runs(begin, length)
-            score[r] = np.bincount(self.places[at], np.repeat(w, length) * self.posted[at], width)
+        of = np.repeat(np.arange(m), [len(t) for t, _ in vectors])
+        terms, w = (np.concatenate([v[i] for v in vectors]) for i in (0, 1))
+        row = self.row[terms]
+        dense, rare = row >= 0, np.flatnonzero(row < 0)
+        common = np.zeros((m, len(self.most)), np.float32)
+        common[of[dense], row[dense]] = w[dense]
+        begin = self.begins[terms[rare]]
+        length = self.begins[terms[rare] + 1] - begin
+        at = _runs(begin, length)
+        score = np.bincount(np.repeat(of[rare] * width, length) + self.places[at], np.repeat(w[rare], length) * self.posted[at], m * width)
+        score = score.astype(np.float32).reshape(m, width)
         score[:, self.n :] = -1e9
         for r, skip in enumerate(skips or []):
             if skip >= 0:
                 score[r, skip] = -1e9
         bound = common @ self.most + score.reshape(m, self.blocks, BLOCK).max(axis=2, initial=-1e9)
         turn = np.argsort(-bound, axis=1, kind="stable")
-        done = np.zeros((m, self.blocks), bool)
-        # weights aren't negative, so what the postings add up to is a lower bound
-        least = lambda: np.partition(score, width - k, axis=1)[:, width - k, None] if width > k else np.full((m, 1), -1e9)
-        kth = least()
-        for first in range(0, self.blocks, TOGETHER):
+        done, kth = np.zeros((m, self.blocks), bool), np.full((m, 1), -1e9)
+        for first, last in ((0, TOGETHER), (TOGETHER, self.blocks)):
             now = np.zeros_like(done)
-            np.put_along_axis(now, turn[:, first : first + TOGETHER], True, axis=1)
+            np.put_along_axis(now, turn[:, first:last], True, axis=1)
             now &= bound + ERROR >= kth
-            if not now.any():
-                break
             for b in np.flatnonzero(now.any(axis=0)).tolist():
-                of = np.flatnonzero(now[:, b])
-                score[of, b * BLOCK : (b + 1) * BLOCK] += common[of] @ self.dense[b]
+                some = np.flatnonzero(now[:, b])
+                score[some, b * BLOCK : (b + 1) * BLOCK] += common[some] @ self.dense[b]
             done |= now
-            kth = least()
+            # weights aren't negative: in blocks not scored yet, what the postings add up to is a lower bound
+            kth = np.partition(score, width - k, axis=1)[:, width - k, None] if width > k else kth
         score.reshape(m, self.blocks, BLOCK)[~done] = -1e9
         out, query = [], np.zeros(self.size)
         for r, (t, w) in enumerate(vectors):
@@ -271,9 +270,7 @@ class Index:
         ends, terms, w = self.own
         length = ends[places + 1] - ends[places]
         at = _runs(ends[places], length)
-        upto = np.append(0.0, np.cumsum(w[at] * query[terms[at]]))
-        to = np.cumsum(length)
-        return upto[to] - upto[to - length]
+        return np.bincount(np.repeat(np.arange(len(places)), length), w[at] * query[terms[at]], len(places))
 
 
 #: Distances are 1 - cosine; a vote weighs 1 / (distance + NEAR).
@@ -338,7 +335,7 @@ def _encode(shared):
 
         def each(batch: pa.RecordBatch) -> dict:
             found = encoder.all(batch["text"])
-            return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [f[0].astype(np.int32).tobytes() for f in found], "tf": [f[1].astype(float).tobytes() for f in found], "rest": [f[2] for f in found]}
+            return {"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [f[0].astype(np.int32).tobytes() for f in found], "tf": [f[1].astype(np.float32).tobytes() for f in found], "rest": [f[2] for f in found]}
 
         return each
 
@@ -392,7 +389,7 @@ def train(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model
     weights = document_weights(docs, shared, telling)
     rows = sample.mapInArrow(_encode(shared), "doc_id long, toxic int, terms binary, tf binary, rest double").orderBy("doc_id").toArrow().to_pylist()
     shared.unpersist()
-    return Model(Encoder(terms), weights, [(r["doc_id"], r["toxic"], (np.frombuffer(r["terms"], np.int32), np.frombuffer(r["tf"]), r["rest"])) for r in rows], rate)
+    return Model(Encoder(terms), weights, [(r["doc_id"], r["toxic"], (np.frombuffer(r["terms"], np.int32), np.frombuffer(r["tf"], np.float32), r["rest"])) for r in rows], rate)
 
 
 def _score(shared):
