@@ -34,7 +34,7 @@ EXAMPLES = 4000
 DENSE = 512
 BLOCK = 128
 K = 15
-#: Blocks that a search scores first, and texts that are searched together.
+#: Blocks that a search scores at a time, and texts that are searched together.
 TOGETHER = 16
 TEXTS = 64
 #: More than a cosine in single precision can be off: a sum of DENSE products of numbers up to 1, of 6e-8 each.
@@ -95,7 +95,7 @@ def _term_rows():
     return each
 
 
-def pick_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
+def pick_terms(sample: DataFrame) -> tuple[pa.Array, np.ndarray]:
     """The terms of the examples, and which of them are telling.
 
     Terms are all words and the telling beginnings. Telling are those in LEAST examples or more whose
@@ -108,24 +108,30 @@ def pick_terms(sample: DataFrame) -> tuple[list[str], np.ndarray]:
     rows = sample.mapInArrow(per_batch(_term_rows, pa.schema([("term", pa.string()), ("toxic", pa.int32())])), "term string, toxic int")
     z = (F.col("bad") - p * F.col("n")) / F.sqrt(p * (1 - p) * F.col("n") + 1)
     scored = rows.groupBy("term").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).withColumn("telling", (F.col("n") >= LEAST) & (z >= TELLING))
-    found = scored.where(F.col("telling") | F.col("term").endswith("$")).select("term", "n", "bad", "telling").toArrow().to_pydict()
-    telling = {(t, n, b) for t, n, b, y in zip(*found.values()) if y}
+    found = scored.where(F.col("telling") | F.col("term").endswith("$")).select("term", "n", "bad", "telling").toArrow().combine_chunks()
+    some = found.filter(found["telling"])  # few, unlike the words
+    telling = set(zip(*(some[c].to_pylist() for c in ("term", "n", "bad"))))
     longer = {(t[:i], n, b) for t, n, b in telling for i in range(min(HEADS), len(t))}
-    terms = sorted((t, y) for t, n, b, y in zip(*found.values()) if t.endswith("$") or (t, n, b) not in longer)
-    return [t for t, _ in terms], np.array([y for _, y in terms], bool)
+    kept = pa.array([t for t, n, b in telling if t.endswith("$") or (t, n, b) not in longer], pa.string())
+    plain = found.filter(pc.and_not(pc.ends_with(found["term"], "$"), found["telling"]))["term"].combine_chunks()
+    terms = pa.concat_arrays([x.cast(pa.string()) for x in (kept, plain)])
+    order = pc.sort_indices(terms)
+    return terms.take(order), order.to_numpy() < len(kept)
 
 
 class Encoder:
     """Texts' terms and their counts, and what a text's other words add to its norm."""
 
-    def __init__(self, terms: list[str]) -> None:
-        self.terms = pa.array(terms, pa.string())
-        whole = [(t[:-1], i) for i, t in enumerate(terms) if t.endswith("$")]
-        self.known = [(0, pa.array([w for w, _ in whole], pa.string()), np.array([i for _, i in whole], np.int64))]
-        for n in HEADS:
-            heads = [(t, i) for i, t in enumerate(terms) if len(t) == n and not t.endswith("$")]
-            if heads:
-                self.known.append((n, pa.array([t for t, _ in heads]), np.array([i for _, i in heads], np.int64)))
+    def __init__(self, terms: pa.Array | list[str]) -> None:
+        self.terms = terms if isinstance(terms, pa.Array) else pa.array(terms, pa.string())
+        whole, length = pc.ends_with(self.terms, "$"), pc.utf8_length(self.terms)
+        #: (length of beginnings, or 0 for whole words; what they are; their places among terms)
+        self.known = []
+        for n in (0, *HEADS):
+            place = pc.indices_nonzero(whole if not n else pc.and_(pc.invert(whole), pc.equal(length, n)))
+            if not n or len(place):
+                some = self.terms.take(place)
+                self.known.append((n, some if n else pc.utf8_slice_codeunits(some, 0, -1), place.to_numpy().astype(np.int64)))
 
     @property
     def at(self) -> dict[str, int]:
@@ -220,8 +226,8 @@ class Index:
     def nearest_of(self, encoded: list[Encoded], k: int, skips: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """(places, cosines) of the k nearest of each, ties by place; skips are the places to leave out.
 
-        The TOGETHER blocks of the highest bounds are scored first, then those others that can still
-        have one of the k nearest, in single precision. Who
+        Blocks are scored TOGETHER at a time, from each text's highest bound on, as long as they can
+        still have one of the k nearest, in single precision. Who
         may be among the k nearest within ERROR, which is more than that can be off, is scored anew
         in double precision.
         """
@@ -235,9 +241,12 @@ class Index:
         common[of[dense], row[dense]] = w[dense]
         begin = self.begins[terms[rare]]
         length = self.begins[terms[rare] + 1] - begin
-        at = _runs(begin, length)
-        score = np.bincount(np.repeat(of[rare] * width, length) + self.places[at], np.repeat(w[rare], length) * self.posted[at], m * width)
-        score = score.astype(np.float32).reshape(m, width)
+        at, add = _runs(begin, length), np.repeat(w[rare], length)
+        add *= self.posted[at]
+        place, edge = self.places[at], np.append(0, np.cumsum(length))[np.searchsorted(of[rare], np.arange(m + 1))].tolist()
+        score = np.zeros((m, width), np.float32)
+        for r, (i, j) in enumerate(zip(edge, edge[1:])):
+            score[r] = np.bincount(place[i:j], add[i:j], width)
         score[:, self.n :] = -1e9
         for r, skip in enumerate(skips or []):
             if skip >= 0:
@@ -245,10 +254,12 @@ class Index:
         bound = common @ self.most + score.reshape(m, self.blocks, BLOCK).max(axis=2, initial=-1e9)
         turn = np.argsort(-bound, axis=1, kind="stable")
         done, kth = np.zeros((m, self.blocks), bool), np.full((m, 1), -1e9)
-        for first, last in ((0, TOGETHER), (TOGETHER, self.blocks)):
+        for first in range(0, self.blocks, TOGETHER):
             now = np.zeros_like(done)
-            np.put_along_axis(now, turn[:, first:last], True, axis=1)
+            np.put_along_axis(now, turn[:, first : first + TOGETHER], True, axis=1)
             now &= bound + ERROR >= kth
+            if not now.any():
+                break
             for b in np.flatnonzero(now.any(axis=0)).tolist():
                 some = np.flatnonzero(now[:, b])
                 score[some, b * BLOCK : (b + 1) * BLOCK] += common[some] @ self.dense[b]
