@@ -77,9 +77,9 @@ def enforce_unique(rows: DataFrame, keys: list[str], content: list[str], source:
     each = Window.partitionBy(*keys)
     print_ = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
     marked = rows.withColumn("print", print_)
-    kinds = F.size(F.collect_set("print").over(each))
+    differ = F.min("print").over(each) != F.max("print").over(each)
     turn = F.row_number().over(each.orderBy(source))
-    return marked.withColumn("code", F.when(kinds > 1, "conflicting_duplicate").when(turn > 1, "identical_duplicate")).drop("print")
+    return marked.withColumn("code", F.when(differ, "conflicting_duplicate").when(turn > 1, "identical_duplicate")).drop("print")
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str], tolerance: float = 0.0) -> DataFrame:
