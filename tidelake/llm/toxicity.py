@@ -18,13 +18,13 @@ rate of all labelled rows. Neighbours are handed on as evidence.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from tidelake.llm.common import crc_of_id, cut, lots, per_batch, table
 
@@ -429,15 +429,20 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, examples:
     return found.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
 
 
+def _keep(shared, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in lots(batch["text"]):
+                part = batch.slice(a, b - a)
+                yield part.filter(pa.array([f[0] < threshold for f in shared.value(part["text"])], pa.bool_()))
+
+    return run
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """docs without the rows whose score reaches threshold; all other rows and all columns stay."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
-
-    def judge(texts: pa.Array) -> pa.Array:
-        model = shared.value
-        return pa.array([f[0] for f in model(texts)], pa.float64())
-
-    return docs.where(F.arrow_udf(judge, DoubleType())("text") < threshold)
+    return docs.mapInArrow(_keep(shared, threshold), docs.schema)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
