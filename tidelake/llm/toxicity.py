@@ -239,14 +239,13 @@ class Index:
         dense, rare = row >= 0, np.flatnonzero(row < 0)
         common = np.zeros((m, len(self.most)), np.float32)
         common[of[dense], row[dense]] = w[dense]
-        begin = self.begins[terms[rare]]
-        length = self.begins[terms[rare] + 1] - begin
-        at, add = _runs(begin, length), np.repeat(w[rare], length)
-        add *= self.posted[at]
-        place, edge = self.places[at], np.append(0, np.cumsum(length))[np.searchsorted(of[rare], np.arange(m + 1))].tolist()
+        edge = np.searchsorted(of[rare], np.arange(m + 1)).tolist()
         score = np.zeros((m, width), np.float32)
-        for r, (i, j) in enumerate(zip(edge, edge[1:])):
-            score[r] = np.bincount(place[i:j], add[i:j], width)
+        for r, (i, j) in enumerate(zip(edge, edge[1:])):  # one text at a time: a long one has many postings
+            t, x = terms[rare[i:j]], w[rare[i:j]]
+            length = self.begins[t + 1] - self.begins[t]
+            at = _runs(self.begins[t], length)
+            score[r] = np.bincount(self.places[at], np.repeat(x, length) * self.posted[at], width)
         score[:, self.n :] = -1e9
         for r, skip in enumerate(skips or []):
             if skip >= 0:
