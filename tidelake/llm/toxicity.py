@@ -31,7 +31,7 @@ from tidelake.llm.common import crc_of_id, cut, lots, per_batch, table
 #: Bound of the labelled sample: rows of each class.
 EXAMPLES = 4000
 #: How many of the commonest terms have dense rows in the index; a layout that results don't depend on.
-DENSE = 512
+DENSE = 256
 BLOCK = 128
 K = 15
 #: Blocks that a search scores at a time, and texts that are searched together.
@@ -192,20 +192,21 @@ class Index:
         self.n, self.blocks = n, -(-n // BLOCK)
         lengths = [len(rows[i][0]) for i in order.tolist()]
         terms, w = (np.concatenate([np.zeros(0, kind), *(rows[i][part] for i in order.tolist())]) for part, kind in enumerate((np.int64, float)))
-        #: each example's own terms and weights, from which cosines are taken in the end
-        self.own = np.append(0, np.cumsum(lengths)).astype(np.int64), terms, w
         places = np.repeat(np.arange(n), lengths)
         common = np.argsort(-df, kind="stable")[:DENSE]
         common = common[df[common] > 0]
         #: a common term's row, or -1
         self.row = np.full(self.size, -1)
         self.row[common] = np.arange(len(common))
-        #: dense[b, c, d]: a common term's weights in a block, example by example; the last block is filled up
-        self.dense = np.zeros((self.blocks, len(common), BLOCK), np.float32)
+        #: the common terms' weights in each example, from which cosines are taken in the end
+        self.exact = np.zeros((n, len(common)))
         row = self.row[terms]
         here = row >= 0
-        self.dense[places[here] // BLOCK, row[here], places[here] % BLOCK] = w[here]
-        self.most = self.dense.max(axis=2).T if n else np.zeros((len(common), 0))
+        self.exact[places[here], row[here]] = w[here]
+        #: the same in single precision, block by block; the last block is filled up
+        self.dense = np.zeros((self.blocks, BLOCK, len(common)), np.float32)
+        self.dense[places[here] // BLOCK, places[here] % BLOCK, row[here]] = w[here]
+        self.most = self.dense.max(axis=1).T if n else np.zeros((len(common), 0))
         #: postings of the other terms: those of t are begins[t] to begins[t + 1]
         terms, places, w = terms[~here], places[~here], w[~here]
         by_term = np.argsort(terms, kind="stable")
@@ -237,15 +238,17 @@ class Index:
         terms, w = (np.concatenate([v[i] for v in vectors]) for i in (0, 1))
         row = self.row[terms]
         dense, rare = row >= 0, np.flatnonzero(row < 0)
-        common = np.zeros((m, len(self.most)), np.float32)
-        common[of[dense], row[dense]] = w[dense]
+        exact = np.zeros((m, len(self.most)))
+        exact[of[dense], row[dense]] = w[dense]
+        common = exact.astype(np.float32)
         edge = np.searchsorted(of[rare], np.arange(m + 1)).tolist()
-        score = np.zeros((m, width), np.float32)
+        posted = np.zeros((m, width))
         for r, (i, j) in enumerate(zip(edge, edge[1:])):  # one text at a time: a long one has many postings
             t, x = terms[rare[i:j]], w[rare[i:j]]
             length = self.begins[t + 1] - self.begins[t]
             at = _runs(self.begins[t], length)
-            score[r] = np.bincount(self.places[at], np.repeat(x, length) * self.posted[at], width)
+            posted[r] = np.bincount(self.places[at], np.repeat(x, length) * self.posted[at], width)
+        score = posted.astype(np.float32)
         score[:, self.n :] = -1e9
         for r, skip in enumerate(skips or []):
             if skip >= 0:
@@ -261,27 +264,19 @@ class Index:
                 break
             for b in np.flatnonzero(now.any(axis=0)).tolist():
                 some = np.flatnonzero(now[:, b])
-                score[some, b * BLOCK : (b + 1) * BLOCK] += common[some] @ self.dense[b]
+                score[some, b * BLOCK : (b + 1) * BLOCK] += common[some] @ self.dense[b].T
             done |= now
             # weights aren't negative: in blocks not scored yet, what the postings add up to is a lower bound
             kth = np.partition(score, width - k, axis=1)[:, width - k, None] if width > k else kth
         score.reshape(m, self.blocks, BLOCK)[~done] = -1e9
-        out, query = [], np.zeros(self.size)
-        for r, (t, w) in enumerate(vectors):
+        out = []
+        for r in range(m):
             places = np.flatnonzero((score[r] >= kth[r] - ERROR) & (score[r] > -1))
-            query[t] = w
-            cosines = self._cosines(places, query)
-            query[t] = 0
+            cosines = posted[r, places] + self.exact[places] @ exact[r]
             best = np.lexsort((places, -np.round(cosines, 12)))[:k]
             out.append((places[best], cosines[best]))
         return out
 
-    def _cosines(self, places: np.ndarray, query: np.ndarray) -> np.ndarray:
-        ends, terms, w = self.own
-        length = ends[places + 1] - ends[places]
-        at = _runs(ends[places], length)
-        return np.bincount(np.repeat(np.arange(len(places)), length), w[at] * query[terms[at]], len(places))
-
 
 #: Distances are 1 - cosine; a vote weighs 1 / (distance + NEAR).
 NEAR = 0.01
