@@ -371,13 +371,13 @@ def a20_perpetual_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio.perpetual_account(targets, moves, COST, 0.05)
 
 
-@query(f"""WITH {I.TRADES}, po AS (SELECT event_id AS position_id, user_id AS symbol, epoch_us(ts) AS s, epoch_us(ts) + {2 * DAY} AS e, (event_id % 7 - 3) / 2.0 AS q, value AS m FROM events WHERE event_id % 40 = 0),
+@query(f"""WITH {I.TRADES}, po AS (SELECT event_id AS position_id, user_id AS symbol, epoch_us(ts) AS s, epoch_us(ts) + {2 * DAY} AS e, (event_id % 7 - 3) / 2.0 AS q, value AS m FROM events),
  fu AS (SELECT user_id AS symbol, epoch_us(ts) AS a, (value - 100) / 1e5 AS rate, CASE WHEN event_id % 3 = 0 THEN value END AS price FROM events WHERE event_type = 'purchase'),
  su AS (SELECT position_id, count(*) AS n, sum(-q * rate * coalesce(price, m)) AS c FROM po JOIN fu ON fu.symbol = po.symbol AND a >= s AND a <= e GROUP BY 1)
 SELECT position_id, coalesce(n, 0) AS events, round(coalesce(c, 0), {R}) AS cashflow FROM po LEFT JOIN su USING (position_id)""")
 def j18_funding_cashflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = I.table(spark, sf_dir, "events").withColumn("at", I.us("ts"))
-    po = e.where("event_id % 40 = 0").selectExpr("event_id AS position_id", "user_id AS symbol", "at AS start", f"at + {2 * DAY} AS end", "(event_id % 7 - 3) / 2.0D AS quantity", "value AS mark_price")
+    po = e.selectExpr("event_id AS position_id", "user_id AS symbol", "at AS start", f"at + {2 * DAY} AS end", "(event_id % 7 - 3) / 2.0D AS quantity", "value AS mark_price")
     fu = e.where("event_type = 'purchase'").selectExpr("user_id AS symbol", "at", "(value - 100) / 1e5D AS rate", "CASE WHEN event_id % 3 = 0 THEN value END AS price")
     return rounded(portfolio.funding_cashflow(po, fu, width=2 * DAY), "cashflow")
 
@@ -389,7 +389,7 @@ def w17_equity_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(portfolio.equity_path(p, 1000.0, 0.12), "ret", "drawdown")
 
 
-B_, BLOCK, SEED = 60, 3, 7
+B_, BLOCK, SEED = 10_000, 3, 7
 DRAW = lambda *x: "CAST('0x' || substr(md5(" + " || '|' || ".join([f"'{SEED}'", *(f"CAST({c} AS VARCHAR)" for c in x)]) + "), 1, 8) AS BIGINT)"
 NET = f"{ACCOUNT}, ne AS (SELECT strategy_id, row_number() OVER (PARTITION BY strategy_id ORDER BY period) - 1 AS i, net_return AS x, count(*) OVER (PARTITION BY strategy_id) AS n FROM ac)"
 
