@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions import times as T
@@ -63,13 +63,18 @@ def s4_venue_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quality.accepted(S.venue_trades(spark, path)).select("trade_id", "symbol", "ts_us", "price", "quantity"), "price")
 
 
+def page(column: str) -> Column:
+    """Payloads come in pages, so that none holds all of a key that many rows share."""
+    return F.floor(F.col(column) / 1000).alias("page")
+
+
 @query(f"""SELECT user_id AS key, {I.START} + event_id * {T.MINUTE} AS ts_us, round(value, {R}) AS open, round(value + 1, {R}) AS high, round(value - 0.5, {R}) AS low, round(value, {R}) AS close, 2e0 AS volume FROM events WHERE value > 1 AND event_id % 9 <> 0""")
 def s6_ohlcv_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, v = F.col("event_id"), F.col("value")
     second = (F.lit(I.START // T.SECOND) + k * 60 + F.when(k % 9 == 0, 1).otherwise(0)).cast("double")
     bar = F.array(second, v, v + 1, v - 0.5, v, F.lit(2.0))
     payload = F.to_json(F.struct(F.struct(F.struct(F.collect_list(bar).alias("ohlcv_list")).alias("attributes")).alias("data")))
-    made = I.table(spark, sf_dir, "events").where("value > 1").groupBy(F.col("user_id").alias("key")).agg(payload.alias("json"))
+    made = I.table(spark, sf_dir, "events").where("value > 1").groupBy(F.col("user_id").alias("key"), page("event_id")).agg(payload.alias("json")).drop("page")
     return rounded(quality.accepted(S.ohlcv_payload(made, 60)), "open", "high", "low", "close")
 
 
@@ -86,7 +91,7 @@ def s8_funding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT 'S' || CAST(user_id AS VARCHAR) AS symbol, count(*) AS points, min(event_id) AS first, max(event_id) AS last FROM events GROUP BY 1""")
 def s9_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = I.table(spark, sf_dir, "events")
-    per = e.groupBy("user_id").agg(F.collect_list(F.struct(F.col("event_id").alias("t"), F.col("value").alias("l"), F.lit(0.0).alias("s"))).alias("history"))
+    per = e.groupBy("user_id", page("event_id")).agg(F.collect_list(F.struct(F.col("event_id").alias("t"), F.col("value").alias("l"), F.lit(0.0).alias("s"))).alias("history"))
     one = per.select(F.to_json(F.array(F.struct(F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("symbol"), "history"))).alias("json"))
     return S.history(one)
 
