@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
@@ -69,18 +70,30 @@ def unused(columns: list[str], name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Returns to the system what a task freed: Python workers live on, and their allocators keep it for the next task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def per_batch(make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: pa.Schema):
     """For mapInArrow: make() runs once a task and gives what turns a batch into columns.
 
     Batches with a text column come in lots of LOT bytes of text (or one longer text), which bounds
-    what numpy holds at a time.
+    what numpy holds at a time. What a task freed goes back to the system when it ends.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        each = make()
+        each, batch = make(), None
         for batch in batches:
             for a, b in lots(batch["text"]) if "text" in batch.schema.names else [(0, len(batch))]:
                 yield pa.RecordBatch.from_pydict(each(batch.slice(a, b - a)), schema=schema)
+        del each, batch
+        give_back()
 
     return run
 

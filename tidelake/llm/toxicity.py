@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import crc_of_id, cut, lots, per_batch, table
+from tidelake.llm.common import crc_of_id, cut, give_back, lots, per_batch, table
 
 #: Bound of the labelled sample: rows of each class.
 EXAMPLES = 4000
@@ -351,12 +351,14 @@ def _in_documents(shared):
     """Of a task's texts: how many there are (term -1) and how many have each term."""
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        encoder, batch = Encoder(shared.value), None
         df, n = np.zeros(len(encoder.terms), np.int64), 0
         for batch in batches:
             for a, b in lots(batch["text"]):
                 df += np.bincount(encoder.lot(batch["text"].slice(a, b - a))[1], minlength=len(df))
                 n += b - a
+        del batch
+        give_back()
         seen = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"term": np.append(-1, seen).astype(np.int32), "n": np.append(n, df[seen])}, pa.schema([("term", pa.int32()), ("n", pa.int64())]))
 
@@ -425,10 +427,13 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, examples:
 
 def _keep(shared, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = part = None
         for batch in batches:
             for a, b in lots(batch["text"]):
                 part = batch.slice(a, b - a)
                 yield part.filter(pa.array([f[0] < threshold for f in shared.value(part["text"])], pa.bool_()))
+        del batch, part
+        give_back()
 
     return run
 
