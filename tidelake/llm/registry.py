@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, kn_quality, mixing, packing, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk_search, toxicity
+from tidelake.llm import chat, kn_quality, mixing, packing, periodic_runs, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk_search, toxicity
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
             simhash.op8_simhash,
             kn_quality.op9_kn_quality,
             secrets.op10_secret_scan,
+            periodic_runs.op11_periodic_runs,
             token_counts.op13_token_counts,
         )
     }
