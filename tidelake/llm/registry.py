@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidelake.llm import chat, kn_quality, mixing, packing, periodic_runs, quality_rules, secrets, simhash, suffix_dedup, token_counts, topk_search, toxicity
+from tidelake.llm import chat, kn_quality, mixing, packing, periodic_runs, quality_rules, repair, secrets, simhash, suffix_dedup, token_counts, topk_search, toxicity
 
 
 def queries() -> dict:
@@ -20,6 +20,7 @@ def queries() -> dict:
             kn_quality.op9_kn_quality,
             secrets.op10_secret_scan,
             periodic_runs.op11_periodic_runs,
+            repair.op12_repair,
             token_counts.op13_token_counts,
         )
     }
