@@ -92,3 +92,11 @@ def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, TEXTS[0], "a", "b", {"k": 1}), (2, None, None, "c", None)], "doc_id long, text string, __spans string, __Blob string, tags map<string,int>")
     out = {r.doc_id: r for r in secrets.redact(docs).collect()}
     assert out[1].text.startswith("[secret]") and out[1]["__spans"] == "a" and out[1]["__Blob"] == "b" and out[2]["__Blob"] == "c"
+
+
+def test_a_pair_that_is_twice_in_the_ledger_counts_once(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    docs = frame(spark, TEXTS[:3])
+    once = {r.doc_id: r.findings for r in secrets.findings_by_path(docs, path).collect()}
+    secrets.unseen(docs).write.mode("append").parquet(path)  # as a second run at the same time would
+    assert {r.doc_id: r.findings for r in secrets.findings_by_path(docs, path).collect()} == once

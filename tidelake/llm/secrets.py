@@ -153,6 +153,7 @@ def findings_by_path(docs: DataFrame, path: str | None = None) -> DataFrame:
     known = update_ledger(docs, path or f"{shared_dir(docs.sparkSession)}/secret-ledger-{uuid.uuid4().hex}")
     paths = docs.select("doc_id", blob_of("text").alias("blob"))
     known = known.where((F.size("findings") > 0) & F.col("rule_version").isin(*RULES))
+    known = known.dropDuplicates(["blob", "rule_version"])  # two runs at once may append a pair twice
     order = F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))))
     by_blob = known.groupBy("blob").agg(F.flatten(F.collect_list("findings")).alias("f"))
     by_blob = cut(by_blob.select("blob", F.array_sort(F.transform("f", lambda x: F.struct(x["start"].alias("start"), order[x["kind"]].alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))).alias("findings")))
