@@ -127,3 +127,10 @@ def test_registered_query_counts_what_the_mix_gives(spark, tmp_path, monkeypatch
     whole = sum(r[4] for r in every())
     monkeypatch.setattr(m, "first_words", lambda text, n: F.when(n.isNull(), text).otherwise(F.lit("")))
     assert sum(r[4] for r in every()) < whole
+
+
+def test_the_query_takes_tables_with_any_column(spark, tmp_path):
+    rows = [(1, "one two three", "a", "x"), (2, "four", "b", "y"), (2, "four", "b", "y"), (3, None, None, "z")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, __row string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = m.op2_mixing(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r["size"]) for r in got) == [(1, 3), (2, 1), (2, 1), (3, 0)]

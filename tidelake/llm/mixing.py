@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from tidelake.llm.common import cut, lots, table, word_counts
+from tidelake.llm.common import cut, lots, table, unused, word_counts
 
 #: Words of a block, about. A source has a power of two of blocks, LEAST_BLOCKS at least: a
 #: permutation of blocks is then b -> (odd * b + c) mod blocks.
@@ -270,4 +270,5 @@ def given(docs: DataFrame, row: str, shards: int | None = None, seed: int = 7) -
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix of all documents takes of each (the contract's digest columns)."""
     docs = table(spark, sf_dir, "documents")
-    return given(docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("__row")), "__row")
+    row = unused(docs.columns, "__row")
+    return given(docs.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias(row)), row)
