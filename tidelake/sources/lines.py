@@ -153,11 +153,11 @@ class _Block:
 
 
 class CsvAudit:
-    """What is asked of CSV files: their columns, and optionally a key, an order and a time with its bounds."""
+    """What is asked of CSV files: their columns, and optionally a key, an order and a time with its bounds (2009 to 2100)."""
 
     def __init__(
         self, columns: list[str], key: list[str] | None = None, order: list[str] | None = None, time: str | None = None,
-        bounds: tuple[int, int] = (0, 4102444800 * 10**6), samples: int = 5,
+        bounds: tuple[int, int] = (1230768000 * 10**6, 4102444800 * 10**6), samples: int = 5,
     ) -> None:
         missing = [c for c in [*(key or []), *(order or []), *([time] if time else [])] if c not in columns]
         if missing:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions import times as T
+from tidelake.functions import wide
 from tidelake.functions.checks import address_word, hex_quantity, sound_ohlc
 from tidelake.operators.quality import issue, with_issues
 
@@ -110,26 +111,70 @@ def tickers(payloads: DataFrame) -> DataFrame:
     return typed.where("symbol <> '' AND quote_volume >= 0 AND quote_volume < double('infinity')")
 
 
-def pair_logs(logs: DataFrame, headers: DataFrame, factory: str, topic: str) -> tuple[DataFrame, DataFrame]:
-    """(decoded, violations) of ledger logs (address, topics, data, block_number, block_hash, log_index, removed) of one event.
+def event_logs(logs: DataFrame, headers: DataFrame, emitter: str, topic: str, topics: int, data_words: int = 0) -> DataFrame:
+    """logs of one event with block, block_s, words and code: null, or why a log can't be decoded.
 
-    headers: number, hash, timestamp. A log must come from the factory, not be removed, have three
-    topics with the event's first, and agree with its block's header in number and hash.
+    logs: address, topics, data, block_number, block_hash, log_index, removed and, where a log may come
+    twice, tx_hash; headers: number, hash, timestamp. A log must come from the emitter, not be removed, have
+    so many topics with the event's first, come once (by tx_hash and log_index), agree with its block's
+    header in number and hash, and hold data_words words (0: any data).
     """
-    same = F.lower("address") == factory.lower()
-    shape = (F.size("topics") == 3) & (F.lower(F.get("topics", F.lit(0))) == topic.lower())
-    known = headers.select(hex_quantity(F.col("number")).cast("long").alias("block"), F.lower("hash").alias("header_hash"), hex_quantity(F.col("timestamp")).cast("long").alias("block_s"))
+    same = F.lower("address") == emitter.lower()
+    shape = (F.size("topics") == topics) & (F.lower(F.get("topics", F.lit(0))) == topic.lower())
+    known = headers.select(
+        hex_quantity(F.col("number")).cast("long").alias("block"), F.lower("hash").alias("header_hash"), hex_quantity(F.col("timestamp")).cast("long").alias("block_s")
+    )
     joined = logs.withColumn("block", hex_quantity(F.col("block_number")).cast("long")).join(known, "block", "left")
     code = (
         F.when(~same, "wrong_emitter").when(F.col("removed"), "removed_log").when(~shape, "bad_topics").when(F.col("header_hash").isNull(), "missing_header")
         .when(F.col("header_hash") != F.lower("block_hash"), "hash_mismatch")
-    )
+    )
+    joined = joined.withColumn("words", wide.words(F.col("data"), data_words) if data_words else F.lit(None).cast("array<string>"))
+    if data_words:
+        code = code.when(F.col("words").isNull(), "bad_data")
     marked = joined.withColumn("code", code)
+    if "tx_hash" not in logs.columns:
+        return marked
+    twice = Window.partitionBy("tx_hash", "log_index")  # a key is a log: few rows each
+    return marked.withColumn("code", F.when(F.col("code").isNull() & (F.count("*").over(twice) > 1), "duplicate_log").otherwise(F.col("code")))
+
+
+def _faulty(marked: DataFrame) -> DataFrame:
+    return marked.where("code is not null").select("block", "log_index", "code")
+
+
+def _place(*extra: str) -> list[Column]:
+    return [F.col("block"), (F.col("block_s") * T.SECOND).alias("ts_us"), hex_quantity(F.col("log_index")).cast("long").alias("log_index"), *map(F.col, extra)]
+
+
+def pair_logs(logs: DataFrame, headers: DataFrame, factory: str, topic: str) -> tuple[DataFrame, DataFrame]:
+    """(decoded, violations) of the logs by which a factory says that it made a pair; see event_logs."""
+    marked = event_logs(logs, headers, factory, topic, 3)
     good = marked.where("code is null").select(
-        "block", (F.col("block_s") * T.SECOND).alias("ts_us"), hex_quantity(F.col("log_index")).cast("long").alias("log_index"),
-        address_word(F.col("topics")[1]).alias("token0"), address_word(F.col("topics")[2]).alias("token1"), address_word(F.substring("data", 1, 66)).alias("pair"),
-    )
-    return good, marked.where("code is not null").select("block", "log_index", "code")
+        *_place(), address_word(F.col("topics")[1]).alias("token0"), address_word(F.col("topics")[2]).alias("token1"), address_word(F.substring("data", 1, 66)).alias("pair"),
+    )
+    return good, _faulty(marked)
+
+
+SWAP_AMOUNTS = ["amount0_in", "amount1_in", "amount0_out", "amount1_out"]
+
+
+def swap_logs(logs: DataFrame, headers: DataFrame, pair: str, topic: str) -> tuple[DataFrame, DataFrame]:
+    """(decoded, violations) of a pair's swap logs: sender, recipient and four amounts of 256 bits; see event_logs and functions.wide."""
+    marked = event_logs(logs, headers, pair, topic, 3, 4)
+    sender, to = address_word(F.col("topics")[1]), address_word(F.col("topics")[2])
+    marked = marked.withColumn("code", F.when(F.col("code").isNull() & (sender.isNull() | to.isNull()), "bad_address").otherwise(F.col("code")))
+    good = marked.where("code is null").select(*_place("tx_hash"), sender.alias("sender"), to.alias("recipient"), *(wide.u256(F.col("words")[i]).alias(c) for i, c in enumerate(SWAP_AMOUNTS)))
+    return good, _faulty(marked)
+
+
+def sync_logs(logs: DataFrame, headers: DataFrame, pair: str, topic: str) -> tuple[DataFrame, DataFrame]:
+    """(decoded, violations) of a pair's sync logs: two reserves, which must be under 2 ** 112; see event_logs."""
+    marked = event_logs(logs, headers, pair, topic, 1, 2)
+    reserves = [wide.u256(F.col("words")[i]) for i in range(2)]
+    over = ~(wide.fits(reserves[0], 112) & wide.fits(reserves[1], 112))
+    marked = marked.withColumn("code", F.when(F.col("code").isNull() & over, "reserve_range").otherwise(F.col("code")))
+    return marked.where("code is null").select(*_place("tx_hash"), reserves[0].alias("reserve0"), reserves[1].alias("reserve1")), _faulty(marked)
 
 
 PARTITIONS = ["venue", "market", "timeframe", "year", "month"]
