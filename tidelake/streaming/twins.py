@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,33 +40,46 @@ def bars(trades: DataFrame, interval: str, late: str) -> DataFrame:
     return made.select("instrument_id", F.unix_micros("window.start").alias("period_start_us"), "open", "high", "low", "close", "base_volume", "trade_count")
 
 
-def first_of_each(trades: DataFrame, id_: str, late: str) -> DataFrame:
-    """The first trade of each id within the watermark."""
-    return trades.withWatermark("ts", late).dropDuplicatesWithinWatermark([id_])
+def runs_of(times: np.ndarray, step: int) -> list[tuple[int, int]]:
+    """(first, last) of each maximal run of sorted, different times that are step apart."""
+    if not len(times):
+        return []
+    breaks = np.flatnonzero(np.diff(times) != step)
+    return list(zip(times[np.append(0, breaks + 1)].tolist(), times[np.append(breaks, len(times) - 1)].tolist()))
+
+
+def joined_runs(runs: list[tuple[int, int]], step: int) -> list[tuple[int, int]]:
+    """Runs on one grid, those that touch or overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1] + step and (a - out[-1][0]) % step == 0:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
 
 
 def contiguous_prefix(times: DataFrame, key: str, at: str, step: int) -> DataFrame:
     """key, prefix_end, length, in update mode: how far times go on step by step from the first one seen.
 
-    Times after a gap wait in the key's state until the gap is filled; a time before the first seen is
-    late and left out.
+    Times after a gap wait in the key's state as runs, (first, last), until the gap is filled: the state
+    grows with the gaps, not with the times. A time before the first seen is late and left out. Times are
+    multiples of step apart.
     """
     kind = dict(times.dtypes)[key]
 
     def follow(k: tuple, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        end, length, waiting = state.get if state.exists else (None, 0, [])
-        todo = sorted({int(x) for part in rows for x in part[at]} | set(waiting))
-        waiting = []
-        for x in todo:
-            if end is None or x == end + step:
-                end, length = x, length + 1
-            elif x > end:
-                waiting.append(x)
-        state.update((end, length, waiting))
-        yield pd.DataFrame({key: [k[0]], "prefix_end": [end], "length": [length]})
+        start, end, firsts, lasts = state.get if state.exists else (None, None, [], [])
+        fresh = np.unique(np.concatenate([part[at].to_numpy(np.int64) for part in rows]))
+        if start is None:
+            start = end = int(fresh[0])
+        runs = [(start, end), *zip(firsts, lasts), *runs_of(fresh[fresh > end], step)]
+        (start, end), *waiting = joined_runs(runs, step)
+        state.update((start, end, [a for a, _ in waiting], [b for _, b in waiting]))
+        yield pd.DataFrame({key: [k[0]], "prefix_end": [end], "length": [(end - start) // step + 1]})
 
     out = f"{key} {kind}, prefix_end long, length long"
-    return times.groupBy(key).applyInPandasWithState(follow, out, "end long, length long, waiting array<long>", "update", "NoTimeout")
+    return times.groupBy(key).applyInPandasWithState(follow, out, "first long, last long, firsts array<long>, lasts array<long>", "update", "NoTimeout")
 
 
 def states(log: DataFrame, key: str, order: str, allowed: set[tuple[str | None, str]]) -> DataFrame:
@@ -75,10 +89,11 @@ def states(log: DataFrame, key: str, order: str, allowed: set[tuple[str | None,
     def follow(k: tuple, rows: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         now = state.get[0] if state.exists else None
         out = []
-        for _, row in pd.concat(list(rows)).sort_values(order).iterrows():
-            legal = (now, row["state"]) in allowed
-            out.append((k[0], row[order], now, row["state"], legal))
-            now = row["state"] if legal else now
+        part = pd.concat(list(rows)).sort_values(order)
+        for at, to in zip(part[order], part["state"]):
+            legal = (now, to) in allowed
+            out.append((k[0], at, now, to, legal))
+            now = to if legal else now
         state.update((now,))
         yield pd.DataFrame(out, columns=[key, order, "before", "state", "legal"])
 
