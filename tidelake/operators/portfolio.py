@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,30 +70,43 @@ def perpetual_account(targets: DataFrame, moves: DataFrame, cost_rate: float, ma
     """Per strategy_id and period: turnover, cost, price_return, funding, net_return, long_return, short_return, liquidated.
 
     targets: strategy_id, period, instrument_id, weight; moves: period, instrument_id, ret, funding_rate
-    (missing: 0). Drifted weights are over net growth, so a period needs the one before: each strategy
-    is folded in its own group, strategies in parallel. A loss of 1 - maintenance or more liquidates the
-    book: the period's net return is -1, and the next one starts without positions.
+    (missing: 0). Drifted weights are over net growth, so a period needs the one before: the rows of a
+    strategy stream through a task in order of periods, which holds the positions of two periods at a
+    time, and strategies go in parallel. A loss of 1 - maintenance or more liquidates the book: the
+    period's net return is -1, and the next one starts without positions.
     """
     held = targets.join(moves, ["period", "instrument_id"], "left").fillna(0.0, ["ret", "funding_rate"])
     columns = ["turnover", "cost", "price_return", "funding", "net_return", "long_return", "short_return"]
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        before: dict = {}
-        out = []
-        for period, now in rows.sort_values(["period", "instrument_id"]).groupby("period"):
-            w, r, f = (now[c].to_numpy(float) for c in ("weight", "ret", "funding_rate"))
-            names = now["instrument_id"].tolist()
-            turnover = sum(abs(x - before.pop(i, 0.0)) for i, x in zip(names, w)) + sum(map(abs, before.values()))
-            price, funding = float(w @ r), float(-(w @ f))
-            net = price + funding - turnover * cost_rate
-            gone = -net >= 1 - maintenance
-            net = -1.0 if gone else net
-            out.append((rows["strategy_id"].iloc[0], period, turnover, turnover * cost_rate, price, funding, net, float((w * r)[w > 0].sum()), float((w * r)[w < 0].sum()), gone))
-            before = {} if gone else dict(zip(names, (w * (1 + r) / (1 + net)).tolist()))
-        return pd.DataFrame(out, columns=["strategy_id", "period", *columns, "liquidated"])
+    def close(key: tuple, rows: list[tuple], before: dict) -> tuple[tuple, dict]:
+        turnover = sum(abs(w - before.pop(i, 0.0)) for i, w, _, _ in rows) + sum(map(abs, before.values()))
+        price, funding = sum(w * r for _, w, r, _ in rows), -sum(w * f for _, w, _, f in rows)
+        net = price + funding - turnover * cost_rate
+        gone = -net >= 1 - maintenance
+        net = -1.0 if gone else net
+        sides = [sum(w * r for _, w, r, _ in rows if (w > 0) is up and w) for up in (True, False)]
+        after = {} if gone else {i: w * (1 + r) / (1 + net) for i, w, r, _ in rows}
+        return (*key, turnover, turnover * cost_rate, price, funding, net, *sides, gone), after
+
+    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, rows, before = None, [], {}
+        for part in parts:
+            out = []
+            for strategy, period, *row in zip(*(part[c] for c in ("strategy_id", "period", "instrument_id", "weight", "ret", "funding_rate"))):
+                if key != (strategy, period):
+                    if key is not None:
+                        done, before = close(key, rows, before)
+                        out.append(done)
+                        before = before if key[0] == strategy else {}
+                    key, rows = (strategy, period), []
+                rows.append(tuple(row))
+            yield pd.DataFrame(out, columns=["strategy_id", "period", *columns, "liquidated"])
+        if key is not None:
+            yield pd.DataFrame([close(key, rows, before)[0]], columns=["strategy_id", "period", *columns, "liquidated"])
 
     kinds = {n: t for n, t in targets.dtypes}
-    return held.groupBy("strategy_id").applyInPandas(fold, f"strategy_id {kinds['strategy_id']}, period {kinds['period']}, " + ", ".join(f"{c} double" for c in columns) + ", liquidated boolean")
+    ordered = held.select("strategy_id", "period", "instrument_id", "weight", "ret", "funding_rate").repartition("strategy_id").sortWithinPartitions("strategy_id", "period", "instrument_id")
+    return ordered.mapInPandas(fold, f"strategy_id {kinds['strategy_id']}, period {kinds['period']}, " + ", ".join(f"{c} double" for c in columns) + ", liquidated boolean")
 
 
 def summary(periods: DataFrame, keys: list[str] = ("strategy_id",)) -> DataFrame:

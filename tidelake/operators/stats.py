@@ -21,39 +21,67 @@ def numbered(returns: DataFrame, keys: list[str], order: str, value: str) -> Dat
     return returns.select(*keys, (F.row_number().over(by.orderBy(order)) - 1).alias("i"), F.col(value).alias("x"), F.count("*").over(by).alias("n"), F.avg(value).over(by).alias("mean"))
 
 
+#: Iterations of a key that are dealt out together; a key's values travel once for each such lot.
+LOT = 500
+
+
+def _iterations(rows: DataFrame, keys: list[str], held: dict[str, Column], iterations: int) -> DataFrame:
+    """keys, n, mean, held, b: a row for each key and iteration, spread over the cluster by lots of iterations.
+
+    held: aggregates of a key's values (as arrays, bounded by its periods), which are all that a
+    resampled path needs: paths are folded where they are, without a shuffle.
+    """
+    lots = F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // LOT))).alias("lot")
+    each = rows.groupBy(*keys, "n", "mean").agg(*(v.alias(k) for k, v in held.items())).select("*", lots).repartition(*keys, "lot")
+    last = F.least(F.col("lot") * LOT + (LOT - 1), F.lit(iterations - 1))
+    return each.select(*keys, "n", "mean", *held, F.explode(F.sequence(F.col("lot") * LOT, last)).alias("b"))
+
+
+def _in_order(value: Column) -> Column:
+    """A key's values as an array by i."""
+    return F.transform(F.array_sort(F.collect_list(F.struct(F.col("i"), value.alias("v")))), lambda x: x["v"])
+
+
 def stationary_p_values(returns: DataFrame, keys: list[str], order: str, value: str, iterations: int, mean_block: int, seed: int) -> DataFrame:
     """keys, n, observed_mean, exceedances, p_value: one-sided stationary bootstrap of mean > 0.
 
     Values are centred; a path starts a new block with probability 1 / mean_block at each step, else
-    goes on, around the end. Steps since the last start are a running maximum over the path.
+    goes on, around the end.
     """
     rows = numbered(returns, keys, order, value)
-    sizes = rows.select(*keys, "n", "mean").distinct()
-    steps = sizes.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1)))).withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-    new = (F.col("step") == 0) | (draw(seed, F.lit("new"), F.col("b"), F.col("step")) % mean_block == 0)
-    path = Window.partitionBy(*keys, "b").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    begun = F.max(F.when(new, F.col("step"))).over(path)
-    at = steps.withColumn("begun", begun)
-    at = at.withColumn("i", ((draw(seed, F.lit("at"), F.col("b"), F.col("begun")) % F.col("n") + F.col("step") - F.col("begun")) % F.col("n")).cast("int"))
-    means = at.join(rows.select(*keys, "i", (F.col("x") - F.col("mean")).alias("c")), [*keys, "i"]).groupBy(*keys, "n", "mean", "b").agg(F.avg("c").alias("m"))
+    paths = _iterations(rows, keys, {"c": _in_order(F.col("x") - F.col("mean"))}, iterations)
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0.0).alias("sum"))
+
+    def step(state: Column, k: Column) -> Column:
+        new = (k == 0) | (draw(seed, F.lit("new"), F.col("b"), k) % mean_block == 0)
+        at = F.when(new, draw(seed, F.lit("at"), F.col("b"), k) % F.col("n")).otherwise((state["at"] + 1) % F.col("n"))
+        return F.struct(at.alias("at"), (state["sum"] + F.get("c", state["at"].cast("int")) * F.when(k > 0, 1.0).otherwise(0.0)).alias("sum"))
+
+    # a step adds the place chosen by the one before, so that a place is worked out once; the last is added at the end
+    mean = F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), start, step, lambda s: s["sum"] + F.get("c", s["at"].cast("int"))) / F.col("n")
     # sums in another order may differ in the last digits; a tie counts as an exceedance
-    out = means.groupBy(*keys, "n", "mean").agg(F.count_if(F.col("m") >= F.col("mean") - 1e-12).alias("exceedances"))
+    out = paths.groupBy(*keys, "n", "mean").agg(F.count_if(mean >= F.col("mean") - 1e-12).alias("exceedances"))
     return out.select(*keys, "n", F.col("mean").alias("observed_mean"), "exceedances", ((F.col("exceedances") + 1) / (iterations + 1.0)).alias("p_value"))
 
 
 def block_totals(returns: DataFrame, keys: list[str], order: str, value: str, iterations: int, block: int, seed: int) -> DataFrame:
     """keys, b, total: block-bootstrapped total returns of centred log returns; keys with as many values share their draws.
 
-    Blocks of `block` values start anywhere inside and are cut at n values in all. Log is taken once.
+    Blocks of `block` values start anywhere inside and are cut at n values in all. Log is taken once. A
+    block's total is a difference of running sums, so a path takes n / block steps.
     """
     logs = returns.where(F.col(value) > -1).withColumn("log", F.log1p(value))
-    rows = numbered(logs, keys, order, "log")
-    sizes = rows.select(*keys, "n").distinct().where(F.col("n") >= block)
-    starts = sizes.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1)))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / block) - 1)))
-    start = draw(seed, F.col("b"), F.col("j")) % (F.col("n") - block + 1)
-    each = starts.withColumn("start", start).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(block - 1)))).where(F.col("j") * block + F.col("k") < F.col("n"))
-    picked = each.withColumn("i", (F.col("start") + F.col("k")).cast("int")).join(rows.select(*keys, "i", (F.col("x") - F.col("mean")).alias("c")), [*keys, "i"])
-    return picked.groupBy(*keys, "b").agg(F.expm1(F.sum("c")).alias("total"))
+    rows = numbered(logs, keys, order, "log").where(F.col("n") >= block)
+    upto = F.sum(F.col("x") - F.col("mean")).over(Window.partitionBy(*keys).orderBy("i"))
+    paths = _iterations(rows.withColumn("s", upto), keys, {"sums": F.concat(F.array(F.lit(0.0)), _in_order(F.col("s")))}, iterations)
+
+    def step(total: Column, j: Column) -> Column:
+        start = (draw(seed, F.col("b"), j) % (F.col("n") - block + 1)).cast("int")
+        size = F.least(F.lit(block).cast("long"), F.col("n") - j * block).cast("int")
+        return total + F.get("sums", start + size) - F.get("sums", start)
+
+    total = F.aggregate(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / block) - 1), F.lit(0.0), step)
+    return paths.select(*keys, "b", F.expm1(total).alias("total"))
 
 
 def observed_totals(returns: DataFrame, keys: list[str], value: str) -> DataFrame:
