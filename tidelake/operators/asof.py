@@ -52,16 +52,48 @@ def latest_within(decisions: DataFrame, facts: DataFrame, key: str, fields: list
     return best.select(key, "t", "fact.*")
 
 
+#: Stands for the end of an interval that has none.
+FAR = 2**62
+
+
+def in_intervals(points: DataFrame, intervals: DataFrame, key: str, at: Column, start: Column, end: Column) -> DataFrame:
+    """Every point with every interval [start, end) of its key that it lies in; a null end is none.
+
+    An interval's level is the power of two that its length fits in; at that level it touches one or two
+    buckets, and a point lies in one. So pairs meet by (key, level, bucket), once, and an interval meets
+    points of its own length's surroundings only, not all of its key. Points are repeated for each level
+    there is: at most 63, which is all that reaches the driver.
+    """
+    to = F.least(F.coalesce(end, F.lit(FAR)), F.lit(FAR))
+    sized = intervals.withColumns({"__from": start, "__to": to}).where("__from < __to")
+    level = F.when(F.col("__to") - F.col("__from") <= 1, 0).otherwise(F.length(F.bin(F.col("__to") - F.col("__from") - 1)))
+    sized = sized.withColumn("__level", level.cast("int"))
+    there = sorted(r[0] for r in sized.select("__level").distinct().collect())
+    if not there:
+        there = [0]
+    bucket = lambda c: F.expr(f"{c} >> __level")  # noqa: E731  # rounds down, below zero too
+    dealt = sized.withColumn("__last", F.col("__to") - 1).withColumn("__bucket", F.explode(F.array_distinct(F.array(bucket("__from"), bucket("__last")))))
+    asked = points.withColumn("__at", at).withColumn("__level", F.explode(F.array(*map(F.lit, there)))).withColumn("__bucket", bucket("__at"))
+    met = asked.join(dealt, [key, "__level", "__bucket"]).where((F.col("__from") <= F.col("__at")) & (F.col("__at") < F.col("__to")))
+    return met.drop("__level", "__bucket", "__from", "__to", "__last", "__at")
+
+
 def all_eligible(decisions: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Every fact (availability, valid_from, valid_to) with every decision (key, t) at which it is eligible."""
-    met = decisions.join(facts, key)
+    known = F.when(F.col("availability").isNotNull(), F.greatest("availability", "valid_from"))  # a null valid_from is open
+    met = in_intervals(decisions, facts, key, F.col("t"), known, F.col("valid_to") + 1)
     return met.where(observation_eligible(F.col("t"), F.col("availability"), F.col("valid_from"), F.col("valid_to")))
 
 
+def _reference_met(asks: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    known = F.when(F.col("valid_from").isNotNull() & F.col("known_from").isNotNull(), F.greatest("valid_from", "known_from"))
+    met = in_intervals(asks, facts, key, F.col("t"), known, F.col("valid_to"))
+    return met.where(reference_eligible(*(F.col(c) for c in ("t", "k", "valid_from", "valid_to", "known_from", "known_to"))))
+
+
 def reference_at(asks: DataFrame, facts: DataFrame, key: str) -> DataFrame:
     """Bitemporal facts with every ask (key, t, k) at which they are eligible."""
-    met = asks.join(facts, key)
-    return met.where(reference_eligible(*(F.col(c) for c in ("t", "k", "valid_from", "valid_to", "known_from", "known_to"))))
+    return _reference_met(asks, facts, key)
 
 
 def reference_latest(asks: DataFrame, facts: DataFrame, key: str, order: list[str], within: list[str] = ()) -> DataFrame:
@@ -77,10 +109,12 @@ def conflicts(facts: DataFrame, key: str, id_: str) -> DataFrame:
     for s in ("a", "b"):
         f = facts.select(F.col(key), F.col(id_).alias(s), *(F.coalesce(c, far).alias(f"{s}_{c}") if c.endswith("to") else F.col(c).alias(f"{s}_{c}") for c in ("valid_from", "valid_to", "known_from", "known_to")))
         sides.append(f)
-    met = sides[0].join(sides[1], key).where("a < b")
+    # of two windows that overlap the later start lies in the other; ties go by id
+    met = in_intervals(sides[1], sides[0], key, F.col("b_valid_from"), F.col("a_valid_from"), F.col("a_valid_to"))
+    met = met.where((F.col("a_valid_from") < F.col("b_valid_from")) | ((F.col("a_valid_from") == F.col("b_valid_from")) & (F.col("a") < F.col("b"))))
     for kind in ("valid", "known"):
         met = met.where((F.col(f"a_{kind}_from") < F.col(f"b_{kind}_to")) & (F.col(f"b_{kind}_from") < F.col(f"a_{kind}_to")))
-    return met.select(key, "a", "b")
+    return met.select(key, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def resolve_alias(asks: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -91,7 +125,7 @@ def resolve_alias(asks: DataFrame, aliases: DataFrame) -> DataFrame:
     more AMBIGUOUS. The target is that of the best alias: the venue's own, then confidence, then id.
     """
     a = aliases.withColumnRenamed("venue_id", "of_venue")
-    met = asks.join(a, "norm").where(reference_eligible(*(F.col(c) for c in ("t", "k", "valid_from", "valid_to", "known_from", "known_to"))))
+    met = _reference_met(asks, a, "norm")
     met = met.where(F.col("of_venue").isNull() | (F.col("of_venue") == F.col("venue_id")))
     rank = F.struct(F.col("of_venue").isNull(), -F.col("confidence"), F.col("alias_id"))
     found = met.groupBy("ask_id").agg(F.count_distinct("target_id").alias("targets"), F.min_by("target_id", rank).alias("best"))

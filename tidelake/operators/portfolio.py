@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 TINY = 1e-12
 
 
-def rank_weights(scores: DataFrame, long_only: bool = False) -> DataFrame:
-    """t, instrument_id, weight: ascending place / (n - 1), less 0.5 unless long_only, scaled to gross 1; a lone instrument has 1.
+def rank_weights(scores: DataFrame, long_only: bool = False, across: tuple[str, ...] = ("t",)) -> DataFrame:
+    """across, instrument_id, weight: ascending place / (n - 1), less 0.5 unless long_only, scaled to gross 1; a lone instrument has 1.
 
     Ties in score go by instrument_id.
     """
-    of_t = Window.partitionBy("t")
+    of_t = Window.partitionBy(*across)
     place = F.row_number().over(of_t.orderBy("score", "instrument_id")) - 1
     raw = scores.withColumn("n", F.count("*").over(of_t)).withColumn("raw", place / F.nullif(F.col("n") - 1, F.lit(0)) - (0.0 if long_only else 0.5))
     gross = F.sum(F.abs("raw")).over(of_t)
-    return raw.withColumn("gross", gross).select("t", "instrument_id", F.when(F.col("n") == 1, 1.0).when(F.col("gross") > 0, F.col("raw") / F.col("gross")).otherwise(F.col("raw")).alias("weight"))
+    return raw.withColumn("gross", gross).select(*across, "instrument_id", F.when(F.col("n") == 1, 1.0).when(F.col("gross") > 0, F.col("raw") / F.col("gross")).otherwise(F.col("raw")).alias("weight"))
 
 
 def sign_weights(scores: DataFrame, leverage: float = 1.0, across: tuple[str, ...] = ("t",)) -> DataFrame:

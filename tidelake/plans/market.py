@@ -365,7 +365,7 @@ def a21_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def perpetual_sql(cost: float, maintenance: float) -> str:
-    """pa: perpetual accounting of ta (targets) and mv (moves), a period at a time; for WITH RECURSIVE."""
+    """pn: perpetual accounting of ta (targets) and mv (moves), a period at a time; for WITH RECURSIVE."""
     return f"""pe AS (SELECT strategy_id, period, row_number() OVER (PARTITION BY strategy_id ORDER BY period) AS k FROM (SELECT DISTINCT strategy_id, period FROM ta)),
  hd AS (SELECT ta.strategy_id, k, instrument_id, weight AS w, coalesce(ret, 0) AS r, coalesce(funding_rate, 0) AS f FROM ta JOIN pe USING (strategy_id, period) LEFT JOIN mv USING (period, instrument_id)),
  pr AS (SELECT coalesce(x.strategy_id, y.strategy_id) AS s, coalesce(x.k, y.k + 1) AS k, coalesce(x.w, 0) AS w, coalesce(x.r, 0) AS r, coalesce(x.f, 0) AS f, coalesce(y.w * (1 + y.r), 0) AS d
@@ -374,7 +374,7 @@ def perpetual_sql(cost: float, maintenance: float) -> str:
   UNION ALL SELECT s, k, turnover, price - turnover * {cost} FROM (
    SELECT pr.s, pr.k, sum(abs(pr.w - CASE WHEN fo.k = 0 OR -fo.raw >= 1 - {maintenance} THEN 0 ELSE pr.d / (1 + fo.raw) END)) AS turnover, sum(pr.w * pr.r) - sum(pr.w * pr.f) AS price
    FROM fo JOIN pr ON pr.s = fo.s AND pr.k = fo.k + 1 GROUP BY pr.s, pr.k)),
- pa AS (SELECT strategy_id, period, fo.turnover, fo.turnover * {cost} AS cost, g.price AS price_return, -g.fund AS funding, CASE WHEN -raw >= 1 - {maintenance} THEN -1.0 ELSE raw END AS net_return,
+ pn AS (SELECT strategy_id, period, fo.turnover, fo.turnover * {cost} AS cost, g.price AS price_return, -g.fund AS funding, CASE WHEN -raw >= 1 - {maintenance} THEN -1.0 ELSE raw END AS net_return,
   g.lo AS long_return, g.sh AS short_return, -raw >= 1 - {maintenance} AS liquidated
   FROM fo JOIN pe ON pe.strategy_id = fo.s AND pe.k = fo.k JOIN (SELECT strategy_id AS s, k, sum(w * r) AS price, sum(w * f) AS fund, coalesce(sum(w * r) FILTER (WHERE w > 0), 0) AS lo,
    coalesce(sum(w * r) FILTER (WHERE w < 0), 0) AS sh FROM hd GROUP BY 1, 2) g ON g.s = fo.s AND g.k = fo.k)"""
@@ -384,7 +384,7 @@ PERPETUAL = ("turnover", "cost", "price_return", "funding", "net_return", "long_
 
 
 @query(f"""WITH RECURSIVE {BOOK}, mv AS (SELECT period, instrument_id, ret, (instrument_id % 7 - 3) / 10000.0 AS funding_rate FROM re), {perpetual_sql(COST, 0.05)}
-SELECT strategy_id, period, {", ".join(f"round({c}, {R}) AS {c}" for c in PERPETUAL)}, liquidated FROM pa""")
+SELECT strategy_id, period, {", ".join(f"round({c}, {R}) AS {c}" for c in PERPETUAL)}, liquidated FROM pn""")
 def a20_perpetual_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets, moves = book(spark, sf_dir)
     moves = moves.withColumn("funding_rate", (F.col("instrument_id") % 7 - 3) / 10000.0)
