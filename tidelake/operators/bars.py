@@ -58,14 +58,25 @@ def day_completeness(bars: DataFrame, step_us: int, keys: tuple[str, ...] = ("in
     return found.select(*keys, "day_us", "observed", F.lit(expected).cast("long").alias("expected"), code.alias("code"))
 
 
-def resample_daily(bars: DataFrame, keys: tuple[str, ...] = ("instrument_id",), source: str | None = None) -> DataFrame:
-    """Daily bars of intraday bars whose days are complete; optional volumes are null if any member's is."""
+def resample_daily(bars: DataFrame, keys: tuple[str, ...] = ("instrument_id",), source: str | None = None, step_us: int | None = None) -> DataFrame:
+    """Daily bars of intraday bars; optional volumes are null if any member's is.
+
+    With step_us days that are not complete (day_completeness) are left out, in the same pass; without it
+    all days must be.
+    """
     order = F.struct("period_start_us", source) if source else F.col("period_start_us")
+    since = F.pmod("period_start_us", F.lit(DAY))
+    # different opens on the grid: at most one for each step of a day
+    slots = F.size(F.collect_set(F.when(since % step_us == 0, since))) if step_us else None
     found = bars.withColumn("day_us", floor_to(F.col("period_start_us"), DAY)).groupBy(*keys, "day_us").agg(
         F.min_by("open", order).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", order).alias("close"),
         F.sum("base_volume").alias("base_volume"), all_or_null("quote_volume").alias("quote_volume"), all_or_null("trade_count").alias("trade_count"),
         *([F.min(source).alias(source), (F.count_distinct(source) > 1).alias("multi_source")] if source else []),
+        *([F.count("*").alias("__n"), slots.alias("__slots")] if step_us else []),
     )
+    if step_us:
+        expected = DAY // step_us if DAY % step_us == 0 else -1
+        found = found.where((F.col("__n") == expected) & (F.col("__slots") == expected)).drop("__n", "__slots")
     return found.withColumn("availability_us", F.col("day_us") + DAY)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelake.operators.ordered import quantiles, ranked
+
 
 def coverage_span(rows: DataFrame, keys: list[str], at: str, bad: Column | None = None) -> DataFrame:
     """keys, rows, first, last, bad: how far each key's rows reach."""
@@ -35,10 +37,16 @@ def digest(rows: DataFrame, columns: list[str], parts: int = 1024) -> DataFrame:
 def storage_stats(samples: DataFrame, upper: float, rows_ahead: dict[str, int], factor: float = 1.0) -> DataFrame:
     """median, upper, most bytes per row of samples (bytes, rows > 0) and what each named count of rows would need at the upper one."""
     per = samples.where("rows > 0").select((F.col("bytes") / F.col("rows")).alias("x"))
-    found = per.agg(F.median("x").alias("median"), F.percentile("x", F.lit(upper)).alias("upper"), F.max("x").alias("most"))
+    found = quantiles(per, "x", {"median": 0.5, "upper": upper, "most": 1.0})
     return found.select("*", *((F.col("upper") * n * factor).alias(name) for name, n in rows_ahead.items()))
 
 
+def cohorts(members: DataFrame, key: str, size: int) -> DataFrame:
+    """key, cohort of the different members: so many in order of key to a cohort, the last one smaller. Ranks are counted by ranges."""
+    placed = ranked(members.select(key).distinct(), [key], "cohort")
+    return placed.withColumn("cohort", F.floor(F.col("cohort") / size))
+
+
 def largest_ratio(samples: DataFrame, key: str, top: str, below: str) -> DataFrame:
     """key, top, below of the sample with the greatest top / below per key; equal ratios go to the greater top."""
     ratio = F.struct((F.col(top) / F.col(below)).alias("r"), F.col(top))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.operators.asof import latest
+from tidelake.operators.ordered import ranked
 
 
 def forward_labels(decisions: DataFrame, bars: DataFrame, gap_us: int, horizon_us: int, threshold: float = 0.0) -> DataFrame:
@@ -71,10 +72,11 @@ def purged_kfold(events: DataFrame, folds: int, embargo_us: int, least_train: in
 
     Numbers of folds that are left out stay unused.
     """
-    order = Window.orderBy("t", "event_end", "instrument_id", "event_id")
-    n = F.count("*").over(Window.partitionBy())
-    placed = events.withColumn("fold_id", F.least(F.lit(folds - 1), F.floor((F.row_number().over(order) - 1) / F.floor(n / folds))).cast("int"))
+    total = F.broadcast(events.agg(F.count("*").alias("__n")))  # one row
+    placed = ranked(events, ["t", "event_end", "instrument_id", "event_id"], "__rank").crossJoin(total)
+    placed = placed.withColumn("fold_id", F.least(F.lit(folds - 1), F.floor(F.col("__rank") / F.floor(F.col("__n") / folds))).cast("int"))
     test = placed.select("fold_id", *events.columns)
     edges = test.groupBy("fold_id").agg((F.min("t") - embargo_us).alias("edge"))
+    # edges are a row for each of `folds`
     pool = events.join(F.broadcast(edges), F.col("t") < F.col("edge")).select("fold_id", *events.columns)
     return _sized(purge(pool, test, embargo_us), test, least_train, least_test)

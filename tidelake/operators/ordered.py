@@ -34,3 +34,22 @@ def running_sums(df: DataFrame, order: list[str], sums: list[str], within: str |
 def ranked(df: DataFrame, order: list[str], name: str = "rank", within: str | None = None) -> DataFrame:
     """df with name, each row's rank from 0 by order (which must be unique); within: ranks begin anew at its change."""
     return running_sums(df.withColumn(name, F.lit(1).cast("long")), order, [name], within).withColumn(name, F.col(name) - 1)
+
+
+def quantiles(df: DataFrame, column: str, wanted: dict[str, float]) -> DataFrame:
+    """One row with a column for each wanted share: the exact quantile of column, interpolated between neighbours; null without values.
+
+    Different values are counted and ranked by ranges, so no buffer holds a whole column.
+    """
+    levels = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).withColumn("upto", F.col("n"))
+    placed = running_sums(levels, ["value"], ["upto"])
+    total = placed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    met = placed.crossJoin(F.broadcast(total))  # one row
+    at = lambda rank: F.max(F.when((rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto")), F.col("value")))
+    found = []
+    for name, share in wanted.items():
+        place = F.lit(share) * (F.col("total") - 1)
+        part = F.max(place - F.floor(place))
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        found.append((low + (high - low) * part).alias(name))
+    return met.agg(*found)

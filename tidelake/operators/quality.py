@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelake.functions.checks import sound_ohlc, value_class
+from tidelake.operators.ordered import ranked
 
 
 def issue(bad: Column, code: str, severity: str = "ERROR", **context: Column) -> Column:
@@ -148,5 +149,7 @@ def page_diagnostics(pages: DataFrame, page: str, position: str, id_: str, order
     rows = pages.select(page, position, id_, (F.col(order) < F.lag(order).over(inside)).alias("down"))
     seen = rows.groupBy(id_).agg(F.count_distinct(page).alias("on")).where("on > 1").select(id_, F.lit(1).alias("again"))
     per = rows.join(seen, id_, "left").groupBy(page).agg(F.count("*").alias("rows"), F.count_if("down").alias("disordered"), F.count_if(F.col("again") == 1).alias("repeats"), F.min_by(id_, position).alias("head"), F.max_by(id_, position).alias("tail"))
-    across = Window.orderBy(page)  # a row per page
-    return per.withColumn("boundary_overlap", F.coalesce(F.col("head") == F.lag("tail").over(across), F.lit(False))).drop("head", "tail")
+    placed = ranked(per, [page], "__place")
+    before = placed.select((F.col("__place") + 1).alias("__place"), F.col("tail").alias("__before"))
+    met = placed.drop("tail").join(before, "__place", "left")
+    return met.withColumn("boundary_overlap", F.coalesce(F.col("head") == F.col("__before"), F.lit(False))).drop("head", "__before", "__place")

@@ -261,7 +261,4 @@ def u5_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT user_id, CAST((row_number() OVER (ORDER BY user_id) - 1) // 7 AS BIGINT) AS cohort FROM (SELECT DISTINCT user_id FROM events)""")
 def o8_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    who = I.table(spark, sf_dir, "events").select("user_id").distinct()
-    return who.withColumn("cohort", F.floor((F.row_number().over(Window.orderBy("user_id")) - 1) / 7))
+    return inventory.cohorts(I.table(spark, sf_dir, "events"), "user_id", 7)

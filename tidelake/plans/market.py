@@ -75,10 +75,7 @@ def a3_complete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
  CASE WHEN count(quote_volume) = count(*) THEN sum(quote_volume) END AS quote_volume, CAST(sum(trade_count) AS BIGINT) AS trade_count, day_us + {DAY} AS availability_us
  FROM g JOIN dd USING (instrument_id) WHERE observed = 4 AND period_start_us - period_start_us % {DAY} = day_us GROUP BY instrument_id, day_us""")
 def a2_resample_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = grid(spark, sf_dir)
-    whole = bars.day_completeness(g, 6 * HOUR).where("code is null").select("instrument_id", "day_us")
-    kept = g.withColumn("day_us", F.col("period_start_us") - F.pmod("period_start_us", F.lit(DAY))).join(whole, ["instrument_id", "day_us"]).drop("day_us")
-    return bars.resample_daily(kept)
+    return bars.resample_daily(grid(spark, sf_dir), step_us=6 * HOUR)
 
 
 DUPES = """r AS (SELECT l_partkey % 50 AS k, l_suppkey % 20 AS day, l_linenumber % 2 AS x, l_orderkey * 10 + l_linenumber AS source FROM lineitem)"""
