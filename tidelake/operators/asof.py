@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelake.functions.checks import close_to
+
 
 def observation_eligible(t: Column, availability: Column, valid_from: Column | None = None, valid_to: Column | None = None) -> Column:
     """Available at t and valid at t, both bounds included; a null bound is open, a null availability is never."""
@@ -142,3 +146,33 @@ def alias_collisions(aliases: DataFrame) -> DataFrame:
     side = lambda n: aliases.select(F.col("alias_id").alias(n), F.col("target_id").alias(f"target_{n}"), *(["norm"] if n == "a" else []))
     named = pairs.join(side("a"), "a").join(side("b"), "b")
     return named.where("target_a <> target_b").select("norm", "a", "b")
+
+
+def truncated(facts: DataFrame, most: int) -> DataFrame:
+    """The facts that were available at `most`: a store that knows nothing later."""
+    return facts.where(F.col("availability") <= most)
+
+
+def asked_by(asks: DataFrame, most: int) -> DataFrame:
+    """asks, none of which may be at a time after `most`: such a one stops the job."""
+    late = F.raise_error(F.concat(F.lit(f"asked of a store cut at {most}: t = "), F.col("t").cast("string")))
+    return asks.withColumn("t", F.when(F.col("t") <= most, F.col("t")).otherwise(late.cast("long")))
+
+
+def truncated_parity(
+    decisions: DataFrame, facts: DataFrame, store: DataFrame, evaluate: Callable[[DataFrame, DataFrame], DataFrame], value: str, rel: float
+) -> DataFrame:
+    """instrument_id, t, status: evaluate(decisions, facts), all at once, against evaluate() at each time with the store cut there.
+
+    status: equal (within rel), different, only_a (all at once only) or only_b. One evaluation for each
+    decision time: their number is the schedule's, not the data's, and the times are read from it.
+    """
+    whole, parts = evaluate(decisions, facts), None
+    for (t,) in decisions.select("t").distinct().orderBy("t").collect():
+        part = evaluate(asked_by(decisions.where(F.col("t") == t), t), truncated(store, t))
+        parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
+        parts = whole.limit(0)
+    a, b = (x.select("instrument_id", "t", F.col(value).alias(n), F.lit(True).alias(f"in_{n}")) for x, n in ((whole, "a"), (parts, "b")))
+    status = F.when(F.col("in_b").isNull(), "only_a").when(F.col("in_a").isNull(), "only_b").when(close_to(F.col("a"), F.col("b"), rel), "equal").otherwise("different")
+    return a.join(b, ["instrument_id", "t"], "full_outer").select("instrument_id", "t", status.alias("status"))

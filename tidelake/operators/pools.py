@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelake.operators.inventory import oriented
+from tidelake.operators.ordered import ranked
+
 from tidelake.operators.universe import first_reason
 
 #: How addresses of the two chain families are written.
@@ -93,6 +96,21 @@ def births(rows: DataFrame) -> DataFrame:
     return found.select("pool", "b.*", "copies", F.when(F.col("b") != F.col("other"), "conflicting_birth").alias("code"))
 
 
+def registry(records: DataFrame, stables: DataFrame, declared: int, block_us: int, lag_us: int) -> tuple[DataFrame, DataFrame]:
+    """(pools, refused) of births (pool, BIRTH): from a checked source to the pools quoted in a stable, in order of birth.
+
+    records must be as many as declared, or an error stops it. Exact repeats count once; a pool of different
+    births is refused, with code. Pools with just one stable (token, symbol) stay, as base and quote, with
+    birth_order from 0 by (creation_block, log_index, pool) and available_us, lag_us after their block.
+    """
+    found = records.count()
+    if found != declared:
+        raise ValueError(f"{found} records, but {declared} are declared")
+    born = births(records)
+    pools = ranked(oriented(born.where("code is null").drop("code", "copies"), stables), ["creation_block", "log_index", "pool"], "birth_order")
+    return pools.withColumn("available_us", F.col("creation_block") * block_us + lag_us), born.where("code is not null").select("pool", "code", "copies")
+
+
 def translate(rows: DataFrame, names: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """(rows with venue_symbol and venue_id, rows whose symbol has no name): names has symbol, venue_symbol, venue_id, one row per symbol."""
     met = rows.join(names.withColumnRenamed("symbol", column), column, "left")

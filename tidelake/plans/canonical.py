@@ -61,11 +61,11 @@ def k2_side_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {GRID}, r AS (SELECT instrument_id, period_start_us, '6h' AS timeframe FROM g UNION ALL SELECT instrument_id, period_start_us - period_start_us % {DAY}, '1d' FROM g WHERE instrument_id % 3 = 0)
-SELECT timeframe, count(*) AS "rows" FROM r WHERE timeframe = '6h' GROUP BY 1""")
+SELECT instrument_id, period_start_us, timeframe FROM r WHERE timeframe = '6h'""")
 def a4_daily_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = grid(spark, sf_dir).select("instrument_id", "period_start_us", F.lit("6h").alias("timeframe"))
     day = g.where("instrument_id % 3 = 0").withColumns({"timeframe": F.lit("1d"), "period_start_us": F.col("period_start_us") - F.pmod("period_start_us", F.lit(DAY))})
-    return canonical.daily_source(g.unionByName(day), "6h").groupBy("timeframe").agg(F.count("*").alias("rows"))
+    return canonical.daily_source(g.unionByName(day), "6h")
 
 
 @query(f"""WITH {GRID}, a AS (SELECT instrument_id, period_start_us, close FROM g WHERE (instrument_id + period_start_us // {HOUR}) % 13 <> 0),

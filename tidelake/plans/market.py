@@ -484,11 +484,13 @@ def ridge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.join(ahead, ["instrument_id", "period_start"]).select("instrument_id", "t", "label_end", "y", "momentum", "mean_reversion", "volume_ratio")
 
 
-@query("""WITH d AS (SELECT DISTINCT user_id AS instrument_id FROM events) SELECT count(*) AS n, TRUE AS centred FROM d""")
+@query(f"""WITH d AS (SELECT DISTINCT user_id AS instrument_id, CAST(t AS BIGINT) AS t FROM events, generate_series(1, 50) AS s(t)), h AS (SELECT *, md5('11|' || instrument_id || '|' || t) AS m FROM d),
+ u AS (SELECT *, (CAST('0x' || substr(m, 1, 8) AS BIGINT) + 1) / 4294967297.0 AS a, (CAST('0x' || substr(m, 9, 8) AS BIGINT) + 1) / 4294967297.0 AS b FROM h)
+SELECT instrument_id, t, round(sqrt(-2 * ln(CAST(a AS DOUBLE))) * cos(2 * pi() * CAST(b AS DOUBLE)), {R}) AS score FROM u""")
 def f15_noise_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = I.table(spark, sf_dir, "events").select(F.col("user_id").alias("instrument_id")).distinct().withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(200))))
-    noise = factors.noise(d, 11)
-    return noise.agg(F.count_distinct("instrument_id").alias("n"), (F.abs(F.avg("score")) < 0.05).alias("centred"))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(50).cast("long")))
+    d = I.table(spark, sf_dir, "events").select(F.col("user_id").alias("instrument_id")).distinct().withColumn("t", times)
+    return rounded(factors.noise(d, 11), "score")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,12 +121,19 @@ def u7_births(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.births(born(spark, sf_dir)).drop("token0", "token1")
 
 
-@query(f"""WITH {BORN}, u AS (SELECT pool, min(creation_block) AS creation_block, min(log_index) AS log_index FROM b GROUP BY 1 HAVING count(DISTINCT tx_hash) = 1)
-SELECT pool, creation_block, log_index, CAST(creation_block * 12000000 + {T.DAY} AS BIGINT) AS available_us FROM u""")
+@query(f"""WITH {BORN}, u AS (SELECT pool, min(tx_hash) AS tx_hash, min(creation_block) AS creation_block, min(log_index) AS log_index, count(DISTINCT tx_hash) AS births, count(*) AS copies FROM b GROUP BY 1),
+ o AS (SELECT *, 't' || CAST(pool % 7 AS VARCHAR) AS token0, 'T' || CAST(pool % 5 AS VARCHAR) AS token1, CASE pool % 7 WHEN 1 THEN 'USDC' END AS s0, CASE pool % 5 WHEN 2 THEN 'USDT' END AS s1 FROM u WHERE births = 1)
+SELECT pool, CASE WHEN s0 IS NULL THEN token0 ELSE token1 END AS base, coalesce(s0, s1) AS quote_symbol, creation_block, log_index, row_number() OVER (ORDER BY creation_block, log_index, pool) - 1 AS birth_order,
+ CAST(creation_block * 12000000 + {T.DAY} AS BIGINT) AS available_us, CAST(NULL AS VARCHAR) AS code FROM o WHERE (s0 IS NULL) <> (s1 IS NULL)
+UNION ALL SELECT pool, NULL, NULL, NULL, NULL, NULL, NULL, 'conflicting_birth' FROM u WHERE births > 1""")
 def q18_pool_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Births without conflicts, known a day after their block (12 seconds a block here)."""
-    sound = P.births(born(spark, sf_dir)).where("code is null")
-    return sound.select("pool", "creation_block", "log_index", (F.col("creation_block") * 12_000_000 + T.DAY).alias("available_us"))
+    """Pools known a day after their block (12 seconds a block here), and those refused."""
+    s = F.col("pool")
+    records = born(spark, sf_dir).withColumns({"token0": F.concat(F.lit("t"), (s % 7).cast("string")), "token1": F.concat(F.lit("T"), (s % 5).cast("string"))})
+    stables = spark.createDataFrame([("t1", "USDC"), ("T2", "USDT")], "token string, symbol string")
+    pools, refused = P.registry(records, stables, I.table(spark, sf_dir, "lineitem").count(), 12_000_000, T.DAY)
+    columns = ["pool", "base", "quote_symbol", "creation_block", "log_index", "birth_order", "available_us"]
+    return pools.select(*columns).unionByName(refused.select("pool", "code"), allowMissingColumns=True)
 
 
 @query("""SELECT o_orderkey AS k, o_custkey % 3 = 0 OR o_custkey % 3 = 1 AS invalid FROM orders""")

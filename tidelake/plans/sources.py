@@ -120,10 +120,14 @@ def k1_partitioned_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.groupBy("venue", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month")).agg(F.count("*").alias("rows"), F.count_distinct("instrument_id").alias("instruments"))
 
 
-@query("SELECT 'ok' AS status, count(DISTINCT CASE WHEN user_id % 2 = 0 THEN 'a' ELSE 'b' END) AS files FROM events WHERE value > 0")
+@query("""WITH v AS (SELECT chr(CAST(97 + user_id % 4 AS INTEGER)) AS venue, count(DISTINCT (user_id, ts::DATE)) AS n FROM events WHERE value > 0 GROUP BY 1)
+SELECT venue, CASE venue WHEN 'c' THEN 'undeclared' WHEN 'd' THEN 'changed' ELSE 'ok' END AS status FROM v UNION ALL SELECT 'gone', 'missing' """)
 def q9_verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = I.bars(spark, sf_dir).withColumn("venue", F.when(F.col("instrument_id") % 2 == 0, "a").otherwise("b")).withColumn("market", F.lit("spot")).withColumn("timeframe", F.lit("1d"))
+    """A file of each venue against a manifest that lacks venue c, has other contents for d and names one more file."""
+    venue = F.chr(F.col("instrument_id") % 4 + 97)
     path = folder(spark)
-    S.write_bars(b, path)
-    declared = S.manifest(spark, path).checkpoint()
-    return S.verify(S.manifest(spark, path), declared).groupBy("status").agg(F.count("*").alias("files"))
+    S.write_bars(I.bars(spark, sf_dir).withColumn("venue", venue).withColumn("market", F.lit("spot")).withColumn("timeframe", F.lit("1d")), path)
+    found, of = S.manifest(spark, path).checkpoint(), F.regexp_extract("file", "venue=([^/]+)", 1)
+    declared = found.where(of != "c").withColumn("sha256", F.when(of == "d", F.reverse("sha256")).otherwise(F.col("sha256")))
+    gone = found.limit(1).withColumn("file", F.lit("venue=gone/part.parquet"))
+    return S.verify(found, declared.unionByName(gone)).select(of.alias("venue"), "status")
