@@ -11,7 +11,7 @@ from tidelake.sources import catalogs as S
 def test_the_wider_type_holds_both():
     dec = T.DecimalType
     cases = [
-        (T.IntegerType(), T.LongType(), T.LongType()), (T.IntegerType(), dec(9, 2), dec(12, 2)), (T.LongType(), dec(38, 2), T.DoubleType()),
+        (T.IntegerType(), T.LongType(), T.LongType()), (T.IntegerType(), dec(9, 2), dec(12, 2)), (T.LongType(), dec(38, 20), T.DoubleType()),
         (dec(10, 2), dec(14, 4), dec(14, 4)), (dec(10, 0), dec(5, 4), dec(14, 4)), (T.LongType(), T.DoubleType(), T.DoubleType()),
         (T.FloatType(), T.IntegerType(), T.DoubleType()), (T.NullType(), T.StringType(), T.StringType()), (T.DateType(), T.TimestampType(), T.TimestampType()),
     ]
@@ -71,6 +71,6 @@ def test_a_holdout_with_a_fault_is_invalid(spark):
     path = spark.createDataFrame(rows, "session string, t long, equity double")
     reported = spark.createDataFrame([("good", 1.01**8 - 1), ("short", 1.01**5 - 1), ("lies", 0.5)], "session string, total double")
     got = {r.session: r for r in experiments.holdout(path, reported, 1000.0, 8, 200, 3, 7).collect()}
-    assert (got["good"].fault, got["good"].verdict) == (None, "REJECT")  # equal returns: every resample ties
+    assert (got["good"].fault, got["good"].verdict) == (None, "ACCEPT")  # equal returns: no resample of centred ones comes near
     assert (got["short"].fault, got["lies"].fault) == ("decision_count", "reported_mismatch") and got["lies"].verdict == "INVALID"
-    assert abs(got["good"].total - (1.01**8 - 1)) < 1e-9 and got["good"].exceedances < 201
+    assert abs(got["good"].total - (1.01**8 - 1)) < 1e-9 and got["good"].exceedances == 0

@@ -7,16 +7,33 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelake.operators.asof import latest
+from tidelake.operators.asof import in_intervals, latest
 
 
 def history(bars: DataFrame, n: int) -> DataFrame:
-    """bars with the closes and volumes of their last n observations, oldest first; fewer than n give none."""
+    """bars with the closes and volumes of their last n observations, oldest first; fewer than n give none (history_at: an error)."""
     by = Window.partitionBy("instrument_id").orderBy("period_start").rowsBetween(-(n - 1), 0)
     held = bars.withColumn("closes", F.collect_list("close").over(by)).withColumn("volumes", F.collect_list("base_volume").over(by))
     return held.where(F.size("closes") == n)
 
 
+def history_at(decisions: DataFrame, bars: DataFrame, n: int) -> DataFrame:
+    """decisions (instrument_id, t) with closes and volumes of the last n different observations available at t, oldest first.
+
+    Of an observation that is told more than once the one available last by t counts. Fewer than n, or none,
+    stop the job with an error. Each decision meets its key's bars of before t only, and keeps n of them.
+    """
+    known = in_intervals(decisions, bars, "instrument_id", F.col("t"), F.greatest("availability", "period_start"), F.lit(None).cast("long"))
+    told = Window.partitionBy("instrument_id", "t", "period_start").orderBy(F.desc("availability"))
+    last = Window.partitionBy("instrument_id", "t").orderBy(F.desc("period_start"))
+    kept = known.withColumn("__told", F.row_number().over(told)).where("__told = 1").withColumn("__turn", F.row_number().over(last)).where(F.col("__turn") <= n)
+    held = kept.groupBy("instrument_id", "t").agg(F.array_sort(F.collect_list(F.struct("period_start", "close", "base_volume"))).alias("x"))
+    met = decisions.select("instrument_id", "t").join(held, ["instrument_id", "t"], "left")
+    few = F.raise_error(F.concat(F.lit(f"fewer than {n} observations of "), F.col("instrument_id").cast("string"), F.lit(" at "), F.col("t").cast("string")))
+    x = F.when(F.size(F.coalesce("x", F.array().cast(held.schema["x"].dataType))) == n, F.col("x")).otherwise(few.cast(held.schema["x"].dataType))
+    return met.select("instrument_id", "t", x.alias("x")).select("instrument_id", "t", F.col("x.close").alias("closes"), F.col("x.base_volume").alias("volumes"))
+
+
 def window_factors(bars: DataFrame, n: int) -> DataFrame:
     """instrument_id, period_start, availability, momentum, mean_reversion, volume_ratio over the last n observations.
 

@@ -105,10 +105,10 @@ def coalesce_upsert(rows: DataFrame, keys: list[str], fields: list[str], order:
     return rows.groupBy(*keys).agg(*(F.max_by(f, F.when(F.col(f).isNotNull(), F.col(order))).alias(f) for f in fields), F.max(order).alias(order))
 
 
-def canonical_objects(objects: DataFrame) -> DataFrame:
-    """Objects (key, month, day: null for monthly) with chosen: every monthly one, and daily ones of months without."""
-    monthly = objects.where("day is null").select("symbol", "month").distinct().withColumn("covered", F.lit(True))
-    joined = objects.join(monthly, ["symbol", "month"], "left")
+def canonical_objects(objects: DataFrame, keys: tuple[str, ...] = ("symbol",), usable: Column | None = None) -> DataFrame:
+    """Objects (keys, month, day: null for monthly) with chosen: every monthly one, and daily ones of months without a (usable) monthly one."""
+    monthly = objects.where(F.col("day").isNull() & (usable if usable is not None else F.lit(True))).select(*keys, "month").distinct().withColumn("covered", F.lit(True))
+    joined = objects.join(monthly, [*keys, "month"], "left")
     return joined.withColumn("chosen", F.col("day").isNull() | F.col("covered").isNull()).drop("covered")
 
 

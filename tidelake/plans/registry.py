@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelake.plans import archives, calendar, canonical, catalogs, checks, experiments, inventory, learned, ledgers, market, pools, sources, streams
+from tidelake.plans import archives, calendar, canonical, catalogs, checks, evidence, experiments, inventory, learned, ledgers, market, pools, sources, streams
 from tidelake.session import shared_folder
 
 
@@ -23,8 +23,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run.__name__ = f.__name__
         return run
 
-    return {n: ready(f) for n, f in (market.QUERIES | checks.QUERIES | streams.QUERIES | sources.QUERIES | inventory.QUERIES | calendar.QUERIES | pools.QUERIES | canonical.QUERIES | learned.QUERIES | archives.QUERIES | ledgers.QUERIES | experiments.QUERIES | catalogs.QUERIES).items()}
+    return {n: ready(f) for n, f in (market.QUERIES | checks.QUERIES | streams.QUERIES | sources.QUERIES | inventory.QUERIES | calendar.QUERIES | pools.QUERIES | canonical.QUERIES | learned.QUERIES | archives.QUERIES | ledgers.QUERIES | experiments.QUERIES | catalogs.QUERIES | evidence.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return market.SQL | checks.SQL | streams.SQL | sources.SQL | inventory.SQL | calendar.SQL | pools.SQL | canonical.SQL | learned.SQL | archives.SQL | ledgers.SQL | experiments.SQL | catalogs.SQL
+    return market.SQL | checks.SQL | streams.SQL | sources.SQL | inventory.SQL | calendar.SQL | pools.SQL | canonical.SQL | learned.SQL | archives.SQL | ledgers.SQL | experiments.SQL | catalogs.SQL | evidence.SQL
