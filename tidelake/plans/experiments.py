@@ -53,22 +53,26 @@ def v13_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(experiments.experiment(targets, known, funding, setup, COST, 0.05), *MADE)
 
 
-SESSION = f"""pt AS (SELECT strategy_id AS session, period AS t, 1000 * exp(sum(ln(1 + net_return)) OVER (PARTITION BY strategy_id ORDER BY period)) AS equity FROM ac),
- mv AS (SELECT session, t, equity, equity / coalesce(lag(equity) OVER (PARTITION BY session ORDER BY t), 1000.0) - 1 AS ret FROM pt),
- ac2 AS (SELECT session AS strategy_id, t AS period, ret AS net_return FROM mv)"""
+# a period that loses all leaves nothing for those after it
+SESSION = """pt AS (SELECT strategy_id AS session, period AS t, CASE WHEN max(CAST(net_return <= -1 AS INTEGER)) OVER w = 1 THEN 0.0 ELSE 1000 * exp(sum(CASE WHEN net_return > -1 THEN ln(1 + net_return) END) OVER w) END AS equity
+  FROM ac WINDOW w AS (PARTITION BY strategy_id ORDER BY period)),
+ pv AS (SELECT *, coalesce(lag(equity) OVER (PARTITION BY session ORDER BY t), 1000.0) AS prior FROM pt), mv AS (SELECT session, t, equity, CASE WHEN prior > 0 THEN equity / prior - 1 END AS ret FROM pv),
+ ac2 AS (SELECT session AS strategy_id, t AS period, ret AS net_return FROM mv WHERE ret IS NOT NULL)"""
 BOOTSTRAP = M.SQL["v6_stationary_bootstrap"].removeprefix(f"WITH {M.ACCOUNT}, ").replace("FROM ac)", "FROM ac2)").replace(f"round(m, {R})", "m").replace("round((count(*)", "((count(*)").replace(f"(10000 + 1.0), {R})", "(10000 + 1.0))")
 
 
 @query(f"""WITH {M.ACCOUNT}, {SESSION}, {BOOTSTRAP[: BOOTSTRAP.index("SELECT strategy_id, n, m AS observed_mean")].rstrip()}, bo AS ({BOOTSTRAP[BOOTSTRAP.index("SELECT strategy_id, n, m AS observed_mean"):]}),
- tt AS (SELECT session, count(*) AS n, last(equity ORDER BY t) / 1000.0 - 1 AS total FROM mv GROUP BY 1),
- fa AS (SELECT *, CASE WHEN n <> (SELECT max(n) FROM tt) THEN 'decision_count' WHEN session = 2 THEN 'reported_mismatch' END AS fault FROM tt)
+ tt AS (SELECT session, count(*) AS n, last(equity ORDER BY t) / 1000.0 - 1 AS total, min(equity) AS least_equity FROM mv GROUP BY 1),
+ fa AS (SELECT *, CASE WHEN n <> (SELECT max(n) FROM tt) THEN 'decision_count' WHEN least_equity <= 0 THEN 'non_positive_equity' WHEN session = 2 THEN 'reported_mismatch' END AS fault FROM tt)
 SELECT session, fa.n, round(total, {R}) AS total, round(observed_mean, {R}) AS observed_mean, exceedances, round(p_value, {R}) AS p_value, fault,
  CASE WHEN fault IS NOT NULL THEN 'INVALID' WHEN total >= 0.02 AND p_value <= 0.05 THEN 'ACCEPT' ELSE 'REJECT' END AS verdict FROM fa LEFT JOIN bo ON bo.strategy_id = session""")
 def v14_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equity paths of the strategies as sessions; session 2 reports a total that its path does not have."""
     net = M.net_returns(spark, sf_dir)
     upto = Window.partitionBy("strategy_id").orderBy("period")
-    path = net.select(F.col("strategy_id").alias("session"), F.col("period").alias("t"), (1000 * F.exp(F.sum(F.log1p("net_return")).over(upto))).alias("equity"))
+    left = 1000 * F.exp(F.sum(F.when(F.col("net_return") > -1, F.log1p("net_return"))).over(upto))
+    gone = F.max((F.col("net_return") <= -1).cast("int")).over(upto) == 1
+    path = net.select(F.col("strategy_id").alias("session"), F.col("period").alias("t"), F.when(gone, 0.0).otherwise(left).alias("equity"))
     reported = path.groupBy("session").agg((F.max_by("equity", "t") / 1000 - 1).alias("total")).withColumn("total", F.col("total") + F.when(F.col("session") == 2, 0.01).otherwise(0.0))
     most = net.groupBy("strategy_id").count().agg(F.max("count")).first()[0] or 0
     return rounded(experiments.holdout(path, reported, 1000.0, most, M.B_, M.BLOCK, M.SEED), "total", "observed_mean", "p_value")
