@@ -137,3 +137,14 @@ def test_long_and_repeated_texts(spark):
     got = {x.conv_id: x for x in r.repair(frame).collect()}
     assert got[1].audit == "KK" and got[1].cost == 0
     assert got[2].audit == "D" * 500 and got[2].duplicate == 499 and got[2].illegal == 499
+
+
+def test_the_query_equals_its_sql(spark):
+    import duckdb
+
+    at = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{at}/conversations.parquet'")
+    cursor = con.execute(r.OP12_SQL)
+    columns = [d[0] for d in cursor.description]
+    assert sorted(cursor.fetchall()) == sorted(tuple(x) for x in r.op12_repair(spark, at).select(*columns).collect())

@@ -27,4 +27,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_secret_scan": secrets.OP10_SQL, "op1_quality_rules": quality_rules.OP1_SQL, "op5_suffix_dedup": suffix_dedup.OP5_SQL, "op3_topk": topk_search.OP3_SQL, "op4_chat": chat.OP4_SQL}
+    return {"op10_secret_scan": secrets.OP10_SQL, "op12_repair": repair.OP12_SQL, "op1_quality_rules": quality_rules.OP1_SQL, "op5_suffix_dedup": suffix_dedup.OP5_SQL, "op3_topk": topk_search.OP3_SQL, "op4_chat": chat.OP4_SQL}

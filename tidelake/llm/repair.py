@@ -312,3 +312,48 @@ def repair(turns: DataFrame, times: str | None = None) -> DataFrame:
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The damaged conversations and their repairs; see damaged and repair."""
     return repair(damaged(table(spark, sf_dir, "conversations")), "times")
+
+
+def _more(cost: str, letters: str, best: str) -> str:
+    """In SQL: a best (nine digits of cost, then its audit) with an edit before it."""
+    return f"lpad(CAST(CAST(substr({best}, 1, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || '{letters}' || substr({best}, 10)"
+
+
+def _row_sql(q: int) -> str:
+    """The least of what a row's edits lead to from state q: by cost, then by audit."""
+    late = f"CASE WHEN cut THEN {CUT_OFF} ELSE 0 END"
+    keep = " ".join(f"WHEN initial = '{r}' THEN {_more(f'{KEEP} + {late}', 'K', f'g{to}')}" for (a, r), to in NEXT.items() if a == q)
+    reroled = _more(f"{REROLE} + {late}", "R", f"g{NEXT[q, WANTED[q][0]]}")
+    return f"least({_more(str(DELETE), 'D', f'g{q}')}, CASE WHEN dead THEN NULL {keep} END, CASE WHEN NOT dead THEN {reroled} END)"
+
+
+def _insert_sql(q: int) -> str:
+    once = NEXT[q, WANTED[q][0]]
+    twice = NEXT[once, WANTED[once][0]]
+    return f"least(h{q}, {_more(str(INSERT), 'I', f'h{once}')}, {_more(str(2 * INSERT), 'II', f'h{twice}')})"
+
+
+_BYTE = "CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END"
+OP12_SQL = rf"""WITH RECURSIVE tb AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: {_BYTE})) AS crc),
+ cv AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+ rw AS (SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, list_transform(string_split(coalesce(CAST(t.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bytes
+  FROM conversations t JOIN cv ON cv.conv_id IS NOT DISTINCT FROM t.conv_id),
+ kd AS (SELECT c, turn, role, text, xor(list_reduce(list_prepend(4294967295, bytes), lambda a, b: xor(crc[1 + (xor(a, b) & 255)], a >> 8)), 4294967295) % 20 AS kind FROM rw, tb),
+ dm AS (SELECT c, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+  unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM kd),
+ ps AS (SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos, substr(role, 1, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank FROM dm),
+ fl AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY pos) > 1 AS again, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS short, lag(initial) OVER (PARTITION BY c ORDER BY pos) || initial AS pair,
+  count(*) OVER (PARTITION BY c) AS n FROM ps),
+ sg AS (SELECT *, blank OR again AS dead, NOT blank AND NOT again AND short AS cut FROM fl),
+ st AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+  count(*) FILTER (WHERE pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM sg GROUP BY c),
+ dp AS (SELECT c, CAST(0 AS BIGINT) AS i, '000000000' AS g0, '000000010II' AS g1, '000000005I' AS g2, '000000000' AS g3 FROM cv
+  UNION ALL SELECT c, i, {", ".join(f"{_insert_sql(q)} AS g{q}" for q in STATES)} FROM (
+   SELECT sg.c, dp.i + 1 AS i, {", ".join(f"{_row_sql(q)} AS h{q}" for q in STATES)} FROM dp JOIN sg ON sg.c = dp.c AND sg.pos = sg.n - dp.i)),
+ au AS (SELECT c, CAST(substr(last(g0 ORDER BY i), 1, 9) AS BIGINT) AS cost, substr(last(g0 ORDER BY i), 10) AS audit FROM dp GROUP BY c),
+ wk AS (SELECT c, audit, CAST(1 AS BIGINT) AS j, CAST(0 AS BIGINT) AS k, 0 AS q, '' AS said FROM au
+  UNION ALL SELECT c, audit, j + 1, k + CAST(e <> 'I' AS BIGINT), CASE WHEN e = 'D' THEN q WHEN substr(r, 1, 1) = 's' THEN 1 WHEN substr(r, 1, 1) = 'u' THEN 2 ELSE 3 END, CASE WHEN e = 'D' THEN said ELSE said || CASE WHEN q = 0 THEN '' ELSE chr(10) END || r || ':' || x END FROM (
+   SELECT wk.*, substr(audit, j, 1) AS e, CASE WHEN substr(audit, j, 1) = 'K' THEN sg.role WHEN q = 2 THEN 'assistant' ELSE 'user' END AS r, CASE WHEN substr(audit, j, 1) = 'I' THEN '' ELSE sg.text END AS x
+   FROM wk LEFT JOIN sg ON sg.c = wk.c AND sg.pos = wk.k + 1 WHERE j <= length(audit)))
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, au.audit AS audit, sha256(said) AS repaired_sha256
+FROM cv JOIN au ON au.c = cv.c LEFT JOIN st ON st.c = cv.c JOIN wk ON wk.c = cv.c AND wk.j = length(au.audit) + 1"""
