@@ -58,13 +58,15 @@ def check_candles(candles: DataFrame, interval_us: int) -> DataFrame:
 
 
 def profile(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """column, rows, nulls, distinct, classes (sorted list), least and most (as numbers, else null) for each column."""
+    """column, rows, nulls, distinct, classes (sorted list), least and most (as numbers, else null) for each column.
+
+    Equal values of a column are counted first, partly before the shuffle, so a value is looked at once.
+    """
     each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in columns)))
-    kind = value_class(F.col("v"))
+    levels = rows.select(each.alias("x")).groupBy("x.column", "x.v").agg(F.count("*").alias("n"))
     number = F.expr("try_cast(v AS double)")
-    long = rows.select(each.alias("x")).select("x.*").withColumn("kind", kind)
-    return long.groupBy("column").agg(
-        F.count("*").alias("rows"), F.count_if(F.col("v").isNull()).alias("nulls"), F.count_distinct("v").alias("distinct"),
+    return levels.withColumn("kind", value_class(F.col("v"))).groupBy("column").agg(
+        F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"), F.count("v").alias("distinct"),
         F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("classes"), F.min(number).alias("least"), F.max(number).alias("most"),
     )
 
