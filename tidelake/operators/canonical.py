@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelake.functions.times import DAY, floor_to
+from tidelake.functions.times import DAY, SECOND, floor_to
 from tidelake.operators import bars as B
 
 CONTENT = ["open", "high", "low", "close", "base_volume", "quote_volume", "trade_count"]
@@ -54,6 +54,45 @@ class Canonical:
             getattr(self, name).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
 
 
+SOURCE = ["instrument_id", "timeframe", "period_start_us", "close_us", *CONTENT, "source_id", "source_open_time", "source_close_time", "source_timestamp_unit"]
+
+
+def cross_checked(rows: DataFrame, steps: dict[str, int]) -> DataFrame:
+    """rows (SOURCE) with code: whether a bar's normalized times are those of its source, in the source's own unit.
+
+    code: unknown_timeframe or unknown_unit; source_close_mismatch (the source's close is not its open plus the
+    interval less one unit), open_time_mismatch or close_time_mismatch (a normalized time is not the source's),
+    missing_time, else null.
+    """
+    step = F.element_at(F.create_map(*(F.lit(x) for kv in steps.items() for x in kv)), F.col("timeframe"))
+    unit, opens, closes = F.col("source_timestamp_unit"), F.col("source_open_time"), F.col("source_close_time")
+    scale = F.when(unit == "s", SECOND).when(unit == "ms", 1000).when(unit == "us", 1)
+    code = (
+        F.when(step.isNull(), "unknown_timeframe").when(scale.isNull(), "unknown_unit")
+        .when(opens.isNull() | closes.isNull() | F.col("period_start_us").isNull() | F.col("close_us").isNull(), "missing_time")
+        .when(closes != opens + step / scale - 1, "source_close_mismatch").when(opens * scale != F.col("period_start_us"), "open_time_mismatch")
+        .when(closes * scale != F.col("close_us"), "close_time_mismatch")
+    )
+    return rows.withColumn("code", code)
+
+
+def canonical_from_files(
+    spark: SparkSession, path: str, provider: DataFrame, steps: dict[str, int], timeframe: str | None = None, tolerance: float = 0.0
+) -> Canonical:
+    """Source bars read from Parquet under path, their times cross-checked, as canonical_daily makes them.
+
+    A column of SOURCE that the files lack is an error. Rows whose times don't agree are issues of severity
+    ERROR and go no further.
+    """
+    loaded = spark.read.parquet(path)
+    if missing := [c for c in SOURCE if c not in loaded.columns]:
+        raise ValueError(f"source bars lack {missing}")
+    checked = cross_checked(loaded.select(*SOURCE), steps)
+    made = canonical_daily(checked.where("code is null").drop("code"), provider, steps, timeframe, tolerance)
+    refused = checked.where("code is not null").select("code", F.lit("ERROR").alias("severity"), "instrument_id", F.col("period_start_us").alias("at_us"))
+    return Canonical(made.daily, made.quarantine, made.report, made.issues.unionByName(refused))
+
+
 def canonical_daily(rows: DataFrame, provider: DataFrame, steps: dict[str, int], timeframe: str | None = None, tolerance: float = 0.0) -> Canonical:
     """Source bars (instrument_id, timeframe, period_start_us, CONTENT, source_id) to daily ones.
 

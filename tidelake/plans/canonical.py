@@ -108,3 +108,45 @@ def s11_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     volume = F.when(k % 5 == 0, "NaN").when(k % 5 == 1, (-price).cast("string")).otherwise(price.cast("string"))
     one = F.struct(F.when(k % 5 == 2, " ").otherwise(F.concat(F.lit(" S"), k.cast("string"))).alias("symbol"), volume.alias("quoteVolume"), F.col("o_custkey").alias("count"))
     return S.tickers(I.table(spark, sf_dir, "orders").select(F.to_json(F.array(one)).alias("json"))).withColumn("quote_volume", F.round("quote_volume", 2))
+
+
+# bars as files with their sources' times: in s, ms or us by key; some days have one that disagrees
+SOURCED = f"""{GRID}, so AS (SELECT *, (instrument_id + period_start_us // {6 * HOUR}) % 23 AS z, period_start_us % {DAY} // {6 * HOUR} AS q FROM g)"""
+CODE = "CASE z WHEN 0 THEN 'source_close_mismatch' WHEN 1 THEN 'open_time_mismatch' WHEN 2 THEN 'close_time_mismatch' WHEN 3 THEN 'unknown_unit' WHEN 4 THEN 'missing_time' END"
+
+
+def sourced(spark: SparkSession, sf_dir: str) -> str:
+    """Where those bars are."""
+    g = grid(spark, sf_dir)
+    start, k = F.col("period_start_us"), F.col("instrument_id")
+    z, scale = (k + F.floor(start / (6 * HOUR))) % 23, F.when(k % 3 == 0, 1_000_000).when(k % 3 == 1, 1000).otherwise(1)
+    opens = F.floor(start / scale)
+    closes = opens + F.floor(F.lit(6 * HOUR) / scale) - 1
+    rows = g.select(
+        "instrument_id", F.lit("6h").alias("timeframe"), F.when(z == 1, start + 1).otherwise(start).alias("period_start_us"), F.when(z == 2, closes * scale + 1).otherwise(closes * scale).alias("close_us"),
+        *canonical.CONTENT, F.concat_ws(":", k, start).alias("source_id"), opens.alias("source_open_time"), F.when(z == 0, closes + 1).when(z == 4, F.lit(None)).otherwise(closes).alias("source_close_time"),
+        F.when(z == 3, "min").when(k % 3 == 0, "s").when(k % 3 == 1, "ms").otherwise("us").alias("source_timestamp_unit"),
+    )
+    path = folder(spark)
+    rows.write.parquet(path)
+    return path
+
+
+@query(f"WITH {SOURCED} SELECT instrument_id, period_start_us + CASE WHEN z = 1 THEN 1 ELSE 0 END AS period_start_us, {CODE} AS code FROM so")
+def q6_time_cross_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.cross_checked(spark.read.parquet(sourced(spark, sf_dir)), {"6h": 6 * HOUR}).select("instrument_id", "period_start_us", "code")
+
+
+@query(f"""WITH {SOURCED}, w AS (SELECT *, period_start_us - period_start_us % {DAY} AS day_us FROM so WHERE z > 4)
+SELECT instrument_id, day_us, first(open ORDER BY period_start_us) AS open, last(close ORDER BY period_start_us) AS close, sum(base_volume) AS base_volume, CAST(sum(trade_count) AS BIGINT) AS trade_count, 'daily' AS "table", NULL AS code
+ FROM w GROUP BY instrument_id, day_us HAVING count(*) = 4
+UNION ALL SELECT instrument_id, period_start_us + CASE WHEN z = 1 THEN 1 ELSE 0 END, NULL, NULL, NULL, NULL, 'refused', {CODE} FROM so WHERE z <= 4""")
+def q6_canonical_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files to daily bars, and the rows whose times disagree."""
+    path = sourced(spark, sf_dir)
+    none = spark.read.parquet(path).limit(0).withColumn("day_us", F.lit(0).cast("long")).select("instrument_id", "day_us", *canonical.CONTENT)
+    made_ = canonical.canonical_from_files(spark, path, none, {"6h": 6 * HOUR}, "6h")
+    daily = made_.daily.select("instrument_id", "day_us", "open", "close", "base_volume", "trade_count", F.lit("daily").alias("table"), F.lit(None).cast("string").alias("code"))
+    codes = ["source_close_mismatch", "open_time_mismatch", "close_time_mismatch", "unknown_unit", "missing_time"]
+    refused = made_.issues.where(F.col("code").isin(*codes)).select("instrument_id", F.col("at_us").alias("day_us"), F.lit("refused").alias("table"), "code")
+    return daily.unionByName(refused, allowMissingColumns=True)
