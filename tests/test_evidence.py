@@ -45,3 +45,15 @@ def test_empty_evidence(spark):
     row = E.retained_coverage(points, life).first()
     assert (row.days, row.lifecycle_days, row.supported, row.bytes_per_point) == (0, 3, True, None)
     assert E.storage_projection(E.retained_coverage(points, life).where(F.lit(False))).first().points_needed == 0
+
+
+def test_columns_find_their_roles():
+    from tidelake.operators.quality import resolve_columns
+
+    roles, issues = resolve_columns(["TS", "o", "high", "h", "close"], {"low": "gone"})
+    assert roles == {"timestamp": "TS", "open": "o", "close": "close"}
+    assert issues == [
+        ("inferred_by_name", "WARNING", "timestamp"), ("inferred_by_name", "WARNING", "open"), ("mapping_ambiguous", "ERROR", "high"),
+        ("mapping_missing_column", "ERROR", "low"), ("inferred_by_name", "WARNING", "close"),
+    ]
+    assert resolve_columns([])[1][0] == ("mapping_absent", "WARNING", "timestamp")

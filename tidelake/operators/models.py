@@ -62,15 +62,25 @@ def complete(features: list[str]) -> Column:
     return whole
 
 
+def expanding_sums(rows: DataFrame, features: list[str], sums: dict[str, Column]) -> DataFrame:
+    """t and each of sums over the training rows of each decision time: those with all features and y whose label_end is at or before t.
+
+    rows: t, label_end, y and features. Sums by label_end run on over time, so a row is added up once.
+    """
+    closed = rows.where(complete(features) & F.col("y").isNotNull()).groupBy(F.col("label_end").alias("t")).agg(*(v.alias(k) for k, v in sums.items())).withColumn("tag", F.lit(0))
+    asked = rows.select("t").distinct().withColumn("tag", F.lit(1))
+    both = closed.unionByName(asked, allowMissingColumns=True)
+    both = both.select("t", "tag", *(F.coalesce(k, F.lit(0)).alias(k) for k in sums))
+    return running_sums(both, ["t", "tag"], list(sums)).where("tag = 1").drop("tag")
+
+
 def _expanding(rows: DataFrame, features: list[str], fit) -> DataFrame:
     d = len(features)
     whole = complete(features)
     xs, y = [F.col(f) for f in features], F.col("y")
     sums = {"n": F.count("*").cast("double"), "y": F.sum(y)} | {f"x{i}": F.sum(x) for i, x in enumerate(xs)}
     sums |= {f"xy{i}": F.sum(x * y) for i, x in enumerate(xs)} | {f"x{i}x{j}": F.sum(xs[i] * xs[j]) for i in range(d) for j in range(i, d)}
-    closed = rows.where(whole & y.isNotNull()).groupBy(F.col("label_end").alias("t")).agg(*(v.alias(k) for k, v in sums.items())).withColumn("tag", F.lit(0))
-    asked = rows.select("t").distinct().select("t", *(F.lit(0.0).alias(k) for k in sums), F.lit(1).alias("tag"))
-    running = running_sums(closed.unionByName(asked), ["t", "tag"], list(sums)).where(f"tag = 1 and n >= {LEAST}").drop("tag")
+    running = expanding_sums(rows, features, sums).where(f"n >= {LEAST}")
     fits = running.mapInPandas(_solve(features, fit), "t long, n long, intercept double, beta array<double>")
     met = rows.where(whole).join(fits, "t")
     value = F.col("intercept")

@@ -71,6 +71,43 @@ def profile(rows: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+# fixed values: names that tell a column's role, in any case of letters
+TIME_NAMES = ("timestamp", "ts", "time", "datetime", "date", "open_time", "close_time", "event_time")
+PRICE_NAMES = {"open": "open", "high": "high", "low": "low", "close": "close", "o": "open", "h": "high", "l": "low", "c": "close"}
+
+
+def resolve_columns(columns: list[str], mapping: dict[str, str] | None = None) -> tuple[dict[str, str], list[tuple[str, str, str]]]:
+    """(column of each role, issues): the roles are timestamp, open, high, low and close.
+
+    A role in mapping has that column, or none if the table lacks it. Otherwise a single column with a name of
+    the role has it. Issues are (code, severity, role): mapping_missing_column (ERROR), mapping_ambiguous (ERROR:
+    several names fit), inferred_by_name (WARNING), mapping_absent (WARNING).
+    """
+    mapping, roles, issues = mapping or {}, {}, []
+    for role in ("timestamp", "open", "high", "low", "close"):
+        fits = [c for c in columns if (c.lower() in TIME_NAMES if role == "timestamp" else PRICE_NAMES.get(c.lower()) == role)]
+        if role in mapping:
+            if mapping[role] in columns:
+                roles[role] = mapping[role]
+            else:
+                issues.append(("mapping_missing_column", "ERROR", role))
+        elif len(fits) == 1:
+            roles[role] = fits[0]
+            issues.append(("inferred_by_name", "WARNING", role))
+        else:
+            issues.append(("mapping_ambiguous", "ERROR", role) if fits else ("mapping_absent", "WARNING", role))
+    return roles, issues
+
+
+def profile_roles(rows: DataFrame, roles: dict[str, str]) -> DataFrame:
+    """One row: rows, first and last timestamp, and unsound, the rows whose prices contradict each other; null for roles that are not there."""
+    prices = [roles.get(r) for r in ("open", "high", "low", "close")]
+    sound = F.count_if(~sound_ohlc(*(F.col(c) for c in prices))) if all(prices) else F.lit(None).cast("long")
+    at = roles.get("timestamp")
+    ends = [F.min(at).alias("first"), F.max(at).alias("last")] if at else [F.lit(None).alias("first"), F.lit(None).alias("last")]
+    return rows.agg(F.count("*").alias("rows"), *ends, sound.alias("unsound"))
+
+
 def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """duplicate_keys, surplus_rows: keys that come more than once and the rows beyond the first; null is a value."""
     counted = rows.groupBy(*keys).count()

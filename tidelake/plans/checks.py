@@ -59,6 +59,15 @@ def q3_candle_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.issue_rows(quality.check_candles(rows, T.MINUTE), "event_id").drop("context")
 
 
+@query("""SELECT count(*) AS rows, min(epoch_us(ts)) AS first, max(epoch_us(ts)) AS last, count(*) FILTER (WHERE NOT (value - 1 > 0 AND value + event_id % 3 - 1 >= value)) AS unsound, 'Time|o|h|l|c' AS roles FROM events""")
+def q2_resolved_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as prices under short names: roles are found by name, then times and prices are profiled."""
+    v, us = F.col("value"), F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = I.table(spark, sf_dir, "events").select(us.alias("Time"), v.alias("o"), (v + F.col("event_id") % 3 - 1).alias("h"), (v - 1).alias("l"), v.alias("c"), "event_id")
+    roles, _ = quality.resolve_columns(rows.columns)
+    return quality.profile_roles(rows, roles).withColumn("roles", F.lit("|".join(roles.values())))
+
+
 @query("""WITH l AS (SELECT 'o_custkey' AS "column", CAST(o_custkey AS VARCHAR) AS v FROM orders UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders UNION ALL SELECT 'token', CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'true' WHEN 3 THEN '1.5' ELSE CAST(o_orderkey AS VARCHAR) END FROM orders),
  k AS (SELECT *, CASE WHEN v IS NULL THEN 'null' WHEN trim(v) = '' THEN 'empty' WHEN lower(v) IN ('true', 'false') THEN 'boolean' WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 'integer' WHEN regexp_full_match(v, '[+-]?([0-9]+[.][0-9]*|[.][0-9]+)') THEN 'float' ELSE 'string' END AS kind FROM l)
 SELECT "column", count(*) AS rows, count(*) FILTER (WHERE v IS NULL) AS nulls, count(DISTINCT v) AS "distinct", array_to_string(list_sort(list_distinct(list(kind))), ',') AS classes, min(try_cast(v AS DOUBLE)) AS least, max(try_cast(v AS DOUBLE)) AS most FROM k GROUP BY 1""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelake.functions.times import DAY
 from tidelake.operators import models
@@ -62,6 +63,14 @@ def v12_elastic_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(models.elastic_net(ridge_rows(spark, sf_dir), FEATURES, ALPHA, L1), "prediction")
 
 
+@query(f"""WITH {WINDOWS}, a AS (SELECT instrument_id, availability AS t, momentum AS x, lead(availability) OVER o AS label_end, lead(close) OVER o / close - 1 AS y FROM w WINDOW o AS (PARTITION BY instrument_id ORDER BY period_start)),
+ tt AS (SELECT DISTINCT t FROM a) SELECT tt.t, count(label_end) AS n, round(coalesce(sum(y), 0), {R}) AS y, round(coalesce(sum(x * y), 0), {R}) AS xy FROM tt LEFT JOIN a ON label_end <= tt.t AND x IS NOT NULL AND y IS NOT NULL GROUP BY tt.t""")
+def w25_expanding_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each decision time may train on: rows whose labels closed by then, as running sums over time."""
+    rows = ridge_rows(spark, sf_dir)
+    return rounded(models.expanding_sums(rows, ["momentum"], {"n": F.count("*"), "y": F.sum("y"), "xy": F.sum(F.col("momentum") * F.col("y"))}), "y", "xy")
+
+
 @query()
 def v12_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained anew every seventh day, on all bars closed by then."""
