@@ -58,20 +58,22 @@ def latest_within(decisions: DataFrame, facts: DataFrame, key: str, fields: list
 
 #: Stands for the end of an interval that has none.
 FAR = 2**62
+#: Lengths of a level differ by that many bits at most: more levels repeat points, fewer meet more in vain.
+LEVEL_BITS = 3
 
 
 def in_intervals(points: DataFrame, intervals: DataFrame, key: str, at: Column, start: Column, end: Column) -> DataFrame:
     """Every point with every interval [start, end) of its key that it lies in; a null end is none.
 
-    An interval's level is the power of two that its length fits in; at that level it touches one or two
-    buckets, and a point lies in one. So pairs meet by (key, level, bucket), once, and an interval meets
+    An interval's level is the power of 2 ** LEVEL_BITS that its length fits in; at that level it touches one
+    or two buckets, and a point lies in one. So pairs meet by (key, level, bucket), once, and an interval meets
     points of its own length's surroundings only, not all of its key. Points are repeated for each level
-    there is: at most 63, which is all that reaches the driver.
+    there is: at most 63 / LEVEL_BITS, which is all that reaches the driver.
     """
     to = F.least(F.coalesce(end, F.lit(FAR)), F.lit(FAR))
     sized = intervals.withColumns({"__from": start, "__to": to}).where("__from < __to")
     level = F.when(F.col("__to") - F.col("__from") <= 1, 0).otherwise(F.length(F.bin(F.col("__to") - F.col("__from") - 1)))
-    sized = sized.withColumn("__level", level.cast("int"))
+    sized = sized.withColumn("__level", F.least(F.ceil(level / LEVEL_BITS) * LEVEL_BITS, F.lit(62)).cast("int"))
     there = sorted(r[0] for r in sized.select("__level").distinct().collect())
     if not there:
         there = [0]

@@ -32,7 +32,8 @@ def _iterations(rows: DataFrame, keys: list[str], held: dict[str, Column], itera
     resampled path needs: paths are folded where they are, without a shuffle.
     """
     lots = F.explode(F.sequence(F.lit(0), F.lit((iterations - 1) // LOT))).alias("lot")
-    each = rows.groupBy(*keys, "n", "mean").agg(*(v.alias(k) for k, v in held.items())).select("*", lots).repartition(*keys, "lot")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number: the rows are few and small, their work is not
+    each = rows.groupBy(*keys, "n", "mean").agg(*(v.alias(k) for k, v in held.items())).select("*", lots).repartition(parts, *keys, "lot")
     last = F.least(F.col("lot") * LOT + (LOT - 1), F.lit(iterations - 1))
     return each.select(*keys, "n", "mean", *held, F.explode(F.sequence(F.col("lot") * LOT, last)).alias("b"))
 
