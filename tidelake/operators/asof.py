@@ -68,7 +68,8 @@ def in_intervals(points: DataFrame, intervals: DataFrame, key: str, at: Column,
     An interval's level is the power of 2 ** LEVEL_BITS that its length fits in; at that level it touches one
     or two buckets, and a point lies in one. So pairs meet by (key, level, bucket), once, and an interval meets
     points of its own length's surroundings only, not all of its key. Points are repeated for each level
-    there is: at most 63 / LEVEL_BITS, which is all that reaches the driver.
+    there is: at most 63 / LEVEL_BITS, which is all that reaches the driver. Sides are sorted and merged: their
+    sizes are guessed from before rows are repeated, so a side taken for small may not fit a broadcast.
     """
     to = F.least(F.coalesce(end, F.lit(FAR)), F.lit(FAR))
     sized = intervals.withColumns({"__from": start, "__to": to}).where("__from < __to")
@@ -80,7 +81,7 @@ def in_intervals(points: DataFrame, intervals: DataFrame, key: str, at: Column,
     bucket = lambda c: F.expr(f"{c} >> __level")  # noqa: E731  # rounds down, below zero too
     dealt = sized.withColumn("__last", F.col("__to") - 1).withColumn("__bucket", F.explode(F.array_distinct(F.array(bucket("__from"), bucket("__last")))))
     asked = points.withColumn("__at", at).withColumn("__level", F.explode(F.array(*map(F.lit, there)))).withColumn("__bucket", bucket("__at"))
-    met = asked.join(dealt, [key, "__level", "__bucket"]).where((F.col("__from") <= F.col("__at")) & (F.col("__at") < F.col("__to")))
+    met = asked.join(dealt.hint("merge"), [key, "__level", "__bucket"]).where((F.col("__from") <= F.col("__at")) & (F.col("__at") < F.col("__to")))
     return met.drop("__level", "__bucket", "__from", "__to", "__last", "__at")
 
 
