@@ -13,6 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="needs the given
 REPEATED = [
     "j2_asof_all",
     "j16_conflicts",
+    "j19_ineligible",
 ]
 
 

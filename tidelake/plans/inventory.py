@@ -237,7 +237,8 @@ def q13_truncated_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {M.VERSIONS}, {M.ASKS} SELECT part, t, k FROM a WHERE NOT EXISTS (SELECT 1 FROM v WHERE v.part = a.part AND {M.ELIGIBLE})")
 def j19_ineligible(spark: SparkSession, sf_dir: str) -> DataFrame:
     asks = M.asks(spark, sf_dir)
-    return asks.join(asof.reference_at(asks, M.versions(spark, sf_dir), "part").select("part", "t", "k").distinct(), ["part", "t", "k"], "left_anti")
+    met = asof.reference_at(asks, M.versions(spark, sf_dir), "part").select("part", "t", "k").distinct()
+    return asks.join(met.hint("merge"), ["part", "t", "k"], "left_anti")
 
 
 PANEL = f"""{I.bars_sql()}, d AS (SELECT unnest(generate_series({I.START + 10 * DAY}, {I.START + 29 * DAY}, {5 * DAY})) AS t), sp AS (SELECT instrument_id, min(period_start) AS a, max(availability) AS z FROM b GROUP BY 1), dd AS (SELECT instrument_id, a + {(3 * DAY)} * (1 + instrument_id % 9) AS died FROM sp WHERE instrument_id % 4 = 0)"""
