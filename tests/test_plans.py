@@ -14,6 +14,7 @@ REPEATED = [
     "j2_asof_all",
     "j16_conflicts",
     "j19_ineligible",
+    "j1_asof_max_age",
 ]
 
 

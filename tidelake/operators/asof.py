@@ -50,7 +50,7 @@ def latest_within(decisions: DataFrame, facts: DataFrame, key: str, fields: list
     bucket = lambda c: F.floor(c / max_age)
     f = facts.where("period_start is not null and availability is not null").withColumn("bucket", bucket(F.col("availability")))
     d = decisions.withColumn("bucket", F.explode(F.array(bucket(F.col("t")), bucket(F.col("t")) - 1)))
-    met = d.join(f.select(key, "bucket", "period_start", "availability", *fields), [key, "bucket"])
+    met = d.join(f.select(key, "bucket", "period_start", "availability", *fields).hint("merge"), [key, "bucket"])  # see in_intervals
     met = met.where((F.col("availability") <= F.col("t")) & (F.col("period_start") <= F.col("t")) & (F.col("availability") >= F.col("t") - max_age))
     best = met.groupBy(key, "t").agg(F.max(F.struct("period_start", "availability", *fields)).alias("fact"))
     return best.select(key, "t", "fact.*")
