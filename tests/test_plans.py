@@ -15,6 +15,7 @@ REPEATED = [
     "j16_conflicts",
     "j19_ineligible",
     "j1_asof_max_age",
+    "j3_bitemporal",
 ]
 
 
