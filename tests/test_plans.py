@@ -16,6 +16,7 @@ REPEATED = [
     "j19_ineligible",
     "j1_asof_max_age",
     "j3_bitemporal",
+    "j4_bitemporal_latest",
 ]
 
 
