@@ -17,6 +17,7 @@ REPEATED = [
     "j1_asof_max_age",
     "j3_bitemporal",
     "j4_bitemporal_latest",
+    "j5_point_lookup",
 ]
 
 
