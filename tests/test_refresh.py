@@ -66,3 +66,16 @@ def test_a_gap_holds_the_prefix_until_a_later_batch_fills_it(spark, tmp_path):
     given = stream(spark, rows, "k string, t long", str(tmp_path / "in"), 4)
     got = {r.batch: (r.prefix_end, r.length) for r in twins.drain(twins.contiguous_prefix(given, "k", "t", 10), "update").collect()}
     assert got == {0: (20, 2), 1: (20, 2), 2: (60, 6), 3: (70, 7)}
+
+
+def test_repeats_are_found_across_batches_and_none_is_dropped_for_being_late(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = [(1, 10, 100), (2, 11, 100), (1, 12, 101), (3, 13, 100), (1, 14, 9000), (2, 15, 50), (3, 16, 9001), (4, 17, 10)]  # key, order, second
+    given = stream(spark, rows, "k long, o long, s long", str(tmp_path / "in"), 4)
+    made = refresh.repeats(given.withColumn("ts", F.timestamp_seconds("s")), "k", "o", "1 hour")
+    assert isinstance(made, twins.Folded)  # tables, not a call of Python for each key
+    got = {r.o: r.again for r in twins.drain(made).collect()}
+    # key 3 is forgotten once an hour has passed: the mark moves with the third batch, and its row comes with the fourth
+    assert got == {10: False, 11: False, 12: True, 13: False, 14: True, 15: True, 16: False, 17: False}
+

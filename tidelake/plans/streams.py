@@ -25,17 +25,25 @@ def query(sql: str):
 
 
 BATCHES = 4
+#: Rows of a staged file, at least, where a batch has several.
+FILE_ROWS = 500_000
 
 
 def staged(rows: DataFrame, order: str) -> DataFrame:
-    """rows as a stream of BATCHES micro-batches: a file for each equal range of order (a long), written one after the other."""
+    """rows as a stream of BATCHES micro-batches: files for each equal range of order (a long), written one range after the other.
+
+    Every range has as many files, so a trigger that takes so many takes a range. They are as many as the
+    smallest range can fill.
+    """
     spark, to = rows.sparkSession, twins.folder(rows.sparkSession)
     low, high = rows.agg(F.min(order), F.max(order)).first()
     low, width = low or 0, max(((high or 0) - (low or 0)) // BATCHES + 1, 1)
+    part = F.coalesce(F.floor((F.col(order) - low) / width), F.lit(0))
+    sizes = dict(map(tuple, rows.groupBy(part).count().collect()))
+    files = max(min(sizes.get(i, 0) for i in range(BATCHES)) // FILE_ROWS, 1)
     for i in range(BATCHES):
-        part = F.floor((F.col(order) - low) / width)
-        (rows.where(part == i) if i else rows.where((part == 0) | F.col(order).isNull())).coalesce(1).write.mode("append").parquet(to)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(to)
+        rows.where(part == i).repartition(files).write.mode("append").parquet(to)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(to)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidelake.streaming.twins import Folded
+
 
 class Snapshots:
     """Full snapshots of a keyed table at path, a version for each micro-batch; no version is ever changed.
@@ -110,26 +112,24 @@ def corrected_bars(trades: DataFrame, interval_us: int, late_us: int) -> DataFra
     return keyed.applyInPandasWithState(follow, names.format(kind), _BAR, "append", "EventTimeTimeout")
 
 
-def repeats(rows: DataFrame, key: str, order: str, late: str) -> DataFrame:
+def repeats(rows: DataFrame, key: str, order: str, late: str) -> Folded:
     """key, order, again of every row of a stream (with ts): false for the first of its key, true for what repeats it.
 
     A key is remembered until the watermark is `late` past its last row; rows of a batch come by ts and order.
     """
-    kinds = dict(rows.dtypes)
 
-    def follow(k: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({key: [], order: [], "again": []})
-            return
-        part = pd.concat(list(parts)).sort_values(["ts", order])
-        again = [state.exists] + [True] * (len(part) - 1)
-        state.update((True,))
-        state.setTimeoutTimestamp(max(int(part["ts"].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + 1)
-        yield pd.DataFrame({key: k[0], order: part[order], "again": again})
-
-    schema = f"{key} {kinds[key]}, {order} {kinds[order]}, again boolean"
-    return rows.withWatermark("ts", late).groupBy(key).applyInPandasWithState(follow, schema, "seen boolean", "append", "EventTimeTimeout")
+    def fold(batch: DataFrame, made: DataFrame | None) -> DataFrame:
+        fresh = batch.select(key, order, "ts", F.lit(True).alias("fresh"))
+        if made is not None:
+            mark = made.agg(F.unix_micros(F.max("ts") - F.expr(f"interval {late}"))).first()[0]  # the watermark when the batch before had come
+            seen = made.groupBy(key).agg(F.max("ts").alias("ts"))
+            if mark is not None:
+                seen = seen.where(F.col("ts").isNull() | (F.unix_micros("ts") >= mark))
+            fresh = fresh.unionByName(seen.withColumn("fresh", F.lit(False)), allowMissingColumns=True)
+        turn = F.row_number().over(Window.partitionBy(key).orderBy("fresh", "ts", order))
+        return fresh.withColumn("again", turn > 1)
+
+    return Folded(rows, fold, lambda made: made.where("fresh").select(key, order, "again"))
 
 
 def advancing(asked: DataFrame, key: str, order: str, at: str) -> DataFrame:
