@@ -79,3 +79,13 @@ def test_repeats_are_found_across_batches_and_none_is_dropped_for_being_late(spa
     # key 3 is forgotten once an hour has passed: the mark moves with the third batch, and its row comes with the fourth
     assert got == {10: False, 11: False, 12: True, 13: False, 14: True, 15: True, 16: False, 17: False}
 
+
+def test_a_trade_at_or_under_the_watermark_is_not_lost(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = [("a", 5, 5, 1, 2.0, 1.0), ("a", 90, 10, 2, 3.0, 1.0), ("a", 90, 20, 3, 4.0, 1.0), ("a", 60, 30, 4, 1.0, 1.0)]
+    schema = "instrument_id string, known_us long, ts_us long, trade_id long, price double, quantity double"
+    given = stream(spark, rows, schema, str(tmp_path / "in"), 2)
+    made = refresh.corrected_bars(given.withColumn("known_at", F.timestamp_micros(F.col("known_us") * 1000)), 50, 20)
+    got = sorted((r.kind, r.revision, r.close, r.high, r.low, r.n, r.before_close) for r in twins.drain(made).collect())
+    assert got == [("CORRECTION", 1, 3.0, 3.0, 2.0, 2, 2.0), ("CORRECTION", 2, 4.0, 4.0, 2.0, 3, 3.0), ("CORRECTION", 3, 1.0, 4.0, 1.0, 4, 4.0), ("FINAL", 0, 2.0, 2.0, 2.0, 1, None)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.streaming.twins import Folded
@@ -58,10 +58,7 @@ class Snapshots:
         writer.start().awaitTermination()
 
 
-_BAR = "n long, volume double, high double, low double, last_us long, last_id long, close double, published boolean, revision long"
-
-
-def corrected_bars(trades: DataFrame, interval_us: int, late_us: int) -> DataFrame:
+def corrected_bars(trades: DataFrame, interval_us: int, late_us: int) -> Folded:
     """A stream's bars, once, when they are finished, and every later change to one as a correction; nothing is mutated.
 
     trades: instrument_id, known_at (timestamp, when a trade came to be known: the stream's order), known_us,
@@ -70,46 +67,51 @@ def corrected_bars(trades: DataFrame, interval_us: int, late_us: int) -> DataFra
     trade known later, with before_close and before_volume; a bar that nothing was known of at its finish has
     corrections only. The state of a bar is a few numbers, whatever its trades, and rows do not depend on
     where micro-batches begin. A bar's state stays, since a correction may always come; a source with a last
-    date for corrections drops them before.
+    date for corrections drops them before. A trade that comes after later ones counts as known with the last of them.
     """
+    key = ["instrument_id", "period_us"]
+    finish = F.col("period_us") + interval_us + late_us
 
-    def publish(key: tuple, bar: list) -> tuple:
-        bar[7] = True
-        return (*key, "FINAL", 0, bar[6], bar[2], bar[3], bar[1], bar[0], None, None)
-
-    def follow(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        finish = int(key[1]) + interval_us + late_us
-        bar = list(state.get) if state.exists else [0, 0.0, None, None, None, None, None, False, 0]
-        out = []
-        if state.hasTimedOut:
-            if bar[0] and not bar[7]:
-                out.append(publish(key, bar))
-        else:
-            rows = pd.concat(list(parts)).sort_values(["known_us", "trade_id"])
-            for known, ts, trade, price, quantity in zip(*(rows[c] for c in ("known_us", "ts_us", "trade_id", "price", "quantity"))):
-                done = known >= finish
-                if done and bar[0] and not bar[7]:
-                    out.append(publish(key, bar))
-                before = (bar[6], bar[1]) if bar[0] else (None, None)
-                bar[0], bar[1] = bar[0] + 1, bar[1] + float(quantity)
-                bar[2] = price if bar[2] is None else max(bar[2], price)
-                bar[3] = price if bar[3] is None else min(bar[3], price)
-                if bar[4] is None or (ts, trade) > (bar[4], bar[5]):
-                    bar[4], bar[5], bar[6] = int(ts), int(trade), float(price)
-                if done:
-                    bar[7], bar[8] = True, bar[8] + 1
-                    out.append((*key, "CORRECTION", bar[8], bar[6], bar[2], bar[3], bar[1], bar[0], *before))
-        state.update(tuple(bar))
-        if not bar[7]:
-            state.setTimeoutTimestamp(max(finish // 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=columns)
-
-    names = "instrument_id {}, period_us long, kind string, revision long, close double, high double, low double, volume double, n long, before_close double, before_volume double"
-    columns = [c.strip().split(" ")[0] for c in names.split(",")]
-    kind = dict(trades.dtypes)["instrument_id"]
-    period = F.col("ts_us") - F.pmod("ts_us", F.lit(interval_us))
-    keyed = trades.withWatermark("known_at", "0 seconds").withColumn("period_us", period).groupBy("instrument_id", "period_us")
-    return keyed.applyInPandasWithState(follow, names.format(kind), _BAR, "append", "EventTimeTimeout")
+    def fold(batch: DataFrame, made: DataFrame | None) -> DataFrame:
+        seen = made.agg(F.max("known_us")).first()[0] if made is not None else None
+        known = F.greatest("known_us", F.lit(seen).cast("long"))
+        top = batch.agg(F.max("known_us")).first()[0]
+        mark = max((x for x in (seen, top) if x is not None), default=None)
+        rows = batch.withColumns({"period_us": F.col("ts_us") - F.pmod("ts_us", F.lit(interval_us)), "known_us": known}).select(
+            *key, F.lit(True).alias("fresh"), "known_us", "trade_id", F.lit(1).cast("long").alias("n"), F.col("quantity").cast("double").alias("volume"), F.col("price").alias("high"), F.col("price").alias("low"),
+            F.struct("ts_us", "trade_id", "price").alias("newest"), (F.col("known_us") >= finish).alias("late"), F.lit(False).alias("published"), (F.col("known_us") >= finish).cast("long").alias("revision"),
+        )
+        if made is not None:
+            state = made.where("last_in").withColumns({"fresh": F.lit(False), "late": F.lit(False), "published": F.col("published") | F.col("due")})
+            rows = rows.unionByName(state.select(*rows.columns))
+        order = Window.partitionBy(*key).orderBy("fresh", "known_us", "trade_id")
+        upto = order.rowsBetween(Window.unboundedPreceding, 0)
+        run = rows.withColumns(
+            {c: F.sum(c).over(upto) for c in ("n", "volume", "revision")} | {c: F.max(c).over(upto) for c in ("high", "newest")}
+            | {"low": F.min("low").over(upto), "published": F.bool_or(F.col("published") | F.col("late")).over(upto), "last_in": F.lead("fresh").over(order).isNull()}
+        )
+        before = F.lag(F.struct(F.col("newest.price").alias("close"), "high", "low", "volume", "n", "published")).over(order)
+        due = F.col("last_in") & ~F.col("published") & F.coalesce(F.floor(finish / 1000) < F.floor(F.lit(mark).cast("long") / 1000), F.lit(False))
+        return run.withColumn("before", before).withColumn("due", due)
+
+    def given(made: DataFrame) -> DataFrame:
+        bar = ("close", "high", "low", "volume", "n")
+        names = ("kind", "revision", *bar, "before_close", "before_volume")
+
+        def row(kind: str, revision: Column, values: dict[str, Column], close: Column, volume: Column) -> Column:
+            return F.struct(*(c.alias(n) for n, c in zip(names, (F.lit(kind), revision, *(values[b] for b in bar), close, volume))))
+
+        none, old = F.lit(None).cast("double"), {c: F.col("before")[c] for c in bar}
+        now = {c: F.col(c) for c in bar} | {"close": F.col("newest.price")}
+        zero = F.lit(0).cast("long")
+        first = F.col("fresh") & F.col("late") & F.col("before").isNotNull() & ~F.col("before.published")
+        found = [
+            F.when(first, row("FINAL", zero, old, none, none)), F.when(F.col("fresh") & F.col("late"), row("CORRECTION", F.col("revision"), now, old["close"], old["volume"])),
+            F.when(F.col("due"), row("FINAL", zero, now, none, none)),
+        ]
+        return made.select(*key, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("x")).select(*key, "x.*")
+
+    return Folded(trades, fold, given)
 
 
 def repeats(rows: DataFrame, key: str, order: str, late: str) -> Folded:
