@@ -26,3 +26,12 @@ def test_repeated_rows_are_not_broadcast(spark, name):
     plan = registry.queries()[name](spark, DIR)._jdf.queryExecution().sparkPlan().toString()
     joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert all("orderkey" in line for line in joins) and "SortMergeJoin" in plan  # orders themselves may be small
+
+
+def test_bars_are_made_by_tasks_of_bounded_size(spark, monkeypatch):
+    from tidelake.plans import inputs, market
+
+    dealt = inputs.spread(spark.range(1001), "id", 100)
+    assert dealt.rdd.getNumPartitions() == 11 and dealt.count() == 1001
+    monkeypatch.setattr(inputs, "spread", lambda rows, key: dealt.select(dealt["id"].alias(key)))
+    assert market.grid(spark, DIR).rdd.getNumPartitions() == 11

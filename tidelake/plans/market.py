@@ -54,8 +54,8 @@ GRID = f"""g AS (SELECT p_partkey AS instrument_id, {I.START} + d * {DAY} + q *
 
 
 def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = I.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("instrument_id"), F.explode(F.sequence(F.lit(0), F.lit(9))).alias("d"))
-    p = p.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(3)))).where((F.col("instrument_id") + 3 * F.col("d") + F.col("q")) % 17 != 0)
+    p = I.spread(I.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("instrument_id")), "instrument_id")
+    p = p.select("instrument_id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("d")).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(3)))).where((F.col("instrument_id") + 3 * F.col("d") + F.col("q")) % 17 != 0)
     k, d, q = F.col("instrument_id"), F.col("d"), F.col("q")
     return p.select(
         "instrument_id", (I.START + d.cast("long") * DAY + q.cast("long") * (6 * HOUR)).alias("period_start_us"), (100.0 + (k * 7 + d * 4 + q) % 50).alias("open"), F.lit(200.0).alias("high"), F.lit(50.0).alias("low"),
