@@ -93,3 +93,12 @@ def test_a_time_has_one_unit_or_none():
     assert L.time_of("1704067200", *bounds) == ("s", bounds[0])
     assert L.time_of("1704067200000000000", *bounds) == ("ns", bounds[0])
     assert L.time_of("12", *bounds) is None and L.time_of("x", *bounds) is None and L.time_of("1704067200", 0, 1 << 62) is None
+
+
+def test_first_candles_are_found_without_a_window_over_a_file(spark, tmp_path):
+    from tidelake.sources import market
+
+    (tmp_path / "a.csv").write_text("".join(f"{1704067200000 + 60000 * i},1,2,1,1,1,{1704067200000 + 60000 * i + (58999 if i < 2 else 59999)},1,1,1,1,0\n" for i in (1, 0, 2)))
+    found = market.candles(spark, str(tmp_path), 60_000_000)
+    assert "Window" not in found._jdf.queryExecution().analyzed().toString()
+    assert {r.open_us - 1704067200 * 10**6: len(r.issues) for r in found.collect()} == {0: 1, 60_000_000: 1, 120_000_000: 0}

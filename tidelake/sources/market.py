@@ -39,7 +39,9 @@ def candles(spark: SparkSession, path: str, interval_us: int, market: str = "spo
         "object", "width", unit.alias("unit"), T.to_us(F.col("open_time").try_cast("long"), unit).alias("open_us"), T.to_us(F.col("close_time").try_cast("long"), unit).alias("close_us"),
         *(F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close", "volume", "quote_volume", "taker_base", "taker_quote")), F.col("trades").try_cast("long").alias("trades"),
     )
-    first = F.col("open_us") == F.min("open_us").over(Window.partitionBy("object"))
+    firsts = typed.groupBy("object").agg(F.min("open_us").alias("first_us"))  # a row for each file
+    typed = typed.join(F.broadcast(firsts), "object")
+    first = F.col("open_us") == F.col("first_us")
     aligned = F.pmod("open_us", F.lit(interval_us)) == 0
     off = F.col("close_us") != T.closes_at(F.col("open_us"), interval_us, F.col("unit"))
     checked = with_issues(
@@ -49,7 +51,7 @@ def candles(spark: SparkSession, path: str, interval_us: int, market: str = "spo
         issue(~sound_ohlc(*(F.col(c) for c in ("open", "high", "low", "close", "volume"))), "unsound_ohlc"),
     )
     volume, second = VOLUME_UNITS[market]
-    return checked.withColumn("volume_unit", F.lit(volume)).withColumn("second_volume_unit", F.lit(second))
+    return checked.drop("first_us").withColumn("volume_unit", F.lit(volume)).withColumn("second_volume_unit", F.lit(second))
 
 
 def venue_trades(spark: SparkSession, path: str) -> DataFrame:
