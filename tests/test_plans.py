@@ -35,3 +35,15 @@ def test_bars_are_made_by_tasks_of_bounded_size(spark, monkeypatch):
     assert dealt.rdd.getNumPartitions() == 11 and dealt.count() == 1001
     monkeypatch.setattr(inputs, "spread", lambda rows, key: dealt.select(dealt["id"].alias(key)))
     assert market.grid(spark, DIR).rdd.getNumPartitions() == 11
+
+
+#: Queries over parts that are repeated by date or version.
+DEALT = [
+    "j16_conflicts",
+]
+
+
+@pytest.mark.parametrize("name", DEALT)
+def test_parts_are_dealt_before_they_are_repeated(spark, name):
+    plan = registry.queries()[name](spark, DIR)._jdf.queryExecution().analyzed().toString()
+    assert 0 < plan.count("RepartitionByExpression [part") == plan.count("Relation [p_partkey")

@@ -114,9 +114,14 @@ def j1_asof_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 PARTS = f"""{I.LATE_FACTS}, d AS (SELECT p_partkey AS part, CAST(t AS BIGINT) AS t FROM part, generate_series({9000 * DAY}, {10400 * DAY}, {90 * DAY}) AS s(t))"""
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts, each of which is repeated by date or by version."""
+    return I.spread(I.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part")), "part")
+
+
 def part_asks(spark: SparkSession, sf_dir: str) -> DataFrame:
     times = F.sequence(F.lit(9000 * DAY), F.lit(10400 * DAY), F.lit(90 * DAY))
-    return I.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.explode(times).alias("t"))
+    return parts(spark, sf_dir).select("part", F.explode(times).alias("t"))
 
 
 @query(f"""WITH {PARTS}, x AS (SELECT d.part, d.t, max(ROW(period_start, availability, k, n)) AS x FROM d JOIN f ON f.part = d.part AND availability <= t AND period_start <= t GROUP BY ALL)
@@ -144,7 +149,7 @@ VERSIONS = f"""v AS (SELECT p_partkey AS part, CAST(s AS BIGINT) AS version, p_p
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = I.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("version"))
+    p = parts(spark, sf_dir).select("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("version"))
     k, s = F.col("part"), F.col("version")
     return p.select(
         "part", "version", (k * 10 + s).alias("id"), ((9000 + 300 * s + k % 40) * DAY).alias("valid_from"),
