@@ -40,6 +40,7 @@ def test_bars_are_made_by_tasks_of_bounded_size(spark, monkeypatch):
 #: Queries over parts that are repeated by date or version.
 DEALT = [
     "j16_conflicts",
+    "j3_bitemporal",
 ]
 
 
