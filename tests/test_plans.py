@@ -42,6 +42,7 @@ DEALT = [
     "j16_conflicts",
     "j3_bitemporal",
     "j4_bitemporal_latest",
+    "j5_point_lookup",
 ]
 
 
