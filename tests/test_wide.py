@@ -23,3 +23,19 @@ def test_numbers_of_256_bits(spark):
     assert all(r["sum"] is None and r.text is None and r.less is None for r in got[-2:])
     data = spark.createDataFrame([("0x" + "0" * 127 + "A",), ("0x" + "0" * 126,), ("0x" + "0" * 127 + "g",), (None,)], "d string")
     assert [r[0] for r in data.select(wide.words(F.col("d"), 2)).collect()] == [["0" * 64, "0" * 63 + "a"], None, None, None]
+
+
+def longest_method(df):
+    """Bytes of the longest method that Spark makes for df: over 8,000 the JVM does not compile one, but reads it step by step."""
+    made = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size()))
+
+
+def test_numbers_are_read_and_written_by_code_that_is_compiled(spark):
+    from tidelake.functions.checks import hex_quantity
+
+    words = spark.range(3).select(*(F.lpad(F.hex(F.col("id") + i), 64, "0").alias(f"w{i}") for i in range(4)))
+    assert longest_method(words.select(*(wide.u256(F.col(c)) for c in words.columns))) < 8000
+    assert longest_method(words.select(hex_quantity(F.col("w0")), hex_quantity(F.col("w1")))) < 8000
+    text = words.select(wide.decimal_text(wide.u256(F.col("w0"))))
+    assert "ArrowEvalPython" in text._jdf.queryExecution().executedPlan().toString()  # batches of numbers, not steps of each

@@ -44,12 +44,10 @@ def close_to(a: Column, b: Column, rel: float = 1e-9, abs_: float = 0.0) -> Colu
 
 def hex_quantity(token: Column) -> Column:
     """A 0x quantity of up to 112 bits as DECIMAL(38,0); longer or malformed ones are null."""
-    digits = F.regexp_replace(F.regexp_replace(token, "^0x", ""), "^0+(?=.)", "")
+    digits = F.ltrim(F.substring(token, 3, 1 << 30), F.lit("0"))
     padded = F.lpad(digits, 28, "0")
-    part = lambda i: F.conv(F.substring(padded, 1 + 7 * i, 7), 16, 10).cast("decimal(38,0)")
-    value = part(0)
-    for i in range(1, 4):
-        value = (value * F.lit(1 << 28).cast("decimal(10,0)")).cast("decimal(38,0)") + part(i)
+    high, low = (F.conv(F.substring(padded, at, 14), 16, 10).cast("decimal(38,0)") for at in (1, 15))
+    value = (high * F.lit(1 << 56).cast("decimal(20,0)")).cast("decimal(38,0)") + low
     return F.when(token.rlike("^0x[0-9a-fA-F]+$") & (F.length(digits) <= 28), value.cast("decimal(38,0)"))
 
 

@@ -5,8 +5,10 @@ Arrays compare limb by limb, so <, =, min, max and ORDER BY are those of the num
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 LIMBS, BITS = 8, 32
 _ZERO = "cast(0 as bigint)"
@@ -19,7 +21,8 @@ def words(data: Column, n: int) -> Column:
 
 def u256(word: Column) -> Column:
     """The number that 64 hexadecimal digits write."""
-    limbs = F.array(*(F.conv(F.substring(word, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(LIMBS)))
+    # a loop, not eight columns: code of many columns is too long for the JVM to compile
+    limbs = F.transform(F.sequence(F.lit(0), F.lit(LIMBS - 1)), lambda i: F.conv(F.substr(word, 1 + 8 * i, F.lit(8)), 16, 10).cast("long"))
     return F.when(word.rlike("^[0-9a-fA-F]{64}$"), limbs)
 
 
@@ -47,18 +50,10 @@ def add(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), F.aggregate(pairs, start, step, lambda s: F.when(s["carry"] == 0, s["limbs"])))
 
 
-def decimal_text(number: Column) -> Column:
-    """A number in decimal digits, by schoolbook steps over parts of nine digits."""
-    parts = F.array(*(F.expr(_ZERO) for _ in range(9)))  # the lowest first; 81 digits hold 256 bits
-
-    def take(state: Column, limb: Column) -> Column:
-        start = F.struct(F.array().cast("array<bigint>").alias("out"), limb.alias("carry"))
-
-        def step(inner: Column, part: Column) -> Column:
-            value = part * (1 << BITS) + inner["carry"]
-            return F.struct(F.concat(inner["out"], F.array(value % 10**9)).alias("out"), F.floor(value / F.lit(10**9).cast("decimal(20,0)")).cast("long").alias("carry"))
-
-        return F.aggregate(state, start, step, lambda s: s["out"])
-
-    digits = F.array_join(F.transform(F.reverse(F.aggregate(number, parts, take)), lambda p: F.lpad(p.cast("string"), 9, "0")), "")
-    return F.when(number.isNotNull(), F.regexp_replace(digits, "^0+(?=.)", ""))
+@F.arrow_udf(StringType())
+def decimal_text(numbers: pa.Array) -> pa.Array:
+    """A number in decimal digits: Python's own, a batch of numbers at a time."""
+    limbs = numbers.flatten().to_numpy(zero_copy_only=False).astype(">u4").tobytes()  # those of nulls are not there
+    width = LIMBS * BITS // 8
+    texts = (str(int.from_bytes(limbs[i : i + width], "big")) for i in range(0, len(limbs), width))
+    return pa.array([next(texts) if there else None for there in numbers.is_valid().to_pylist()], pa.string())
