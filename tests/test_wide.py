@@ -39,3 +39,10 @@ def test_numbers_are_read_and_written_by_code_that_is_compiled(spark):
     assert longest_method(words.select(hex_quantity(F.col("w0")), hex_quantity(F.col("w1")))) < 8000
     text = words.select(wide.decimal_text(wide.u256(F.col("w0"))))
     assert "ArrowEvalPython" in text._jdf.queryExecution().executedPlan().toString()  # batches of numbers, not steps of each
+
+
+def test_swap_logs_write_their_amounts_by_batches(spark):
+    from tidelake.plans import registry
+
+    plan = registry.queries()["s12_swap_logs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan
