@@ -50,3 +50,8 @@ DEALT = [
 def test_parts_are_dealt_before_they_are_repeated(spark, name):
     plan = registry.queries()[name](spark, DIR)._jdf.queryExecution().analyzed().toString()
     assert 0 < plan.count("RepartitionByExpression [part") == plan.count("Relation [p_partkey")
+
+
+def test_duplicates_are_dealt_by_rows_and_compared_as_they_stand(spark):
+    plan = registry.queries()["a5_duplicates"](spark, DIR)._jdf.queryExecution().analyzed().toString()
+    assert "RepartitionByExpression [k" in plan and "sha2" not in plan  # what packs small is not small when sorted

@@ -58,11 +58,13 @@ def day_completeness(bars: DataFrame, step_us: int, keys: tuple[str, ...] = ("in
     return found.select(*keys, "day_us", "observed", F.lit(expected).cast("long").alias("expected"), code.alias("code"))
 
 
-def resample_daily(bars: DataFrame, keys: tuple[str, ...] = ("instrument_id",), source: str | None = None, step_us: int | None = None) -> DataFrame:
+def resample_daily(
+    bars: DataFrame, keys: tuple[str, ...] = ("instrument_id",), source: str | None = None, step_us: int | None = None, also: tuple[Column, ...] = ()
+) -> DataFrame:
     """Daily bars of intraday bars; optional volumes are null if any member's is.
 
     With step_us days that are not complete (day_completeness) are left out, in the same pass; without it
-    all days must be.
+    all days must be. also: further aggregates of a day's bars.
     """
     order = F.struct("period_start_us", source) if source else F.col("period_start_us")
     since = F.pmod("period_start_us", F.lit(DAY))
@@ -72,7 +74,7 @@ def resample_daily(bars: DataFrame, keys: tuple[str, ...] = ("instrument_id",),
         F.min_by("open", order).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", order).alias("close"),
         F.sum("base_volume").alias("base_volume"), all_or_null("quote_volume").alias("quote_volume"), all_or_null("trade_count").alias("trade_count"),
         *([F.min(source).alias(source), (F.count_distinct(source) > 1).alias("multi_source")] if source else []),
-        *([F.count("*").alias("__n"), slots.alias("__slots")] if step_us else []),
+        *([F.count("*").alias("__n"), slots.alias("__slots")] if step_us else []), *also,
     )
     if step_us:
         expected = DAY // step_us if DAY % step_us == 0 else -1
@@ -83,14 +85,14 @@ def resample_daily(bars: DataFrame, keys: tuple[str, ...] = ("instrument_id",),
 def enforce_unique(rows: DataFrame, keys: list[str], content: list[str], source: str) -> DataFrame:
     """rows with code: null (kept), identical_duplicate (dropped for its equal) or conflicting_duplicate (all quarantined).
 
-    Rows of a key are equal if their content is, whatever their source; the smallest source is kept.
+    Rows of a key are equal if their content is (as Spark compares values), whatever their source; the smallest
+    source is kept. Content is compared as it stands: a digest of it would be sorted and kept with every row.
     """
     each = Window.partitionBy(*keys)
-    print_ = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
-    marked = rows.withColumn("print", print_)
-    differ = F.min("print").over(each) != F.max("print").over(each)
+    same = F.struct(*content)
+    differ = F.min(same).over(each) != F.max(same).over(each)
     turn = F.row_number().over(each.orderBy(source))
-    return marked.withColumn("code", F.when(differ, "conflicting_duplicate").when(turn > 1, "identical_duplicate")).drop("print")
+    return rows.withColumn("code", F.when(differ, "conflicting_duplicate").when(turn > 1, "identical_duplicate"))
 
 
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str], tolerance: float = 0.0) -> DataFrame:

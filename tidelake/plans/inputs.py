@@ -16,9 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str, each: int = 25_000) -> DataFrame:
-    """rows dealt by key to tasks of `each` or so. Before rows are repeated: Spark deals by bytes read, which tell nothing of that."""
-    return rows.repartition(max(-(-rows.count() // each), 1), key)
+def spread(rows: DataFrame, key: str | list[str], each: int = 25_000) -> DataFrame:
+    """rows dealt by key to tasks of `each` or so: before rows are repeated, or sorted where they are packed small.
+
+    Spark deals by bytes read or shuffled, which tell nothing of that.
+    """
+    return rows.repartition(max(-(-rows.count() // each), 1), *([key] if isinstance(key, str) else key))
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:

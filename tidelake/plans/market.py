@@ -85,7 +85,7 @@ DUPES = """r AS (SELECT l_partkey % 50 AS k, l_suppkey % 20 AS day, l_linenumber
 SELECT k, day, x, source, CASE WHEN kinds > 1 THEN 'conflicting_duplicate' WHEN turn > 1 THEN 'identical_duplicate' END AS code FROM s""")
 def a5_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = I.table(spark, sf_dir, "lineitem").selectExpr("l_partkey % 50 AS k", "l_suppkey % 20 AS day", "l_linenumber % 2 AS x", "l_orderkey * 10 + l_linenumber AS source")
-    return bars.enforce_unique(r, ["k", "day"], ["x"], "source")
+    return bars.enforce_unique(I.spread(r, ["k", "day"], 1_000_000), ["k", "day"], ["x"], "source")
 
 
 @query(f"""WITH {GRID}, a AS (SELECT instrument_id, period_start_us, open, close, quote_volume FROM g WHERE (instrument_id + period_start_us // {HOUR}) % 13 <> 0),
