@@ -55,3 +55,12 @@ def test_parts_are_dealt_before_they_are_repeated(spark, name):
 def test_duplicates_are_dealt_by_rows_and_compared_as_they_stand(spark):
     plan = registry.queries()["a5_duplicates"](spark, DIR)._jdf.queryExecution().analyzed().toString()
     assert "RepartitionByExpression [k" in plan and "sha2" not in plan  # what packs small is not small when sorted
+
+
+def test_canonical_days_are_made_once(spark):
+    from tidelake.plans import canonical
+
+    made = canonical.made(spark, DIR)
+    for table in (made.daily, made.report, made.issues):
+        plan = table._jdf.queryExecution().analyzed().toString()
+        assert "Window" not in plan and "Generate explode(sequence" not in plan  # bars are not made again for each table

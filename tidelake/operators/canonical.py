@@ -18,16 +18,33 @@ def complete_rows(rows: DataFrame, steps: dict[str, int], keys: tuple[str, ...]
 
     A day is complete if its rows' opens are just those that the timeframe's step expects.
     """
-    step = F.element_at(F.create_map(*(F.lit(x) for kv in steps.items() for x in kv)), F.col("timeframe"))
     day = Window.partitionBy(*keys, "timeframe", "day_us")
-    aligned = F.pmod(F.col("period_start_us") - F.col("day_us"), F.col("step")) == 0
-    marked = rows.withColumn("step", step).withColumn("day_us", floor_to(F.col("period_start_us"), DAY))
-    marked = marked.withColumns({"observed": F.count("*").over(day), "on_grid": F.count_if(aligned).over(day), "expected": (F.lit(DAY) / F.col("step")).cast("long")})
-    whole = (F.col("observed") == F.col("expected")) & (F.col("on_grid") == F.col("expected")) & (F.lit(DAY) % F.col("step") == 0)
-    short = marked.where(~F.coalesce(whole, F.lit(False))).select(*keys, "timeframe", "day_us", "observed", "expected").distinct()
+    marked = rows.withColumn("step", _step(steps)).withColumn("day_us", floor_to(F.col("period_start_us"), DAY))
+    marked = marked.withColumns({c: x.over(day) for c, x in _counts().items()}).withColumn("expected", _expected(F.col("step")))
+    whole = _whole(F.col("step"))
+    short = marked.where(~whole).select(*keys, "timeframe", "day_us", "observed", "expected").distinct()
     return marked.where(whole).select(*rows.columns), short
 
 
+def _step(steps: dict[str, int]) -> Column:
+    return F.element_at(F.create_map(*(F.lit(x) for kv in steps.items() for x in kv)), F.col("timeframe"))
+
+
+def _expected(step: Column) -> Column:
+    return (F.lit(DAY) / step).cast("long")
+
+
+def _counts(step: Column | None = None) -> dict[str, Column]:
+    """What tells whether a day (day_us) is complete."""
+    aligned = F.pmod(F.col("period_start_us") - F.col("day_us"), F.col("step") if step is None else step) == 0
+    return {"observed": F.count("*"), "on_grid": F.count_if(aligned)}
+
+
+def _whole(step: Column) -> Column:
+    whole = (F.col("observed") == F.col("expected")) & (F.col("on_grid") == F.col("expected")) & (F.lit(DAY) % step == 0)
+    return F.coalesce(whole, F.lit(False))
+
+
 def daily_source(rows: DataFrame, timeframe: str | None = None) -> DataFrame:
     """rows of one timeframe: the one asked for, or the only one there is. Timeframes are few; more than one without a choice is an error."""
     present = sorted(r[0] for r in rows.select("timeframe").distinct().limit(100).collect())
@@ -101,8 +118,12 @@ def canonical_daily(rows: DataFrame, provider: DataFrame, steps: dict[str, int],
     """
     unique = B.enforce_unique(rows, ["instrument_id", "timeframe", "period_start_us"], CONTENT, "source_id").checkpoint()
     quarantine = unique.where("code = 'conflicting_duplicate'")
-    whole, short = complete_rows(unique.where("code is null").drop("code"), steps)
-    daily = B.resample_daily(daily_source(whole, timeframe))
+    # days are made and told complete in one pass, and kept: every table needs them
+    counts = tuple(c.alias(n) for n, c in _counts(_step(steps)).items())
+    days = B.resample_daily(unique.where("code is null"), ("instrument_id", "timeframe"), also=counts)
+    days = days.withColumn("expected", _expected(_step(steps))).withColumn("whole", _whole(_step(steps))).checkpoint()
+    short = days.where("not whole")
+    daily = daily_source(days.where("whole"), timeframe).drop("timeframe", "observed", "on_grid", "expected", "whole")
     report = B.reconcile(daily, provider, ["instrument_id", "day_us"], CONTENT, tolerance)
     issue = lambda df, code, severity, at: df.select(code.alias("code"), F.lit(severity).alias("severity"), "instrument_id", at.alias("at_us"))
     issues = (

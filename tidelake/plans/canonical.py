@@ -31,8 +31,7 @@ def made(spark: SparkSession, sf_dir: str) -> canonical.Canonical:
     again = g.where(k % 10 == 0).withColumn("source_id", F.lit("b"))
     other = g.where(k % 15 == 0).withColumns({"close": F.col("close") + 1, "source_id": F.lit("c")})
     rows = g.withColumn("source_id", F.lit("a")).unionByName(again).unionByName(other)
-    whole, _ = canonical.complete_rows(g, {"6h": 6 * HOUR})
-    provider = bars.resample_daily(whole).where(k % 2 == 0).withColumn("close", F.col("close") + F.when(k % 11 == 0, 1.0).otherwise(0.0))
+    provider = bars.resample_daily(g.where(k % 2 == 0), step_us=6 * HOUR).withColumn("close", F.col("close") + F.when(k % 11 == 0, 1.0).otherwise(0.0)).checkpoint()
     return canonical.canonical_daily(rows, provider, {"6h": 6 * HOUR}, " 6h ")
 
 
