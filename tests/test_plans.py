@@ -64,3 +64,8 @@ def test_canonical_days_are_made_once(spark):
     for table in (made.daily, made.report, made.issues):
         plan = table._jdf.queryExecution().analyzed().toString()
         assert "Window" not in plan and "Generate explode(sequence" not in plan  # bars are not made again for each table
+
+
+def test_canonical_days_of_files_are_made_once(spark):
+    plan = registry.queries()["q6_canonical_from_files"](spark, DIR)._jdf.queryExecution().analyzed().toString()
+    assert "Window" not in plan
