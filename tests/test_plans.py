@@ -69,3 +69,8 @@ def test_canonical_days_are_made_once(spark):
 def test_canonical_days_of_files_are_made_once(spark):
     plan = registry.queries()["q6_canonical_from_files"](spark, DIR)._jdf.queryExecution().analyzed().toString()
     assert "Window" not in plan
+
+
+def test_compared_bars_are_dealt(spark):
+    plan = registry.queries()["j11_compare_bars"](spark, DIR)._jdf.queryExecution().analyzed().toString()
+    assert 0 < plan.count("RepartitionByExpression [instrument_id") == plan.count("Relation [p_partkey")
