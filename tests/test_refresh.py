@@ -89,3 +89,9 @@ def test_a_trade_at_or_under_the_watermark_is_not_lost(spark, tmp_path):
     made = refresh.corrected_bars(given.withColumn("known_at", F.timestamp_micros(F.col("known_us") * 1000)), 50, 20)
     got = sorted((r.kind, r.revision, r.close, r.high, r.low, r.n, r.before_close) for r in twins.drain(made).collect())
     assert got == [("CORRECTION", 1, 3.0, 3.0, 2.0, 2, 2.0), ("CORRECTION", 2, 4.0, 4.0, 2.0, 3, 3.0), ("CORRECTION", 3, 1.0, 4.0, 1.0, 4, 4.0), ("FINAL", 0, 2.0, 2.0, 2.0, 1, None)]
+
+
+def test_streams_are_folded_by_tables(spark):
+    rows = spark.readStream.format("rate").load().selectExpr("value AS k", "value AS t", "double(value) AS equity")
+    for made in (twins.contiguous_prefix(rows, "k", "t", 10), twins.drawdown_alerts(rows, "k", "t", 1.0, 0.1), refresh.advancing(rows, "k", "t", "t")):
+        assert isinstance(made, twins.Folded)

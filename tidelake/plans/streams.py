@@ -60,7 +60,7 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {I.TRADES}, b AS (SELECT instrument_id, ts_us - ts_us % {HOUR} AS period_start_us, first(price ORDER BY ts_us, trade_id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts_us, trade_id) AS close, sum(quantity) AS base_volume, count(*) AS trade_count FROM t GROUP BY ALL)
 SELECT instrument_id, period_start_us, open, high, low, close, round(base_volume, {R}) AS base_volume, trade_count FROM b WHERE period_start_us + {HOUR} <= (SELECT (max(ts_us) // 1000) * 1000 - {10 * MINUTE} FROM t)""")
 def t1_stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(twins.drain(twins.bars(trades(spark, sf_dir), "1 hour", "10 minutes")), "base_volume")
+    return rounded(twins.drain(twins.bars(trades(spark, sf_dir), HOUR, 10 * MINUTE)), "base_volume")
 
 
 @query("SELECT event_id // 2 AS pair, event_id, row_number() OVER (PARTITION BY event_id // 2 ORDER BY ts, event_id) > 1 AS again FROM events")

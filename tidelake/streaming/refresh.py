@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,17 +131,14 @@ def repeats(rows: DataFrame, key: str, order: str, late: str) -> Folded:
     return Folded(rows, fold, lambda made: made.where("fresh").select(key, order, "again"))
 
 
-def advancing(asked: DataFrame, key: str, order: str, at: str) -> DataFrame:
+def advancing(asked: DataFrame, key: str, order: str, at: str) -> Folded:
     """key, order, at, accepted of every row of a stream: only one whose `at` is over all before it of its key, by order, is."""
-    kinds = dict(asked.dtypes)
-
-    def follow(k: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        part = pd.concat(list(parts)).sort_values(order)
-        most = part[at].cummax().shift(1)
-        if state.exists:
-            most = most.fillna(state.get[0]).clip(lower=state.get[0])
-        state.update((max(int(part[at].max()), state.get[0]) if state.exists else int(part[at].max()),))
-        yield pd.DataFrame({key: k[0], order: part[order], at: part[at], "accepted": most.isna() | (part[at] > most)})
-
-    schema = f"{key} {kinds[key]}, {order} {kinds[order]}, {at} long, accepted boolean"
-    return asked.groupBy(key).applyInPandasWithState(follow, schema, "last long", "append", "NoTimeout")
+
+    def fold(batch: DataFrame, made: DataFrame | None) -> DataFrame:
+        rows = batch.select(key, order, F.col(at).cast("long").alias(at), F.lit(True).alias("fresh"))
+        if made is not None:
+            rows = rows.unionByName(made.groupBy(key).agg(F.max(at).alias(at)).withColumn("fresh", F.lit(False)), allowMissingColumns=True)
+        before = Window.partitionBy(key).orderBy("fresh", order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn("accepted", F.coalesce(F.col(at) > F.max(at).over(before), F.lit(True)))
+
+    return Folded(asked, fold, lambda made: made.where("fresh").select(key, order, at, "accepted"))
