@@ -95,3 +95,15 @@ def test_streams_are_folded_by_tables(spark):
     rows = spark.readStream.format("rate").load().selectExpr("value AS k", "value AS t", "double(value) AS equity")
     for made in (twins.contiguous_prefix(rows, "k", "t", 10), twins.drawdown_alerts(rows, "k", "t", 1.0, 0.1), refresh.advancing(rows, "k", "t", "t")):
         assert isinstance(made, twins.Folded)
+
+
+def test_states_go_on_over_batches_without_a_call_for_each_key(spark, tmp_path):
+    rows = [("a", 1, "x"), ("b", 2, "y"), ("a", 2**60 + 1, "y"), ("a", 2**60 + 2, "x"), ("b", 5, "x"), ("b", 6, "y")]
+    given = stream(spark, rows, "k string, o long, state string", str(tmp_path / "in"), 3)
+    made = twins.states(given, "k", "o", {(None, "x"), ("x", "y")})
+    assert isinstance(made, twins.Folded)
+    got = sorted((r.k, r.o, r.before, r.state, r.legal) for r in twins.drain(made).collect())
+    assert got == [
+        ("a", 1, None, "x", True), ("a", 2**60 + 1, "x", "y", True), ("a", 2**60 + 2, "y", "x", False),
+        ("b", 2, None, "y", False), ("b", 5, None, "x", True), ("b", 6, "x", "y", True),
+    ]
