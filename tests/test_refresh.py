@@ -107,3 +107,16 @@ def test_states_go_on_over_batches_without_a_call_for_each_key(spark, tmp_path):
         ("a", 1, None, "x", True), ("a", 2**60 + 1, "x", "y", True), ("a", 2**60 + 2, "y", "x", False),
         ("b", 2, None, "y", False), ("b", 5, None, "x", True), ("b", 6, "x", "y", True),
     ]
+
+
+
+def test_a_bar_comes_once_and_trades_after_it_are_left_out(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = [("a", 10, 1, 5.0, 1.0), ("a", 5, 2, 7.0, 1.0), ("a", 30, 3, 6.0, 1.0), ("b", 70, 4, 1.0, 1.0), ("a", 40, 5, 9.0, 1.0), ("a", 100, 6, 2.0, 2.0)]
+    given = stream(spark, rows, "instrument_id string, s long, trade_id long, price double, quantity double", str(tmp_path / "in"), 3)
+    made = twins.bars(given.withColumn("ts", F.timestamp_seconds("s")), 50 * 10**6, 10 * 10**6)
+    assert isinstance(made, twins.Folded)
+    got = sorted((r.instrument_id, r.period_start_us // 10**6, r.open, r.high, r.low, r.close, r.base_volume, r.trade_count) for r in twins.drain(made).collect())
+    # the mark is 60 after the second batch, so the trade at 40 is late; at the end it is 90, so later bars have not come
+    assert got == [("a", 0, 7.0, 7.0, 5.0, 6.0, 3.0, 3)]
