@@ -102,3 +102,20 @@ def test_first_candles_are_found_without_a_window_over_a_file(spark, tmp_path):
     found = market.candles(spark, str(tmp_path), 60_000_000)
     assert "Window" not in found._jdf.queryExecution().analyzed().toString()
     assert {r.open_us - 1704067200 * 10**6: len(r.issues) for r in found.collect()} == {0: 1, 60_000_000: 1, 120_000_000: 0}
+
+
+def test_an_archive_in_parts_is_one_text(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidelake.plans import archives
+
+    rows = spark.range(0, 3000, 1, 4).select((F.col("id") % 2).alias("shelf"), F.col("id").alias("place"), F.concat(F.lit("x,"), F.col("id").cast("string")).alias("line"))
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    path = archives.files(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert L.lines(spark, path).select("object").distinct().count() > 2  # no task writes a whole shelf
+    found = L.envelope(spark, path, parts=True).collect()
+    assert sorted((int(r.tokens[1]) % 2, r.ordinal, int(r.tokens[1]), r.newline) for r in found) == [(s, i, 2 * i + s, True) for s in (0, 1) for i in range(1500)]
+    audit = L.CsvAudit(["x", "id"]).run(L.lines(spark, path, parts=True)).collect()
+    assert sorted(r.records for r in audit) == [1499, 1499] and not any(r.header for r in audit)  # one first line each

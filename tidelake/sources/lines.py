@@ -34,20 +34,29 @@ def columns_of(family: str) -> list[tuple[str, str]]:
     return [tuple(c.strip().split(" ")) for c in FAMILIES[family].split(",")]  # type: ignore[misc]
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """object, block, size, at, line of text files: at grows within a block (a part of a file that one task reads)."""
+#: Block numbers of an archive in parts: the part's number above that many bits, the place in it below.
+PART_BITS = 40
+
+
+def lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """object, block, size, at, line of text files: at grows within a block (a part of a file that one task reads).
+
+    With parts an object is a folder: its files, which Spark wrote as part-N, are one text in order of N.
+    """
     found = spark.read.option("lineSep", "\n").text(path).withColumn("at", F.monotonically_increasing_id())
-    return found.select(
-        F.col("_metadata.file_path").alias("object"), F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size"),
-        "at", F.col("value").alias("line"),
-    )
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    size, line = F.col("_metadata.file_size").alias("size"), F.col("value").alias("line")
+    if not parts:
+        return found.select(file.alias("object"), start.alias("block"), size, "at", line)
+    folder, part = F.regexp_extract(file, "^(.*)/", 1).alias("object"), F.regexp_extract(file, "part-([0-9]+)[^/]*$", 1).cast("long")
+    return found.select(folder, (F.shiftleft(part, PART_BITS) + start).alias("block"), size, "at", line)
 
 
 def numbered(found: DataFrame) -> DataFrame:
     """object, ordinal (from 0 in each file), line, newline of lines(); newline is false only where a file ends without one.
 
-    Blocks are counted, and each block's lines go on from those of the blocks before it. Spark broadcasts the
-    blocks' counts (a row for each) where they are small.
+    Blocks are counted, and each block's lines go on from those of the blocks before it. The blocks' counts, a
+    row for each that a task reads, are broadcast: a join by object would bring all lines of a file to one task.
     """
     blocks = found.groupBy("object", "block").agg(
         F.min("at").alias("first"), F.count("*").alias("n"), F.sum(F.octet_length("line") + 1).alias("bytes"), F.first("size").alias("size")
@@ -56,20 +65,20 @@ def numbered(found: DataFrame) -> DataFrame:
     before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.select(
         "object", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"), F.sum("n").over(whole).alias("total"),
-        (F.sum("bytes").over(whole) > F.col("size")).alias("open"),
+        (F.sum("bytes").over(whole) > F.sum(F.when(F.col("block") % (1 << PART_BITS) == 0, F.col("size"))).over(whole)).alias("open"),
     )
     ordinal = (F.col("at") - F.col("first") + F.col("ahead")).alias("ordinal")
-    met = found.drop("size").join(placed, ["object", "block"]).select("object", ordinal, "line", "total", "open")
+    met = found.drop("size").join(F.broadcast(placed), ["object", "block"]).select("object", ordinal, "line", "total", "open")
     return met.select("object", "ordinal", "line", (~(F.col("open") & (F.col("ordinal") == F.col("total") - 1))).alias("newline"))
 
 
-def envelope(spark: SparkSession, path: str) -> DataFrame:
-    """object, ordinal, tokens, newline: every line of every file, each token as it is written.
+def envelope(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """object, ordinal, tokens, newline: every line of every file (or folder: see lines()), each token as it is written.
 
     Tokens joined by commas, in order of ordinal, each followed by a line feed where newline is true, are
     the file byte for byte; a carriage return stays in the last token.
     """
-    return numbered(lines(spark, path)).select("object", "ordinal", F.split("line", ",", -1).alias("tokens"), "newline")
+    return numbered(lines(spark, path, parts)).select("object", "ordinal", F.split("line", ",", -1).alias("tokens"), "newline")
 
 
 def headers(rows: DataFrame, family: str) -> DataFrame:
@@ -86,7 +95,7 @@ def family_rows(rows: DataFrame, family: str) -> DataFrame:
     Files of UNKNOWN names give no rows: headers() names them. A token that is not of its column's type is
     null, and width is the number of tokens.
     """
-    met = rows.join(headers(rows, family).where("state <> 'UNKNOWN'"), "object").where("state = 'HEADERLESS' or ordinal > 0")
+    met = rows.join(F.broadcast(headers(rows, family).where("state <> 'UNKNOWN'")), "object").where("state = 'HEADERLESS' or ordinal > 0")
     tokens = F.split(F.rtrim(F.col("line"), F.lit("\r")), ",", -1)
     typed = [F.get(tokens, F.lit(i)).try_cast(kind).alias(c) for i, (c, kind) in enumerate(columns_of(family))]
     return met.select("object", "ordinal", "state", F.size(tokens).alias("width"), *typed)
@@ -203,7 +212,8 @@ class CsvAudit:
         whose key came before, null without a key), units, earliest_us, latest_us, head and tail (the first and
         last samples of right width). A record is a line; a quoted field does not go on to the next one.
         """
-        each = found.select("object", "block", "line")
+        firsts = found.groupBy("object").agg(F.min("block").alias("first"))  # a row for each file
+        each = found.join(F.broadcast(firsts), "object").select("object", (F.col("block") - F.col("first")).alias("block"), "line")
         blocks = each.mapInPandas(self._summaries, _SUMMARY)
         before = Window.partitionBy("object").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
         across = F.col("first_key") < F.last("last_key", ignorenulls=True).over(before)  # between two blocks
