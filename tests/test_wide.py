@@ -46,3 +46,22 @@ def test_swap_logs_write_their_amounts_by_batches(spark):
 
     plan = registry.queries()["s12_swap_logs"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan
+
+
+def test_words_are_read_without_patterns_and_limbs_by_batches(spark):
+    data = spark.createDataFrame([("0x" + "0" * 64 + "\n",), ("0x" + "0" * 63 + "é",), ("0X" + "0" * 64,), ("0x" + "F" * 64,)], "d string")
+    assert [r[0] for r in data.select(wide.words(F.col("d"), 1)).collect()] == [None, None, None, ["f" * 64]]
+    plan = data.select(wide.u256(wide.words(F.col("d"), 1)[0]))._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "RLIKE" not in plan
+
+
+def test_logs_meet_headers_without_a_broadcast_and_refused_ones_are_not_dealt_whole(spark):
+    from tidelake.sources import market
+
+    logs = spark.createDataFrame([("0xp", ["t"], "0x" + "0" * 64, "0x1", "h", "0x0", tx, False) for tx in "ab"] + [("0xq", ["t"], "0x" + "0" * 64, "0x1", "h", "0x0", "a", False)],
+        "address string, topics array<string>, data string, block_number string, block_hash string, log_index string, tx_hash string, removed boolean")
+    headers = spark.range(1).selectExpr("concat('0x', id + 1) AS number", "'h' AS hash", "'0x1' AS timestamp")  # known to be small
+    marked = market.event_logs(logs, headers, "0xp", "t", 1, 1)
+    assert "Broadcast" not in marked._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.address, r.tx_hash, r.code, r.words is None, r.topics is None) for r in marked.collect())
+    assert got == [("0xp", "a", "duplicate_log", False, False), ("0xp", "b", None, False, False), ("0xq", "a", "wrong_emitter", True, True)]

@@ -126,7 +126,8 @@ def event_logs(logs: DataFrame, headers: DataFrame, emitter: str, topic: str, to
     known = headers.select(
         hex_quantity(F.col("number")).cast("long").alias("block"), F.lower("hash").alias("header_hash"), hex_quantity(F.col("timestamp")).cast("long").alias("block_s")
     )
-    joined = logs.withColumn("block", hex_quantity(F.col("block_number")).cast("long")).join(known, "block", "left")
+    # merged: the headers' size is guessed from packed keys, so what is taken for small may not fit a broadcast
+    joined = logs.withColumn("block", hex_quantity(F.col("block_number")).cast("long")).join(known.hint("merge"), "block", "left")
     code = (
         F.when(~same, "wrong_emitter").when(F.col("removed"), "removed_log").when(~shape, "bad_topics").when(F.col("header_hash").isNull(), "missing_header")
         .when(F.col("header_hash") != F.lower("block_hash"), "hash_mismatch")
@@ -138,6 +139,8 @@ def event_logs(logs: DataFrame, headers: DataFrame, emitter: str, topic: str, to
     if "tx_hash" not in logs.columns:
         return marked
     twice = Window.partitionBy("tx_hash", "log_index")  # a key is a log: few rows each
+    # what is refused is not decoded, so its words and topics need not be dealt and sorted
+    marked = marked.withColumns({c: F.when(F.col("code").isNull(), F.col(c)) for c in ("topics", "words")})
     return marked.withColumn("code", F.when(F.col("code").isNull() & (F.count("*").over(twice) > 1), "duplicate_log").otherwise(F.col("code")))
 
 
