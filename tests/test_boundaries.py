@@ -5,13 +5,18 @@ from pyspark.sql import functions as F
 
 from tidelake.functions import checks as C
 from tidelake.functions import times as T
-from tidelake.operators import asof, bars, factors, labels, portfolio, quality, stats, universe
+from tidelake.operators import asof, bars, canonical, factors, labels, portfolio, quality, stats, universe
 
 
 def values(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
+def texts(df, *columns):
+    """values(), of rows that may hold nulls."""
+    return sorted(str(tuple(r)) for r in df.select(*columns).collect())
+
+
 def test_asof_bounds_and_order(spark):
     facts = spark.createDataFrame([(1, 0, 10, 1.0), (1, 5, 12, 2.0), (1, 3, 20, 3.0), (2, 0, None, 9.0)], "k int, period_start long, availability long, x double")
     asks = spark.createDataFrame([(1, 9), (1, 10), (1, 12), (1, 30), (2, 50)], "k int, t long")
@@ -175,3 +180,13 @@ def test_funding_meets_positions_by_time_bucket(spark):
         assert {r.position_id: (r.events, round(r.cashflow, 6)) for r in found.collect()} == want
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         assert any(re.search(r"bucket#\d+L? = bucket#\d+L?", line) for line in plan.splitlines() if "Join Inner" in line)
+
+
+def test_compared_bars_with_null_keys_and_repeats(spark):
+    schema = "k long, t long, n int, x double"
+    ours = spark.createDataFrame([(1, 1, 1, 1.0), (1, 1, 2, 9.0), (None, 1, 1, 1.0), (2, 1, 1, None), (3, 1, 1, 5.0)], schema)
+    theirs = spark.createDataFrame([(1, 1, 2, 9.0), (1, 1, 1, 1.0), (None, 1, 1, 1.0), (2, 1, 1, 2.0), (4, 1, 1, 5.0)], schema)
+    assert texts(canonical.compare_bars(ours, theirs, ["k", "t"], {"x": 0.0}, "n"), "k", "field", "status", "delta") == sorted(map(str, [
+        (1, "row", "duplicate_ours", None), (1, "row", "duplicate_theirs", None), (2, "x", "null_mismatch", None), (3, "row", "missing_from_theirs", None),
+        (4, "row", "missing_from_ours", None), (None, "row", "missing_from_theirs", None), (None, "row", "missing_from_ours", None),
+    ]))

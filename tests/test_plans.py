@@ -74,3 +74,10 @@ def test_canonical_days_of_files_are_made_once(spark):
 def test_compared_bars_are_dealt(spark):
     plan = registry.queries()["j11_compare_bars"](spark, DIR)._jdf.queryExecution().analyzed().toString()
     assert 0 < plan.count("RepartitionByExpression [instrument_id") == plan.count("Relation [p_partkey")
+
+
+def test_compared_bars_meet_in_one_pass(spark):
+    plan = registry.queries()["j11_compare_bars"](spark, DIR)._jdf.queryExecution()
+    assert "Join" not in plan.optimizedPlan().toString()
+    parts = plan.optimizedPlan().toString().count("Relation [p_partkey")
+    assert plan.sparkPlan().toString().count("HashAggregate") == 2 and 0 < plan.executedPlan().toString().count("Exchange ") == parts  # parts are dealt, bars are not

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -141,19 +143,26 @@ def compare_bars(ours: DataFrame, theirs: DataFrame, keys: list[str], tolerances
     and null_mismatch. Of repeated keys the first by ordinal is compared. Fields of no tolerance
     are not compared, and equal bars give no row.
     """
-    def first(df: DataFrame, side: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.min_by(F.struct(*tolerances), ordinal).alias(side), F.count("*").alias(f"n_{side}"))
-
-    met = first(ours, "a").join(first(theirs, "b"), keys, "full_outer")
+    def side(df: DataFrame, name: str) -> DataFrame:
+        # a null key is nobody's but its side's
+        own = F.when(reduce(or_, (F.col(k).isNull() for k in keys)), name)
+        fields = (F.col(f).cast("double").alias(f"{name}_{f}") for f in tolerances)
+        return df.select(*keys, own.alias("own"), F.lit(1).alias(f"n_{name}"), F.col(ordinal).alias(f"at_{name}"), *fields)
+
+    # both sides in one table and one pass: of the other side's rows a field's order is null, so they don't count
+    both_sides = side(ours, "a").unionByName(side(theirs, "b"), allowMissingColumns=True)
+    firsts = (F.min_by(f"{s}_{f}", f"at_{s}").alias(f"{s}_{f}") for s in "ab" for f in tolerances)
+    counts = (c for s in "ab" for c in (F.count(f"n_{s}").alias(f"n_{s}"), (F.count(f"at_{s}") > 0).alias(f"in_{s}")))
+    met = both_sides.groupBy(*keys, "own").agg(*firsts, *counts)
 
     def item(test: Column, field: str, status: str, delta: Column | None = None) -> Column:
         what = F.struct(F.lit(field).alias("field"), F.lit(status).alias("status"), (F.lit(None) if delta is None else delta).cast("double").alias("delta"))
         return F.when(test, what)
 
-    a, b = (lambda f: F.col("a")[f].cast("double")), (lambda f: F.col("b")[f].cast("double"))
-    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    a, b = (lambda f: F.col(f"a_{f}")), (lambda f: F.col(f"b_{f}"))
+    both = F.col("in_a") & F.col("in_b")
     items = [
-        item(F.col("b").isNull(), "row", "missing_from_theirs"), item(F.col("a").isNull(), "row", "missing_from_ours"),
+        item(~F.col("in_b"), "row", "missing_from_theirs"), item(~F.col("in_a"), "row", "missing_from_ours"),
         item(F.col("n_a") > 1, "row", "duplicate_ours"), item(F.col("n_b") > 1, "row", "duplicate_theirs"),
     ]
     for field, most in tolerances.items():
