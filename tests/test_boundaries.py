@@ -190,3 +190,17 @@ def test_compared_bars_with_null_keys_and_repeats(spark):
         (1, "row", "duplicate_ours", None), (1, "row", "duplicate_theirs", None), (2, "x", "null_mismatch", None), (3, "row", "missing_from_theirs", None),
         (4, "row", "missing_from_ours", None), (None, "row", "missing_from_theirs", None), (None, "row", "missing_from_ours", None),
     ]))
+
+
+def test_repeats_of_canonical_days_are_set_aside_whatever_their_keys(spark):
+    step, content = 12 * 3600 * 10**6, len(canonical.CONTENT)
+    row = lambda k, frame, at, x, source: (k, frame, at, *([x] * content), source)
+    rows = [row(1, "12h", 0, 1.0, "b"), row(1, "12h", 0, 1.0, "a"), row(1, "12h", step, 1.0, "a"), row(2, "12h", 0, 1.0, "a"), row(2, "12h", 0, 2.0, "b"), row(2, "12h", step, 1.0, "a")]
+    rows += [row(None, "12h", 0, 3.0, "a"), row(None, "12h", 0, 3.0, "b"), row(3, "12h", None, 3.0, "a"), row(3, "12h", None, 4.0, "b"), row(4, None, 0, 3.0, "b"), row(4, None, 0, 3.0, "a")]
+    given = spark.createDataFrame(rows, "instrument_id long, timeframe string, period_start_us long, " + ", ".join(f"{c} double" for c in canonical.CONTENT) + ", source_id string")
+    made = canonical.canonical_daily(given, given.limit(0).selectExpr("*", "period_start_us AS day_us"), {"12h": step})
+    assert values(made.daily, "instrument_id", "day_us", "base_volume") == [(1, 0, 2.0)]
+    assert values(made.quarantine, "instrument_id", "source_id") == [(2, "a"), (2, "b"), (3, "a"), (3, "b")]
+    assert set(made.quarantine.columns) == {*given.columns, "code"}
+    repeats = texts(made.issues.where("code like '%duplicate'"), "instrument_id", "code")
+    assert repeats == sorted(map(str, [(2, "conflicting_duplicate")] * 2 + [(3, "conflicting_duplicate")] * 2 + [(k, "identical_duplicate") for k in (1, None, 4)]))

@@ -1,6 +1,7 @@
 """Sides whose rows are repeated before a join are never broadcast: their sizes are guessed from before."""
 
 import os
+import re
 
 import pytest
 
@@ -81,3 +82,29 @@ def test_compared_bars_meet_in_one_pass(spark):
     assert "Join" not in plan.optimizedPlan().toString()
     parts = plan.optimizedPlan().toString().count("Relation [p_partkey")
     assert plan.sparkPlan().toString().count("HashAggregate") == 2 and 0 < plan.executedPlan().toString().count("Exchange ") == parts  # parts are dealt, bars are not
+
+
+def test_canonical_rows_are_dealt_and_sorted_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidelake.operators import canonical
+
+    rows = spark.range(40).select((F.col("id") % 5).alias("instrument_id"), F.lit("6h").alias("timeframe"), (F.col("id") * 6 * 3600 * 10**6).alias("period_start_us"), *(F.lit(1.0).alias(c) for c in canonical.CONTENT), F.lit("a").alias("source_id"))
+    none = rows.limit(0).withColumn("day_us", F.lit(0).cast("long"))
+    kept, real = [], type(rows).checkpoint
+    monkeypatch.setattr(type(rows), "checkpoint", lambda df: kept.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    canonical.canonical_daily(rows, none, {"6h": 6 * 3600 * 10**6})
+    assert sum(p.count("Exchange ") for p in kept) == 1 and sum(p.count("- Sort ") for p in kept) == 1
+
+
+def test_canonical_tasks_are_told_by_rows(spark, monkeypatch):
+    from tidelake.operators import canonical
+    from tidelake.plans import canonical as plans
+
+    kept, real = [], type(spark.range(1)).checkpoint
+    monkeypatch.setattr(canonical, "TASK_ROWS", 5000)
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda df: kept.append(df._jdf.queryExecution().analyzed().toString()) or real(df))
+    plans.q6_canonical_from_files(spark, DIR)
+    rows = spark.read.parquet(plans.sourced(spark, DIR)).count()
+    dealt = [int(n) for n in re.findall(r"RepartitionByExpression \[instrument_id#\d+L, day_us#\d+L\], (\d+)", kept[0])]
+    assert len(dealt) == 1 and rows / 5000 * 0.7 < dealt[0] <= rows / 5000 + 1

@@ -64,13 +64,15 @@ def resample_daily(
     """Daily bars of intraday bars; optional volumes are null if any member's is.
 
     With step_us days that are not complete (day_completeness) are left out, in the same pass; without it
-    all days must be. also: further aggregates of a day's bars.
+    all days must be. also: further aggregates of a day's bars. Bars may bring their day_us, by which they then
+    need not be dealt again.
     """
     order = F.struct("period_start_us", source) if source else F.col("period_start_us")
     since = F.pmod("period_start_us", F.lit(DAY))
     # different opens on the grid: at most one for each step of a day
     slots = F.size(F.collect_set(F.when(since % step_us == 0, since))) if step_us else None
-    found = bars.withColumn("day_us", floor_to(F.col("period_start_us"), DAY)).groupBy(*keys, "day_us").agg(
+    dated = bars if "day_us" in bars.columns else bars.withColumn("day_us", floor_to(F.col("period_start_us"), DAY))
+    found = dated.groupBy(*keys, "day_us").agg(
         F.min_by("open", order).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", order).alias("close"),
         F.sum("base_volume").alias("base_volume"), all_or_null("quote_volume").alias("quote_volume"), all_or_null("trade_count").alias("trade_count"),
         *([F.min(source).alias(source), (F.count_distinct(source) > 1).alias("multi_source")] if source else []),
@@ -88,10 +90,11 @@ def enforce_unique(rows: DataFrame, keys: list[str], content: list[str], source:
     Rows of a key are equal if their content is (as Spark compares values), whatever their source; the smallest
     source is kept. Content is compared as it stands: a digest of it would be sorted and kept with every row.
     """
-    each = Window.partitionBy(*keys)
+    each = Window.partitionBy(*keys).orderBy(source)
+    whole = each.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # ordered too, so that rows are sorted once
     same = F.struct(*content)
-    differ = F.min(same).over(each) != F.max(same).over(each)
-    turn = F.row_number().over(each.orderBy(source))
+    differ = F.min(same).over(whole) != F.max(same).over(whole)
+    turn = F.row_number().over(each)
     return rows.withColumn("code", F.when(differ, "conflicting_duplicate").when(turn > 1, "identical_duplicate"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +13,8 @@ from tidelake.functions.times import DAY, SECOND, floor_to
 from tidelake.operators import bars as B
 
 CONTENT = ["open", "high", "low", "close", "base_volume", "quote_volume", "trade_count"]
+#: Source bars that a task sorts, or so.
+TASK_ROWS = 1_000_000
 
 
 def complete_rows(rows: DataFrame, steps: dict[str, int], keys: tuple[str, ...] = ("instrument_id",)) -> tuple[DataFrame, DataFrame]:
@@ -116,20 +118,31 @@ def canonical_daily(rows: DataFrame, provider: DataFrame, steps: dict[str, int],
     """Source bars (instrument_id, timeframe, period_start_us, CONTENT, source_id) to daily ones.
 
     Equal repeats collapse, contradicting ones are set aside; only complete days of one timeframe are
-    resampled; the result is reconciled with provider (instrument_id, day_us, CONTENT).
+    resampled; the result is reconciled with provider (instrument_id, day_us, CONTENT). Rows are dealt once, by
+    day, and kept as days; a day with repeats is a second one, flagged, by which repeats are looked up again.
     """
-    unique = B.enforce_unique(rows, ["instrument_id", "timeframe", "period_start_us"], CONTENT, "source_id").checkpoint()
-    quarantine = unique.where("code = 'conflicting_duplicate'")
+    key = ["instrument_id", "timeframe", "day_us"]
+    dated = rows.withColumn("day_us", floor_to(F.col("period_start_us"), DAY))
+    told = lambda df: B.enforce_unique(df, [*key, "period_start_us"], CONTENT, "source_id")
     # days are made and told complete in one pass, and kept: every table needs them
     counts = tuple(c.alias(n) for n, c in _counts(_step(steps)).items())
-    days = B.resample_daily(unique.where("code is null"), ("instrument_id", "timeframe"), also=counts)
-    days = days.withColumn("expected", _expected(_step(steps))).withColumn("whole", _whole(_step(steps))).checkpoint()
+    # Spark deals by bytes shuffled, of which bars have few: tasks are told by rows
+    tasks = max(-(-rows.count() // TASK_ROWS), 1)
+    unique = told(dated.select(*key, "period_start_us", *CONTENT, "source_id").repartition(tasks, "instrument_id", "day_us"))
+    made = B.resample_daily(unique.withColumn("flagged", F.col("code").isNotNull()), ("instrument_id", "timeframe", "flagged"), also=counts)
+    made = made.withColumn("expected", _expected(_step(steps))).withColumn("whole", _whole(_step(steps))).checkpoint()
+    days, flagged = made.where("not flagged").drop("flagged"), made.where("flagged").select(*(F.col(c).alias(f"of_{c}") for c in key))
+    again = dated.limit(0)
+    if not flagged.isEmpty():
+        again = dated.join(flagged, reduce(and_, (F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in key)), "left_semi")
+    repeated = told(again).where("code is not null").drop("day_us").checkpoint()
+    quarantine = repeated.where("code = 'conflicting_duplicate'")
     short = days.where("not whole")
     daily = daily_source(days.where("whole"), timeframe).drop("timeframe", "observed", "on_grid", "expected", "whole")
     report = B.reconcile(daily, provider, ["instrument_id", "day_us"], CONTENT, tolerance)
     issue = lambda df, code, severity, at: df.select(code.alias("code"), F.lit(severity).alias("severity"), "instrument_id", at.alias("at_us"))
     issues = (
-        issue(unique.where("code is not null"), F.col("code"), "WARNING", F.col("period_start_us"))
+        issue(repeated, F.col("code"), "WARNING", F.col("period_start_us"))
         .unionByName(issue(short, F.concat(F.lit("incomplete_utc_day:"), F.col("timeframe")), "WARNING", F.col("day_us")))
         .unionByName(issue(report.where("status <> 'match'"), F.col("status"), "ERROR", F.col("day_us")))
     )
