@@ -49,6 +49,27 @@ def test_content_ids_group_files_as_whole_digests_do(spark, tmp_path):
     assert all((got[a] == got[b]) == (sha[a] == sha[b]) for a in texts for b in texts)
 
 
+def test_a_text_in_parts_has_the_content_of_its_whole(spark, tmp_path):
+    whole = [f"{i},{'é' * (i % 5)}\n" for i in range(50)]
+    cuts = {"one": [50], "even": [10, 20, 30, 40, 50], "odd": [1, 33, 50], "short": [20, 49]}
+    for name, ends in cuts.items():
+        (tmp_path / "cut" / name).mkdir(parents=True)
+        for n, (start, end) in enumerate(zip([0, *ends], ends)):
+            (tmp_path / "cut" / name / f"part-{n:05d}-x.c000.txt").write_bytes("".join(whole[start:end]).encode())
+    got = {r.object.rpartition("/")[2]: r for r in S.content_ids(spark, str(tmp_path / "cut" / "*"), parts=True).collect()}
+    assert got.keys() == cuts.keys() and got["one"].content == got["even"].content == got["odd"].content != got["short"].content
+    assert {n: (r.bytes, r.lines) for n, r in got.items()} == {n: (len("".join(whole[: e[-1]]).encode()), e[-1]) for n, e in cuts.items()}
+    assert got["one"].content == S.content_ids(spark, str(tmp_path / "cut" / "one")).first().content
+
+
+def test_equal_rows_are_equal_files_in_whatever_order_they_come(spark):
+    from tidelake.plans import archives
+
+    rows = [(0, 1, "a"), (0, 1, "b"), (0, 0, "c"), (1, 1, "b"), (1, 0, "c"), (1, 1, "a")]
+    found = S.content_ids(spark, archives.files(spark.createDataFrame(rows, "shelf long, place long, line string").coalesce(1)), parts=True)
+    assert [r.copies for r in S.duplicates(found).collect()] == [2, 2]
+
+
 def test_a_store_is_not_asked_about_later_times(spark):
     asks = spark.createDataFrame([(1,), (9,)], "t long")
     assert asof.asked_by(asks, 9).count() == 2

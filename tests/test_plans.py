@@ -108,3 +108,13 @@ def test_canonical_tasks_are_told_by_rows(spark, monkeypatch):
     rows = spark.read.parquet(plans.sourced(spark, DIR)).count()
     dealt = [int(n) for n in re.findall(r"RepartitionByExpression \[instrument_id#\d+L, day_us#\d+L\], (\d+)", kept[0])]
     assert len(dealt) == 1 and rows / 5000 * 0.7 < dealt[0] <= rows / 5000 + 1
+
+
+def test_duplicate_files_are_told_in_parts_too(spark):
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:  # as on larger tables, tasks end within a shelf
+        got = sorted(tuple(r) for r in registry.queries()["q15_duplicate_files"](spark, DIR).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    assert got == [(str(s), "ARCHIVE", 1 if s in (2, 5) else 2, str(s if s in (2, 5) else s % 3)) for s in range(6)]

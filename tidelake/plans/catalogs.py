@@ -61,10 +61,10 @@ def s1_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH s AS (SELECT DISTINCT user_id % 6 AS shelf FROM events) SELECT CAST(shelf AS VARCHAR) AS shelf, 'ARCHIVE' AS kind, CASE WHEN shelf IN (2, 5) THEN 1 ELSE 2 END AS copies,
  CAST(CASE WHEN shelf IN (2, 5) THEN shelf ELSE shelf % 3 END AS VARCHAR) AS stands FROM s""")
 def q15_duplicate_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six files, of which 0 and 3, and 1 and 4, are equal; 2 and 5 differ in one line."""
+    """Six texts, each in as many part files as it fills: 0 and 3, and 1 and 4, are equal; 2 and 5 differ in one line."""
     e = I.table(spark, sf_dir, "events")
     copies = e.withColumn("shelf", F.explode(F.array(*map(F.lit, range(6))))).where((F.col("event_id") % 3) == (F.col("shelf") % 3))
     line = F.concat_ws(",", "event_id", "user_id", F.when((F.col("shelf") == 5) & (F.col("event_id") == 5), "other").otherwise(F.col("event_type")))
-    found = S.content_ids(spark, files(copies.select("shelf", F.col("event_id").alias("place"), line.alias("line"))))
-    named = found.withColumn("shelf", shelf()).withColumn("kind", S.classified(F.col("object"), [("ARCHIVE", r"/shelf=\d+/"), ("NOTE", r"\.md$")]))
-    return S.duplicates(named, "shelf").join(named.select("shelf", "kind"), "shelf").select("shelf", "kind", F.col("copies").cast("long").alias("copies"), "stands")
+    found = S.content_ids(spark, files(copies.select("shelf", F.col("event_id").alias("place"), line.alias("line"))), parts=True)
+    kind = S.classified(F.col("object"), [("ARCHIVE", r"/shelf=\d+$"), ("NOTE", r"\.md$")])
+    return S.duplicates(found).select(shelf().alias("shelf"), kind.alias("kind"), F.col("copies").cast("long").alias("copies"), shelf("stands").alias("stands"))

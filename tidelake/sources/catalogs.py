@@ -89,17 +89,17 @@ def classified(path: Column, rules: Sequence[tuple[str, str]], other: str = "OTH
     return found.otherwise(other)
 
 
-def content_ids(spark: SparkSession, path: str) -> DataFrame:
+def content_ids(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
     """object, bytes, lines, content of text files: files have the same content id if, but for collisions, they are equal.
 
     The id adds up SHA-256 words of (ordinal, line) over a file, with its size and whether it ends in a line
     feed, so files of any size are read in blocks, partly added up where they lie, and no value holds a file.
+    With parts an object is a folder (see lines()), whose id is that of its one text, wherever its parts end.
     """
-    sizes = lines(spark, path).groupBy("object").agg(F.first("size").alias("bytes"))
-    rows = numbered(lines(spark, path))
+    rows = numbered(lines(spark, path, parts))
     digest = F.sha2(F.concat_ws("|", F.col("ordinal").cast("string"), F.col("newline").cast("string"), "line").cast("binary"), 256)
     word = lambda i: F.bit_xor(F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("long"))
-    summed = rows.groupBy("object").agg(F.count("*").alias("lines"), *(word(i).alias(f"w{i}") for i in range(4))).join(sizes, "object")
+    summed = rows.groupBy("object").agg(F.first("size").alias("bytes"), F.count("*").alias("lines"), *(word(i).alias(f"w{i}") for i in range(4)))
     text = F.concat_ws(":", "bytes", "lines", *(F.lpad(F.lower(F.hex(f"w{i}")), 15, "0") for i in range(4)))
     return summed.select("object", "bytes", "lines", text.alias("content"))
 

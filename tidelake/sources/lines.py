@@ -53,7 +53,9 @@ def lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
 
 
 def numbered(found: DataFrame) -> DataFrame:
-    """object, ordinal (from 0 in each file), line, newline of lines(); newline is false only where a file ends without one.
+    """object, size, ordinal (from 0 in each file), line, newline of lines(); newline is false only where a file ends without one.
+
+    size is that of the whole object: of all its files, if it is a folder.
 
     Blocks are counted, and each block's lines go on from those of the blocks before it. The blocks' counts, a
     row for each that a task reads, are broadcast: a join by object would bring all lines of a file to one task.
@@ -63,13 +65,14 @@ def numbered(found: DataFrame) -> DataFrame:
     )
     whole = Window.partitionBy("object")
     before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.sum(F.when(F.col("block") % (1 << PART_BITS) == 0, F.col("size"))).over(whole)
     placed = blocks.select(
         "object", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"), F.sum("n").over(whole).alias("total"),
-        (F.sum("bytes").over(whole) > F.sum(F.when(F.col("block") % (1 << PART_BITS) == 0, F.col("size"))).over(whole)).alias("open"),
+        size.alias("size"), (F.sum("bytes").over(whole) > size).alias("open"),
     )
     ordinal = (F.col("at") - F.col("first") + F.col("ahead")).alias("ordinal")
-    met = found.drop("size").join(F.broadcast(placed), ["object", "block"]).select("object", ordinal, "line", "total", "open")
-    return met.select("object", "ordinal", "line", (~(F.col("open") & (F.col("ordinal") == F.col("total") - 1))).alias("newline"))
+    met = found.drop("size").join(F.broadcast(placed), ["object", "block"]).select("object", "size", ordinal, "line", "total", "open")
+    return met.select("object", "size", "ordinal", "line", (~(F.col("open") & (F.col("ordinal") == F.col("total") - 1))).alias("newline"))
 
 
 def envelope(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
